@@ -32,6 +32,18 @@ def op1_cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), 4096)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.substring import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"), 13)
+
+
 def op7_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.vectors import pivot_topk
 
@@ -45,6 +57,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, listed)
 
 
+SQL_OP6 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 12)) AS i FROM w WHERE len(w) >= 13) e),
+first AS (SELECT s, min(doc_id) AS first FROM win GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 12)) AS i
+  FROM win JOIN first USING (s) WHERE doc_id > first),
+kept AS (
+  SELECT doc_id, i, w[i] AS word FROM (SELECT doc_id, w, unnest(generate_series(1, len(w))) AS i FROM w) e
+  ANTI JOIN gone USING (doc_id, i)),
+texts AS (SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS t FROM kept GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN texts USING (doc_id)
+"""
+
 SQL_OP7 = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
@@ -93,10 +124,12 @@ LEFT JOIN hits ON hits.host = u.host AND hits.path = u.path
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cross_polytope_ann": op1_cross_polytope_ann,
+        "op5_best_fit_packing": op5_best_fit_packing,
+        "op6_substring_dedup": op6_substring_dedup,
         "op7_pivot_topk": op7_pivot_topk,
         "op10_url_filter": op10_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_pivot_topk": SQL_OP7, "op10_url_filter": SQL_OP10}
+    return {"op6_substring_dedup": SQL_OP6, "op7_pivot_topk": SQL_OP7, "op10_url_filter": SQL_OP10}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -31,18 +32,24 @@ def ship(spark: SparkSession) -> None:
     context._graphloom_shipped = True
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """df, computed once and kept in the folder that all executors share.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share: spark.checkpoint.dir, or what the context was given.
 
-    The folder is spark.checkpoint.dir; only where the session names none (tests, a laptop)
-    is one made below the system's temporary folder.
+    Only where the session names none (tests, a laptop) is one made below the system's temporary folder.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(
-            spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="graphloom-checkpoint")
-        )
-    return df.checkpoint(eager=True)
+    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not given:
+        given = tempfile.mkdtemp(prefix="graphloom-checkpoint")
+        spark.sparkContext.setCheckpointDir(given)
+        given = spark.sparkContext.getCheckpointDir()
+    return given.rstrip("/")
+
+
+def saved(df: DataFrame) -> DataFrame:
+    """df, computed once and written as a table to the shared folder, so that no lost executor undoes it."""
+    path = f"{shared_folder(df.sparkSession)}/graphloom-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype: type) -> np.ndarray:
