@@ -32,6 +32,12 @@ def op1_cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), 5, 75)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.packing import pack_documents
 
@@ -57,6 +63,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, listed)
 
 
+SQL_OP3 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) AS i FROM w WHERE len(w) > 0) e),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+reach(id, r) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT id, b FROM reach JOIN links ON r = a),
+least AS (SELECT id, min(r) AS component_id FROM reach GROUP BY id)
+SELECT doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM documents JOIN least ON id = doc_id LEFT JOIN n USING (doc_id)
+"""
+
 SQL_OP6 = r"""
 WITH w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -124,6 +148,7 @@ LEFT JOIN hits ON hits.host = u.host AND hits.path = u.path
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cross_polytope_ann": op1_cross_polytope_ann,
+        "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_pivot_topk": op7_pivot_topk,
@@ -132,4 +157,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_substring_dedup": SQL_OP6, "op7_pivot_topk": SQL_OP7, "op10_url_filter": SQL_OP10}
+    return {"op3_minhash_near_dedup": SQL_OP3, "op6_substring_dedup": SQL_OP6, "op7_pivot_topk": SQL_OP7, "op10_url_filter": SQL_OP10}

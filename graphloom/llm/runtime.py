@@ -7,10 +7,12 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
 _PACKAGE = Path(__file__).resolve().parent.parent
@@ -52,6 +54,18 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    press = zstandard.ZstdCompressor(1)
+    for batch in batches:
+        texts = pa.array([None if t is None else press.compress(t.encode()) for t in batch["text"].to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([batch["doc_id"], texts], ["doc_id", "z"])
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """(doc_id, z): texts as compressed bytes, which shuffle at less than half their size, dealt out by doc_id."""
+    return docs.select("doc_id", "text").mapInArrow(_press, "doc_id long, z binary").repartition("doc_id")
+
+
 def matrix(column: pa.Array | pa.ChunkedArray, dtype: type) -> np.ndarray:
     """Lists of one length, without nulls, as the rows of a matrix."""
     if isinstance(column, pa.ChunkedArray):
