@@ -38,6 +38,12 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), 5, 75)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.licenses import scan_licenses
+
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.packing import pack_documents
 
@@ -149,6 +155,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cross_polytope_ann": op1_cross_polytope_ann,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
+        "op4_license_scan": op4_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_pivot_topk": op7_pivot_topk,
