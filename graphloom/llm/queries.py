@@ -32,6 +32,12 @@ def op1_cross_polytope_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_polytope_search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
 
 
+def op2_crf_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.langid import identify_languages
+
+    return identify_languages(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.neardup import near_duplicates
 
@@ -154,6 +160,7 @@ LEFT JOIN hits ON hits.host = u.host AND hits.path = u.path
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cross_polytope_ann": op1_cross_polytope_ann,
+        "op2_crf_language_id": op2_crf_language_id,
         "op3_minhash_near_dedup": op3_minhash_near_dedup,
         "op4_license_scan": op4_license_scan,
         "op5_best_fit_packing": op5_best_fit_packing,
