@@ -68,6 +68,12 @@ def op7_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
 
 
+def op8_gbt_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.html import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.urls import url_verdicts
 
@@ -166,6 +172,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_best_fit_packing": op5_best_fit_packing,
         "op6_substring_dedup": op6_substring_dedup,
         "op7_pivot_topk": op7_pivot_topk,
+        "op8_gbt_html_extraction": op8_gbt_html_extraction,
         "op10_url_filter": op10_url_filter,
     }
 
