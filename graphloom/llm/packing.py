@@ -12,6 +12,8 @@ from its rank within its size, which the executors number.
 from __future__ import annotations
 
 import bisect
+import os
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -25,6 +27,10 @@ from graphloom.llm.runtime import numbers, saved, ship
 from graphloom.llm.words import SPACED, Words, byte_values, chunks
 
 _VALUES = byte_values(17, False)
+#: 1 for ASCII letters, 2 for marks between which and letters the tokenizer always splits.
+_KINDS = np.zeros(256, np.int8)
+_KINDS[[*range(65, 91), *range(97, 123)]] = 1
+_KINDS[list(b',.;:!?()"-')] = 2
 #: Distinct words whose ids a worker remembers (about 50 MB); beyond that it starts afresh.
 REMEMBERED = 1_500_000
 #: Parts into which a size class is split for numbering.
@@ -38,12 +44,17 @@ def default_tokenizer() -> str:
 
 
 class WordIds:
-    """Token ids by space-separated word. The tokenizer splits at white space, so a text's ids are its words' in a row."""
+    """Token ids by word. The tokenizer splits at white space and between ASCII letters and plain marks, so a
+    text's ids are those of the parts between such places in a row."""
 
     def __init__(self, path: str) -> None:
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        names = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(names.values()) + 1, bool)  # tokens that end a word
+        self.last[[i for name, i in names.items() if name.endswith("</w>")]] = True
         self.clear()
 
     def clear(self) -> None:
@@ -54,17 +65,23 @@ class WordIds:
     def learn(self, hashes: np.ndarray, words: list[str]) -> None:
         """hashes: sorted, new."""
         counts, ids = np.zeros(len(words), np.int64), []
-        for at in range(0, len(words), 4096):
-            got = self.tokenizer.encode(words[at : at + 4096], is_pretokenized=True, add_special_tokens=False)
+        plain = np.array([w.isalpha() and (w.isascii() or unicodedata.normalize("NFC", w).lower().isalpha()) for w in words], bool)
+        # letters alone stay one word of the tokenizer, so many are encoded as one text
+        order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
+        for at in range(0, int(plain.sum()), 2048):
+            some = order[at : min(at + 2048, plain.sum())]
+            got = self.tokenizer.encode_batch_fast([" ".join([words[i] for i in some])], add_special_tokens=False)[0]
             ids.append(np.array(got.ids, np.uint32))
-            of = np.array([-1 if w is None else w for w in got.word_ids], np.int64)
-            if len(of) and of.min() < 0:  # a special token has no word
-                alone = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words[at : at + 4096]]
-                ids[-1] = np.array([i for x in alone for i in x], np.uint32)
-                counts[at : at + 4096] = [len(x) for x in alone]
-            else:
-                counts[at : at + 4096] = np.bincount(of, minlength=len(words[at : at + 4096]))
-        start = len(self.ids) + np.cumsum(counts) - counts
+            counts[some] = np.diff(np.flatnonzero(self.last[ids[-1]]), prepend=-1)
+        rest = order[int(plain.sum()) :]
+        for at in range(0, len(rest), 2048):
+            some = rest[at : at + 2048]
+            for i, got in zip(some, self.tokenizer.encode_batch_fast([words[i] for i in some], add_special_tokens=False)):
+                ids.append(np.array(got.ids, np.uint32))
+                counts[i] = len(got.ids)
+        sizes = counts[order]
+        start = np.empty_like(counts)
+        start[order] = len(self.ids) + np.cumsum(sizes) - sizes
         place = np.searchsorted(self.known, hashes)
         self.known = np.insert(self.known, place, hashes)
         self.start, self.count = np.insert(self.start, place, start), np.insert(self.count, place, counts)
@@ -72,7 +89,7 @@ class WordIds:
 
     def of(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, the number of ids of each text)."""
-        words = Words(data, offsets, SPACED)
+        words = Words(data, offsets, SPACED, _KINDS)
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
         distinct, example, which = np.unique(words.hashes(_VALUES), return_index=True, return_inverse=True)

@@ -90,9 +90,13 @@ def chunks(column: pa.Array, most: int = CHUNK_BYTES) -> Iterator[tuple[int, int
 
 
 class Words:
-    """The words of a run of texts: start and end byte of each, and how many words precede each text."""
+    """The words of a run of texts: start and end byte of each, and how many words precede each text.
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> None:
+    inside: which bytes belong to words. kinds, if given, has a number for each byte, and words are
+    also cut between neighbours of kinds 1 and 2.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, kinds: np.ndarray | None = None) -> None:
         self.data, self.offsets = data, offsets
         flags = np.zeros(len(data) + 1, bool)
         flags[:-1] = inside[data]
@@ -101,10 +105,18 @@ class Words:
         cuts = offsets[:-1]
         cut_inside = before[cuts].copy()
         before[cuts] = False
-        self.starts = np.flatnonzero(flags & ~before)
+        starts = flags & ~before
         before[cuts] = cut_inside
         ends = before & ~flags
         ends[cuts] |= cut_inside
+        if kinds is not None and len(data):
+            kind = kinds[data]
+            cut = np.zeros(len(data) + 1, bool)
+            cut[1:-1] = kind[1:] + kind[:-1] == 3
+            cut[1:-1] &= (kind[1:] > 0) & (kind[:-1] > 0)
+            starts |= cut
+            ends |= cut
+        self.starts = np.flatnonzero(starts)
         self.ends = np.flatnonzero(ends)
         self.first = np.searchsorted(self.starts, offsets)
 
