@@ -74,6 +74,14 @@ def op8_gbt_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op9_piece_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document's pieces under dropout, and the digest of what they decode to."""
+    from graphloom.llm.pieces import decode_pieces, encode_pieces
+
+    decoded = decode_pieces(encode_pieces(table(spark, sf_dir, "documents"), 0.1, 7))
+    return decoded.select("doc_id", "n_pieces", "ids_crc32", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.urls import url_verdicts
 
@@ -173,6 +181,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_substring_dedup": op6_substring_dedup,
         "op7_pivot_topk": op7_pivot_topk,
         "op8_gbt_html_extraction": op8_gbt_html_extraction,
+        "op9_piece_merge_dropout": op9_piece_merge_dropout,
         "op10_url_filter": op10_url_filter,
     }
 
