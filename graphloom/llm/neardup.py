@@ -213,3 +213,9 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame
     found = shapes.select("doc_id", "n", "s", "t").join(named, ["s", "t", "n"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """The rows of docs, with all their columns, that near_duplicates keeps."""
+    gone = near_duplicates(docs, k, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")

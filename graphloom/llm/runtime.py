@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _PACKAGE = Path(__file__).resolve().parent.parent
 
@@ -58,12 +59,14 @@ def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(1)
     for batch in batches:
         texts = pa.array([None if t is None else press.compress(t.encode()) for t in batch["text"].to_pylist()], pa.binary())
-        yield pa.RecordBatch.from_arrays([batch["doc_id"], texts], ["doc_id", "z"])
+        others = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*(batch[c] for c in others), texts], [*others, "z"])
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """(doc_id, z): texts as compressed bytes, which shuffle at less than half their size, dealt out by doc_id."""
-    return docs.select("doc_id", "text").mapInArrow(_press, "doc_id long, z binary").repartition("doc_id")
+    """docs with text as compressed bytes z, which shuffle at less than half their size, dealt out by doc_id."""
+    schema = T.StructType([f for f in docs.schema if f.name != "text"]).add("z", "binary")
+    return docs.mapInArrow(_press, schema).repartition("doc_id")
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype: type) -> np.ndarray:
