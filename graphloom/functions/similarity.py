@@ -7,6 +7,7 @@ import difflib
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
 def _clean(c: Column) -> Column:
@@ -84,7 +85,7 @@ def jaro(s: str, t: str) -> float:
     return (m / len(s) + m / len(t) + (m - moved) / m) / 3
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     def one(s: str | None, t: str | None) -> float | None:
         if s is None or t is None:
@@ -103,7 +104,7 @@ def jaro_winkler(a: Column, b: Column) -> Column:
     return F.when(x == y, 1.0).when((x == "") | (y == ""), 0.0).otherwise(_jaro_winkler(x, y))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """difflib's ratio of matching blocks."""
     return pd.Series([None if s is None or t is None else difflib.SequenceMatcher(None, s, t).ratio() for s, t in zip(a, b)], dtype="float64")

@@ -188,6 +188,7 @@ STOP_WORDS = {
 def language(text: Column, default: str = "en", shortest: int = 10) -> Column:
     """The language most of whose common words the text has; short texts and those with none get the default."""
     found = words(text)
-    shares = [F.struct(F.size(F.filter(found, lambda w, s=s: w.isin(s))).alias("n"), F.lit(-i).alias("i"), F.lit(code).alias("code")) for i, (code, s) in enumerate(STOP_WORDS.items())]
+    known = lambda common: F.size(F.filter(found, lambda w: w.isin(*common)))
+    shares = [F.struct(known(s).alias("n"), F.lit(-i).alias("i"), F.lit(code).alias("code")) for i, (code, s) in enumerate(STOP_WORDS.items())]
     best = F.greatest(*shares)
     return F.when((F.length(text) < shortest) | (best["n"] == 0), default).otherwise(best["code"])

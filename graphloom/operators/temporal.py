@@ -40,7 +40,8 @@ def evolution(edges: DataFrame, start: str, end: str, step: str = "month") -> Da
     Each edge goes to the periods that it meets, so no join is needed and the work is linear in the result.
     """
     lo, hi = F.date_trunc(step, F.greatest(F.coalesce("valid_from", _ts(start)), _ts(start))), F.date_trunc(step, F.least(F.coalesce("valid_until", _ts(end)), _ts(end)))
-    hit = edges.filter(overlaps(start, end)).select(F.explode(F.sequence(lo, hi, F.expr(f"interval 1 {step}"))).alias("period"))
+    periods = F.when(lo <= hi, F.sequence(lo, hi, F.expr(f"interval 1 {step}")))  # null for an edge that ends before it begins
+    hit = edges.filter(overlaps(start, end)).select(F.explode(periods).alias("period"))
     return hit.groupBy("period").agg(F.count("*").alias("n_edges"))
 
 
