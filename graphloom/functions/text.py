@@ -107,7 +107,7 @@ def sanitize(text: Column, data_urls: bool = False) -> Column:
 
 def trim_lines(text: Column) -> Column:
     """Lines trimmed, empty ones dropped."""
-    lines = F.transform(F.split(text, "\n"), F.trim)
+    lines = F.transform(F.split(text, "\n"), lambda x: F.trim(x))
     return F.array_join(F.filter(lines, lambda x: x != ""), "\n")
 
 

@@ -42,7 +42,7 @@ def sentences(text: Column) -> Column:
 
 
 def paragraphs(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, r"\n\s*\n"), F.trim), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, r"\n\s*\n"), lambda x: F.trim(x)), lambda s: s != "")
 
 
 def _pack_rows(docs: DataFrame, key: str, parts: Column, size: int, glue: str, most: int | None) -> DataFrame:

@@ -43,7 +43,7 @@ def parse_rule(text: str, name: str | None = None, priority: int = 0) -> Rule:
 def fact_rows(texts: DataFrame, column: str = "fact") -> DataFrame:
     """facts from texts like Parent(John, Jane)."""
     inner = F.regexp_extract(column, r"^\s*[\w:]+\s*\((.*)\)\s*$", 1)
-    return texts.select(F.regexp_extract(column, r"^\s*([\w:]+)", 1).alias("pred"), F.transform(F.split(inner, ","), F.trim).alias("args"))
+    return texts.select(F.regexp_extract(column, r"^\s*([\w:]+)", 1).alias("pred"), F.transform(F.split(inner, ","), lambda x: F.trim(x)).alias("args"))
 
 
 def _matches(facts: DataFrame, atom: Atom) -> DataFrame:

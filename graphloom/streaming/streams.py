@@ -41,26 +41,31 @@ def process(rows: DataFrame, transform: Callable[[DataFrame], DataFrame] | None
     return out.withColumn("processed_at", F.current_timestamp())
 
 
+def _marked(rows: DataFrame, ts: str, late: str) -> DataFrame:
+    """A stream with its watermark, which needs a timestamp with time zone; a batch as it is."""
+    return rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late) if rows.isStreaming else rows
+
+
 def tumbling(rows: DataFrame, ts: str, size: str, keys: list[str], late: str = "1 hour", **aggregates: Column) -> DataFrame:
     return sliding(rows, ts, size, size, keys, late, **aggregates)
 
 
 def sliding(rows: DataFrame, ts: str, size: str, step: str, keys: list[str], late: str = "1 hour", **aggregates: Column) -> DataFrame:
     """(window_start, window_end, keys..., aggregates...); rows later than `late` are dropped from a stream."""
-    rows = rows.withWatermark(ts, late) if rows.isStreaming else rows
+    rows = _marked(rows, ts, late)
     g = rows.groupBy(F.window(ts, size, step).alias("w"), *keys).agg(*(c.alias(n) for n, c in aggregates.items()))
     return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, *aggregates)
 
 
 def sessions(rows: DataFrame, ts: str, gap: str, keys: list[str], late: str = "1 hour", **aggregates: Column) -> DataFrame:
-    rows = rows.withWatermark(ts, late) if rows.isStreaming else rows
+    rows = _marked(rows, ts, late)
     g = rows.groupBy(F.session_window(ts, gap).alias("w"), *keys).agg(*(c.alias(n) for n, c in aggregates.items()))
     return g.select(F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), *keys, *aggregates)
 
 
 def deduplicated(rows: DataFrame, keys: list[str], ts: str, late: str = "1 hour") -> DataFrame:
     """Each key once within the watermark; in batch once at all."""
-    return rows.withWatermark(ts, late).dropDuplicatesWithinWatermark(keys) if rows.isStreaming else rows.dropDuplicates(keys)
+    return _marked(rows, ts, late).dropDuplicatesWithinWatermark(keys) if rows.isStreaming else rows.dropDuplicates(keys)
 
 
 def latest_state(rows: DataFrame, key: str, ts: str, value: str, order: str) -> DataFrame:
