@@ -2,12 +2,34 @@
 
 from __future__ import annotations
 
+import io
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_PACKAGE = Path(__file__).resolve().parent.parent
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once for each Spark application, so that Arrow functions find it."""
+    context = spark.sparkContext
+    if getattr(context, "_graphloom_shipped", False):
+        return
+    buffer = io.BytesIO()
+    with zipfile.ZipFile(buffer, "w") as archive:
+        for path in sorted(_PACKAGE.rglob("*.py")):
+            archive.write(path, Path("graphloom") / path.relative_to(_PACKAGE))
+    target = os.path.join(tempfile.mkdtemp(prefix="graphloom"), "graphloom_src.zip")
+    Path(target).write_bytes(buffer.getvalue())
+    context.addPyFile(target)
+    context._graphloom_shipped = True
+
+
 def shared_folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir, or what the context was given; one below the system's temporary folder only without either."""
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()

@@ -17,10 +17,11 @@ def top_k(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id", v
     return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), key)))
 
 
-def top_k_each(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The k most like rows for each of queries(query_id, query): the query set meets all rows, k rows a task and query are shuffled."""
-    pairs = vectors.select(key, vector).crossJoin(F.broadcast(queries.select("query_id", "query")))
-    scored = pairs.select("query_id", key, F.round(S.cosine(F.col(vector), F.col("query")), 6).alias("score"))
+def top_k_each(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", blocks: int = 64) -> DataFrame:
+    """The k most like rows for each of queries(query_id, query): the query set meets all rows in blocks, and k rows a task and query are shuffled on."""
+    rows = vectors.select(key, vector, F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"))
+    asked = queries.select("query_id", "query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_b"))
+    scored = rows.join(asked, "_b").select("query_id", key, F.round(S.cosine(F.col(vector), F.col("query")), 6).alias("score"))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 

@@ -38,6 +38,12 @@ def vector_euclid_sim(spark, d):
     return V.top_k(table(spark, d, "embeddings"), _first(spark, d), 10, measure="euclidean")
 
 
+@query(f"""WITH s AS (SELECT q.vec_id AS query_id, e.vec_id, round({_COS}, 6) AS score FROM embeddings e, embeddings q WHERE q.vec_id % 50 = 0), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) SELECT query_id, vec_id, score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 3""")
+def vector_topk_each(spark, d):
+    e = table(spark, d, "embeddings")
+    return V.top_k_each(e, e.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query")), 3)
+
+
 @query(f"""SELECT vec_id, round({_DOT.format('embedding', 'embedding')} / ({_DOT.format('embedding', 'embedding')}), 5) AS norm FROM embeddings""")
 def vector_l2_normalize(spark, d):
     v = table(spark, d, "embeddings").select("vec_id", S.l2_normalized(F.col("embedding")).alias("v"))

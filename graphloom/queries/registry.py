@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from graphloom.operators.frames import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -14,7 +17,12 @@ def query(sql: str | None = None):
     """Registers a function under its name, with the SQL that gives the same rows."""
 
     def keep(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
+        @functools.wraps(f)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
+            return f(spark, sf_dir)
+
+        QUERIES[f.__name__] = shipped
         if sql:
             SQL[f.__name__] = sql
         return f
