@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.runtime import ship
+from graphloom.llm.runtime import ship, worker
 
 #: Phrases whose places are counted, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -274,6 +274,7 @@ _SCANNER: list[Scanner] = []
 _SPANS = pa.list_(pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()), ("label", pa.string())]))
 
 
+@worker("licenses")
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not _SCANNER:
         _SCANNER.append(Scanner())

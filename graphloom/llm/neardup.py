@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.llm.components import components
-from graphloom.llm.runtime import numbers, packed, ragged, saved, ship
+from graphloom.llm.runtime import numbers, packed, ragged, saved, ship, worker
 from graphloom.llm.words import SPACED, U, Words, byte_values, chunks, constants, mix, runs
 
 _VALUES = byte_values(23, True)
@@ -54,6 +54,7 @@ def _shapes(k: int):
     """Rows (doc_id, n, s, t, signature): set size, 128-bit hash of the set, and its collections' hashes."""
     functions = constants(COLLECTIONS * SMALL, 37)
 
+    @worker("neardup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, end, data, offsets in chunks(batch["text"]):
@@ -76,6 +77,7 @@ def _shapes(k: int):
     return run
 
 
+@worker("neardup")
 def _table_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row (key, rep) for each pair of collections."""
     first, second = np.triu_indices(COLLECTIONS, 1)
@@ -102,6 +104,7 @@ def _sets_of(packed_texts: list[bytes], k: int) -> list[np.ndarray]:
 def _verified(k: int, percent: int):
     """The pairs (a, b) whose full sets have 100 * intersection >= percent * union."""
 
+    @worker("neardup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), 128):
@@ -122,6 +125,7 @@ def _verified(k: int, percent: int):
 def _shingle_rows(k: int):
     """A row (h, rep, component, n) for each distinct shingle."""
 
+    @worker("neardup")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), 256):

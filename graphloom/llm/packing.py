@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm.runtime import numbers, saved, ship
+from graphloom.llm.runtime import MEMORIES, numbers, saved, ship, worker
 from graphloom.llm.words import SPACED, Words, byte_values, chunks
 
 _VALUES = byte_values(17, False)
@@ -112,11 +112,13 @@ class WordIds:
 
 
 _WORD_IDS: dict[str, WordIds] = {}
+MEMORIES["packing"] = _WORD_IDS.clear
 
 
 def _pieces(path: str, capacity: int, end_id: int):
     """Rows (doc_id, piece, start, length, ids_crc32)."""
 
+    @worker("packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = _WORD_IDS.get(path) or _WORD_IDS.setdefault(path, WordIds(path))
         for batch in batches:
@@ -190,6 +192,7 @@ def _placed(plan: np.ndarray):
     """Adds sequence_id and offset to rows with length and rank."""
     keys = plan[:, 0] << 48 | plan[:, 1]
 
+    @worker("packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, rank = numbers(batch["length"]), numbers(batch["rank"])

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import io
-import os
+import contextlib
+import ctypes
+import functools
 import tempfile
 import uuid
-import zipfile
-from collections.abc import Iterator
-from pathlib import Path
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,23 +15,45 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_PACKAGE = Path(__file__).resolve().parent.parent
+from graphloom.operators.frames import ship_package
+
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once for each Spark application."""
-    context = spark.sparkContext
-    if getattr(context, "_graphloom_shipped", False):
-        return
-    buffer = io.BytesIO()
-    with zipfile.ZipFile(buffer, "w") as archive:
-        for path in sorted(_PACKAGE.rglob("*.py")):
-            archive.write(path, Path("graphloom") / path.relative_to(_PACKAGE))
-    folder = tempfile.mkdtemp(prefix="graphloom")
-    target = os.path.join(folder, "graphloom_src.zip")
-    Path(target).write_bytes(buffer.getvalue())
-    context.addPyFile(target)
-    context._graphloom_shipped = True
+    """Give the executors this package, once for each Spark application.
+
+    Batches for Python hold 10,000 rows by default, which for long texts is too much memory; unless the
+    session says otherwise they get BATCH_ROWS.
+    """
+    if spark.conf.get(_BATCH, "10000") == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    ship_package(spark)
+
+
+#: What workers remember between tasks, by operator: functions that forget it.
+MEMORIES: dict[str, Callable[[], None]] = {}
+
+
+def worker(name: str):
+    """For functions over Arrow batches: a worker that another operator has used forgets what it remembered for that,
+    and gives freed memory back at the end, as workers of all stages share an executor's memory."""
+
+    def wrap(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+        @functools.wraps(run)
+        def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for other, forget in MEMORIES.items():
+                if other != name:
+                    forget()
+            yield from run(batches)
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+        return tidy
+
+    return wrap
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -55,6 +76,7 @@ def saved(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@worker("press")
 def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     press = zstandard.ZstdCompressor(1)
     for batch in batches:
