@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.runtime import ship
+from graphloom.llm.runtime import ship, worker
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content isn't text of the page.
@@ -296,34 +296,51 @@ def training_pages(n: int, seed: int = 5) -> Iterator[str]:
             elif r < 0.94:
                 cells = "".join(f"<tr {_KEEP}><td {_KEEP}>{words(1, 4)}</td><td {_KEEP}>{words(1, 4)}</td></tr>" for _ in range(rng.integers(2, 5)))
                 out.append(f"<table {_KEEP}>{cells}</table>")
-            elif r < 0.96:
-                out.append(f'<div class="{pick("ad", "advert", "promo-box", "related", "share", "newsletter")}">{words(2, 20)}</div>')
+            elif r < 0.97:
+                out.append(junk("inside"))
             else:
                 out.append(f"<div {_KEEP}>{words(5, 50)}</div>")
         return "".join(out)
 
+    def filling() -> str:
+        """What stands in an element that isn't main text."""
+        r = rng.random()
+        if r < 0.3:
+            return words(1, 6)
+        if r < 0.45:
+            return words(6, 60)
+        if r < 0.6:
+            return f"<p>{words(3, 50)}</p>" * rng.integers(1, 4)
+        if r < 0.8:
+            return f"<ul>{links(2, 12)}</ul>"
+        if r < 0.9:
+            return links(1, 8, "span")
+        return f"<{(h := pick('h1', 'h2', 'h3', 'b'))}>{words(1, 6)}</{h}>{pick(f'<p>{words(3, 40)}</p>', f'<ul>{links(2, 8)}</ul>', '')}"
+
+    def comments() -> str:
+        tag, each = pick("div", "section", "ul", "aside"), pick("div", "article", "li", "p")
+        inside = lambda: words(3, 60) if each == "p" or rng.random() < 0.4 else f"<p>{words(3, 60)}</p>"
+        items = "".join(f'<{each} class="{pick("comment", "reply", "")}">{inside()}</{each}>' for _ in range(rng.integers(1, 6)))
+        return f'<{tag} {pick("class", "id")}="{pick(*TOKENS["talk"].split())}">{pick("", f"<h3>{words(1, 3)}</h3>")}{items}</{tag}>'
+
     def junk(place: str) -> str:
-        kinds = {
-            "top": [
-                lambda: f'<header{pick("", " class=site-header", " id=top")}><a href="/">{words(1, 3)}</a>{pick("", f"<p>{words(2, 15)}</p>", f"<h1>{words(1, 4)}</h1>")}</header>',
-                lambda: f"<nav{pick('', ' class=menu', ' id=nav')}><ul>{links(3, 12)}</ul></nav>",
-                lambda: f'<div class="{pick("menu", "navbar", "breadcrumbs", "top-menu nav")}">{links(2, 8, "span")}</div>',
-                lambda: f'<div class="{pick("ad", "ads", "advert", "sponsored", "ad-banner")}">{words(1, 30)}</div>',
-                lambda: f'<div class="{pick("cookie-notice", "notice", "consent", "gdpr-banner", "alert")}"><p>{words(5, 40)}</p>{pick("", "<button>ok</button>")}</div>',
-                lambda: f'<form class="{pick("search", "login", "")}"><label>{words(1, 4)}</label><input name="q"><button>{words(1, 2)}</button></form>',
-                lambda: f"<ul>{links(4, 12)}</ul>",
-            ],
-            "end": [
-                lambda: f"<footer>{pick('&copy; ', '')}{words(2, 40)}{pick('', f'<p>{words(3, 30)}</p>')}{pick('', f'<ul>{links(2, 6)}</ul>')}</footer>",
-                lambda: f'<div {pick("class", "id")}="{pick("footer", "site-footer", "copyright", "bottom")}"><p>{words(3, 40)}</p></div>',
-                lambda: f"<aside{pick('', ' class=sidebar')}><h3>{words(1, 4)}</h3>{pick(f'<ul>{links(2, 8)}</ul>', f'<p>{words(5, 50)}</p>')}</aside>",
-                lambda: f'<div class="{pick("sidebar", "related-posts", "widget", "popular")}"><h3>{words(1, 4)}</h3>{pick(f"<ul>{links(2, 8)}</ul>", f"<p>{words(5, 40)}</p>")}</div>',
-                lambda: f'<{(t := pick("div", "section"))} {pick("class", "id")}="{pick("comments", "comment-list", "discussion", "responses")}">' + "".join(f'<{(u := pick("div", "article", "li"))} class="{pick("comment", "reply", "")}"><p>{words(3, 60)}</p></{u}>' for _ in range(rng.integers(1, 6))) + f"</{t}>",
-                lambda: f'<form class="{pick("newsletter", "subscribe", "contact", "")}"><p>{words(3, 25)}</p><input><button>{words(1, 3)}</button></form>',
-                lambda: f'<div class="{pick("share", "social", "author-bio", "tags")}">{words(1, 25)}</div>',
-            ],
-        }[place]
-        return "".join(kinds[i]() for i in rng.permutation(len(kinds))[: rng.integers(0, 5)])
+        groups = {"top": ["menu", "head", "advert", "notice", "form"], "end": ["foot", "side", "advert", "notice", "form", "share", "menu"], "inside": ["advert", "notice", "form", "share", "side"]}[place]
+        tags = {"top": ["header", "nav", "aside", "form"], "end": ["footer", "aside", "nav", "form"], "inside": ["aside", "form"]}[place]
+        out = []
+        for _ in range(rng.integers(0, 5 if place != "inside" else 2)):
+            r = rng.random()
+            if r < 0.4:
+                tag = pick(*tags)
+                out.append(f"<{tag}{pick('', '', ' class=' + pick(*TOKENS[pick(*groups)].split()))}>{filling()}</{tag}>")
+            elif r < 0.85:
+                tag, token = pick("div", "div", "section", "p", "span"), pick(*TOKENS[pick(*groups)].split())
+                name = pick(token, f"{token}-{pick('box', 'wrap', 'inner', 'x1')}", f"site-{token}", f"{pick('c1', 'left')} {token}")
+                out.append(f'<{tag} {pick("class", "class", "id")}="{name}">{words(2, 30) if tag in ("p", "span") else filling()}</{tag}>')
+            elif r < 0.93:
+                out.append(f"<ul>{links(4, 12)}</ul>")
+            elif place == "end":
+                out.append(comments())
+        return "".join(out)
 
     for _ in range(n):
         tag, name = pick(("article", ""), ("article", ""), ("main", ""), ("div", "class=content"), ("div", "id=main-content"), ("div", 'class="post-body entry"'), ("section", "class=story"), ("div", ""), ("div", "class=article-text"))
@@ -341,7 +358,7 @@ def training_pages(n: int, seed: int = 5) -> Iterator[str]:
 _MODEL: list[Trees] = []
 
 
-def trained(pages: int = 500) -> Trees:
+def trained(pages: int = 600) -> Trees:
     """The trees, trained once for each driver."""
     if not _MODEL:
         rows, labels = [], []
@@ -392,6 +409,7 @@ def main_texts(htmls: list[str], trees: Trees) -> list[str]:
 
 
 def _extract(trees: Trees):
+    @worker("html")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, len(batch), 64):
