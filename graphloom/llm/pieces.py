@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from graphloom.llm.runtime import numbers, ragged, ship
+from graphloom.llm.runtime import MEMORIES, numbers, ragged, ship, worker
 from graphloom.llm.words import U, byte_values, chunks, constants, mix, _POWERS
 
 _VALUES = byte_values(61, False)
@@ -72,6 +72,17 @@ class Vocabulary:
         self.pair_keys = np.array(sorted(pairs), np.int64)
         self.pair_piece = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
 
+        known = {ord(name): i for name, i in self.ids.items() if len(name) == 1 and name != SPACE}
+        if SPACE in self.ids:
+            known[32] = self.ids[SPACE]
+        self.codes = np.array(sorted(known), np.uint32)
+        self.code_ids = np.array([known[c] for c in self.codes.tolist()], np.int64)
+
+    def symbols(self, chars: np.ndarray) -> np.ndarray:
+        """The piece of each character, or -1; a space is the model's mark, the mark itself is no piece."""
+        at = np.minimum(np.searchsorted(self.codes, chars), len(self.codes) - 1)
+        return np.where(self.codes[at] == chars, self.code_ids[at], -1)
+
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece of each pair, or -1."""
         key = left << 32 | right
@@ -176,25 +187,41 @@ class PieceIds:
         self.known, self.ids = np.zeros(0, U), np.zeros(0, np.int32)
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _encoded(self, words: list[str], keys: np.ndarray, rate: float) -> list[np.ndarray]:
-        v, out = self.vocabulary, [None] * len(words)
-        by_size: dict[int, list[int]] = {}
-        for i, w in enumerate(words):
-            by_size.setdefault(len(w), []).append(i)
-        get = lambda c: -1 if c == SPACE else v.ids.get(SPACE if c == " " else c, -1)
-        for size, group in by_size.items():
-            symbols = np.array([[get(c) for c in words[i]] for i in group], np.int64).reshape(len(group), size)
-            if size > MATRIX:
-                found = [_agenda(v, row, keys[i], rate) for i, row in zip(group, symbols.tolist())]
-            else:
+    def _encoded(self, words: list[str], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids, where each word's begin, how many each has)."""
+        v = self.vocabulary
+        sizes = np.array([len(w) for w in words])
+        count, start, parts, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        first = np.cumsum(sizes) - sizes
+        for size in np.unique(sizes).tolist():
+            group = np.flatnonzero(sizes == size)
+            chars = codes[first[group][:, None] + np.arange(size)]
+            symbols = v.symbols(chars)
+            if size <= MATRIX:
                 pieces, begins = _matrix(v, symbols, keys[group], rate)
-                whole = np.arange(size)
-                found = [list(zip(p[b].tolist(), whole[b].tolist())) if (p[b] < 0).any() else p[b] for p, b in zip(pieces, begins)]
-            for i, row in zip(group, found):
-                if isinstance(row, list):  # a character that is no piece becomes its bytes
-                    row = np.array([x for piece, p in row for x in ([piece] if piece >= 0 else v.byte[list(words[i][p].encode())])], np.int64)
-                out[i] = row.astype(np.int32)
-        return out
+            else:
+                pieces, begins = symbols.copy(), np.zeros(symbols.shape, bool)
+                for row, i in enumerate(group.tolist()):
+                    found = _agenda(v, symbols[row].tolist(), keys[i], rate)
+                    places = [p for _, p in found]
+                    begins[row, places], pieces[row, places] = True, [x for x, _ in found]
+            plain = ~((pieces < 0) & begins).any(axis=1)
+            for own, whole in ((plain, True), (~plain, False)):
+                some, p, b = group[own], pieces[own], begins[own]
+                if not len(some):
+                    continue
+                if whole:
+                    flat, each = p[b], b.sum(axis=1)
+                else:  # a character that is no piece becomes its bytes
+                    rows = [[y for x, c in zip(pr[br].tolist(), cr[br].tolist()) for y in ([x] if x >= 0 else v.byte[list(chr(c).encode())])] for pr, br, cr in zip(p, b, chars[own])]
+                    each = np.array([len(r) for r in rows])
+                    flat = np.array([x for r in rows for x in r], np.int64)
+                count[some] = each
+                start[some] = total + np.cumsum(each) - each
+                parts.append(flat.astype(np.int32))
+                total += len(flat)
+        return np.concatenate(parts) if parts else np.zeros(0, np.int32), start, count
 
     def of(self, data: np.ndarray, offsets: np.ndarray, document: np.ndarray, rate: float, variants: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many of each). Texts begin with a space that stands for the model's prefix."""
@@ -225,13 +252,11 @@ class PieceIds:
                 self.clear()
                 new[:] = True
             raw = data.tobytes()
-            found = self._encoded([raw[starts[i] : ends[i]].decode() for i in example[new]], distinct[new], rate)
-            counts = np.array([len(f) for f in found])
-            begin_at = len(self.ids) + np.cumsum(counts) - counts
+            fresh, begin_at, counts = self._encoded([raw[starts[i] : ends[i]].decode() for i in example[new]], distinct[new], rate)
             place = np.searchsorted(self.known, distinct[new])
             self.known = np.insert(self.known, place, distinct[new])
-            self.start, self.count = np.insert(self.start, place, begin_at), np.insert(self.count, place, counts)
-            self.ids = np.concatenate([self.ids, *found])
+            self.start, self.count = np.insert(self.start, place, len(self.ids) + begin_at), np.insert(self.count, place, counts)
+            self.ids = np.concatenate([self.ids, fresh])
             place = np.searchsorted(self.known, distinct)
         start, count = self.start[place][which], self.count[place][which]
         at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
@@ -239,9 +264,11 @@ class PieceIds:
 
 
 _PIECE_IDS: dict[tuple[str, float], PieceIds] = {}
+MEMORIES["pieces"] = _PIECE_IDS.clear
 
 
 def _encode(path: str, rate: float, variants: int, seed: int):
+    @worker("pieces")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, rate) not in _PIECE_IDS:
             _PIECE_IDS[path, rate] = PieceIds(path)
@@ -273,6 +300,7 @@ _RAW: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
 
 def _decode(path: str):
+    @worker("pieces")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _RAW:
             raw = Vocabulary(path).raw
