@@ -37,6 +37,29 @@ def by_words(docs: DataFrame, key: str, text: str, size: int = 200, overlap: int
     return rows.select(key, "chunk_index", F.size(part).alias("n_words"), F.array_join(part, " ").alias("text"))
 
 
+def by_tokens(docs: DataFrame, key: str, text: str, size: int = 512, overlap: int = 50, tokenizer: str | None = None) -> DataFrame:
+    """(key, chunk_index, n_tokens, text): windows of a tokenizer file's tokens, cut from the text; without a file, of words."""
+    if tokenizer is None:
+        return by_words(docs, key, text, size, overlap).withColumnRenamed("n_words", "n_tokens")
+    if size <= overlap:
+        raise ValueError("overlap must be less than size")
+
+    def run(batches):
+        from tokenizers import Tokenizer
+
+        encode = Tokenizer.from_file(tokenizer).encode
+        for pdf in batches:
+            rows = []
+            for k, t in zip(pdf["k"], pdf["t"]):
+                spans = encode(t, add_special_tokens=False).offsets if t else []
+                for i, lo in enumerate(range(0, max(1, len(spans) - overlap), size - overlap) if spans else ()):
+                    part = spans[lo : lo + size]
+                    rows.append((k, i, len(part), t[part[0][0] : part[-1][1]]))
+            yield pd.DataFrame(rows, columns=[key, "chunk_index", "n_tokens", "text"])
+
+    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"{key} {dict(docs.dtypes)[key]}, chunk_index int, n_tokens int, text string")
+
+
 def sentences(text: Column) -> Column:
     return F.filter(F.split(text, r"(?<=[.!?])\s+"), lambda s: s != "")
 
@@ -188,7 +211,7 @@ def table_text(df: DataFrame, columns: list[str]) -> Column:
     return F.concat_ws(" | ", *(F.concat(F.lit(f"{c}: "), F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in columns))
 
 
-METHODS = {"character": by_characters, "word": by_words, "sentence": by_sentences, "paragraph": by_paragraphs, "recursive": recursive, "sliding": sliding, "hierarchical": hierarchical, "structural": structural, "entity_aware": entity_aware, "semantic": semantic}
+METHODS = {"character": by_characters, "word": by_words, "token": by_tokens, "sentence": by_sentences, "paragraph": by_paragraphs, "recursive": recursive, "sliding": sliding, "hierarchical": hierarchical, "structural": structural, "entity_aware": entity_aware, "semantic": semantic}
 
 
 def split(docs: DataFrame, key: str, text: str, method: str = "recursive", **options) -> DataFrame:

@@ -128,3 +128,48 @@ def test_registry():
     registry.unregister("split", "mine")
     with pytest.raises(KeyError):
         registry.get("split", "mine")
+
+
+def test_parsers(spark):
+    from graphloom.sources import parsers as P
+
+    j = spark.createDataFrame([(1, '{"a": {"b": [1, "x"]}, "c": null}'), (2, "bad"), (3, None)], "k int, t string")
+    assert [(r["path"], r["value"]) for r in P.json_paths(j, "k", "t").collect()] == [("a.b.0", "1"), ("a.b.1", "x"), ("c", None)]
+    assert [r[0] for r in j.orderBy("k").select(P.json_schema(F.col("t"))).collect()] == ["object", None, None]
+    f = spark.createDataFrame([("p", "text", bytearray(b"hi")), ("q", "json", bytearray(b"{")), ("r", "odd", bytearray(b""))], "path string, kind string, content binary")
+    got = {r["path"]: (r["ok"], r["text"], r["error"] is None) for r in P.parse_documents(f, P.PLAIN).collect()}
+    assert got == {"p": (True, "hi", True), "q": (False, None, False), "r": (False, None, False)}
+    m = spark.createDataFrame([('{"result": {"content": [{"type": "text", "text": "ok"}]}}',), ("plain",)], "b string")
+    assert sorted((r["kind"], r["text"]) for r in P.tool_payloads(m, "b").collect()) == [("text", "plain"), ("tool", "ok")]
+    assert P.converted(spark.range(1), "csv").first()["value"] == "0"
+
+
+def test_token_chunks(spark):
+    from graphloom.operators import chunking as K
+
+    d = spark.createDataFrame([(1, "one two three four five"), (2, ""), (3, None)], "k long, t string")
+    assert [r["text"] for r in K.by_tokens(d, "k", "t", 2, 1).orderBy("chunk_index").collect()] == ["one two", "two three", "three four", "four five"]
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    got = [r["text"] for r in K.by_tokens(d, "k", "t", 3, 0, public_tokenizers.path("byte_bpe_50k.json")).orderBy("chunk_index").collect()]
+    assert "".join(got).replace(" ", "") == "onetwothreefourfive"
+
+
+def test_linking_and_store(spark):
+    from graphloom.operators import linking as L
+    from graphloom.operators import store as G
+
+    reg = spark.createDataFrame([("Apple Inc", ["Apple"]), ("Microsoft", [])], "entity string, synonyms array<string>")
+    m = spark.createDataFrame([("apple",), ("apple inc",), ("nothing",)], "mention string")
+    got = {r["mention"]: (r["entity"], round(r["score"], 4)) for r in L.matches(m, reg).collect()}
+    assert got["apple inc"] == ("Apple Inc", 1.0) and got["apple"] == ("Apple Inc", 0.95) and "nothing" not in got
+    rec = spark.createDataFrame([(1, 1, {"a": "x"}), (1, 2, {"a": "y", "b": "z"})], "component int, ord int, properties map<string,string>")
+    for strategy, a in (("keep_first", "x"), ("keep_last", "y"), ("merge_all", "x|y")):
+        assert L.merged_properties(rec, strategy).first()["properties"] == {"a": a, "b": "z"}
+    pairs = spark.createDataFrame([(9, 1, 0.9), (9, 2, 0.7), (8, 1, 0.2)], "new_ord int, old_ord int, score double")
+    groups = spark.createDataFrame([(1, 1), (2, 1)], "id int, component int")
+    assert {r["new_ord"]: r["component"] for r in L.assign_to_clusters(pairs, groups, 0.5).collect()} == {9: 1, 8: None}
+    nodes = spark.createDataFrame([(1, ["a"], {"x": "1"})], "node int, labels array<string>, properties map<string,string>")
+    edges = spark.createDataFrame([(1, 2, "t")], "src int, dst int, type string")
+    assert G.with_missing_ends(nodes, edges).count() == 2
+    assert G.find_edges(edges, 2, "in").count() == 1 and G.find_edges(edges, 2, "out").count() == 0
+    assert G.delete_nodes(nodes, edges, nodes.select("node"))[1].count() == 0
