@@ -21,7 +21,8 @@ def block_key(name: Column) -> Column:
 def candidate_pairs(entities: DataFrame, threshold: float, score: Callable[[Column, Column], Column], block: Callable[[Column], Column] = block_key) -> DataFrame:
     """(a, b, score) of entities(ord, name) in one block whose names score `threshold` or more, a < b.
 
-    Equal names are scored once: pairs of distinct names are formed and scored, then joined back.
+    Equal names are scored once: pairs of distinct names are formed and scored, then joined back. The default
+    block is the first character, as names are compared by convention here; for large vocabularies give a finer one.
     """
     names = entities.select("name").distinct().withColumn("block", block(F.col("name")))
     x, y = names.alias("x"), names.alias("y")

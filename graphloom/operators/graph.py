@@ -123,17 +123,25 @@ def temporal_paths(edges: DataFrame, source: object, target: object, start: str,
     return shortest_path(edges, source, target, hops, True, meets)
 
 
-def closeness(edges: DataFrame, hops: int = 64) -> DataFrame:
-    """((r - 1) / sum of distances) * ((r - 1) / (n - 1)), r the nodes reached; all pairs, so for bounded graphs."""
-    nodes = degrees(edges).select("node")
+def _few_nodes(edges: DataFrame, most: int) -> DataFrame:
+    """All nodes, for measures over all pairs; an error beyond `most`."""
+    nodes = settled(degrees(edges).select("node"))
+    if nodes.limit(most + 1).count() > most:
+        raise ValueError(f"this measure compares all pairs of nodes and takes at most {most}")
+    return nodes
+
+
+def closeness(edges: DataFrame, hops: int = 64, most: int = 50_000) -> DataFrame:
+    """((r - 1) / sum of distances) * ((r - 1) / (n - 1)), r the nodes reached; all pairs, so the number of nodes is checked."""
+    nodes = _few_nodes(edges, most)
     n = nodes.agg(F.count("*").alias("n"))
     d = bfs(edges, nodes, hops).groupBy(F.col("source").alias("node")).agg(F.count("*").alias("r"), F.sum("distance").alias("total"))
     return d.crossJoin(F.broadcast(n)).select("node", (((F.col("r") - 1) / F.col("total")) * ((F.col("r") - 1) / (F.col("n") - 1))).alias("closeness"))
 
 
-def average_path_length(edges: DataFrame, hops: int = 64) -> DataFrame:
-    """One row: the mean distance over connected ordered pairs, and how many there are."""
-    d = bfs(edges, degrees(edges).select("node"), hops).filter("distance > 0")
+def average_path_length(edges: DataFrame, hops: int = 64, most: int = 50_000) -> DataFrame:
+    """One row: the mean distance over connected ordered pairs, and how many there are; the number of nodes is checked."""
+    d = bfs(edges, _few_nodes(edges, most), hops).filter("distance > 0")
     return d.agg(F.avg("distance").alias("mean_distance"), F.count("*").alias("n_pairs"))
 
 

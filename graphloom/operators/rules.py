@@ -65,14 +65,14 @@ def _fired(rule: Rule, facts: DataFrame, delta: DataFrame | None) -> DataFrame:
     """Conclusions of one rule; with delta, at least one premise is new."""
     out = None
     for new in range(len(rule.body)) if delta is not None else [None]:
-        rows = None
-        for i, atom in enumerate(rule.body):
-            part = _matches(delta if i == new else facts, atom)
-            if rows is None:
-                rows = part
-            else:
-                shared = [c for c in rows.columns if c in part.columns]
-                rows = rows.join(part, shared) if shared else rows.crossJoin(part)
+        parts = [_matches(delta if i == new else facts, atom) for i, atom in enumerate(rule.body)]
+        rows = parts.pop(new or 0)  # the few new facts first
+        while parts:
+            i = next((i for i, p in enumerate(parts) if set(p.columns) & set(rows.columns)), None)
+            if i is None:
+                raise ValueError(f"premises without a shared variable would be a cross product: {rule.name}")
+            part = parts.pop(i)
+            rows = rows.join(part, [c for c in rows.columns if c in part.columns])
         args = F.array(*(F.col(a[1:]) if a.startswith("?") else F.lit(a) for a in rule.head.args))
         rows = rows.select(F.lit(rule.head.pred).alias("pred"), args.alias("args"), F.lit(rule.name).alias("rule"), F.lit(len(rule.body)).alias("premises"))
         out = rows if out is None else out.unionByName(rows)

@@ -222,6 +222,11 @@ def test_rules_and_triples(spark):
     assert R.forward_chain(facts, [R.parse_rule("IF Nothing(?x) THEN Some(?x)")]).count() == 0
     same = R.forward_chain(R.fact_rows(spark.createDataFrame([("P(a, a)",), ("P(a, b)",)], "fact string")), [R.parse_rule("IF P(?x, ?x) THEN Loop(?x)")])
     assert [r["args"] for r in same.collect()] == [["a"]]
+    late = R.parse_rule("IF A(?x) AND B(?y) AND C(?x, ?y) THEN D(?x, ?y)")
+    abc = R.fact_rows(spark.createDataFrame([("A(1)",), ("B(2)",), ("C(1, 2)",), ("C(1, 3)",)], "fact string"))
+    assert [r["args"] for r in R.forward_chain(abc, [late]).collect()] == [["1", "2"]]
+    with pytest.raises(ValueError):
+        R.forward_chain(abc, [R.parse_rule("IF A(?x) AND B(?y) THEN E(?x, ?y)")])
     t = spark.createDataFrame([("a", "rdfs:subClassOf", "b"), ("b", "rdfs:subClassOf", "c"), ("x", "rdf:type", "a")], "s string, p string, o string")
     assert {r["class"] for r in TR.infer_types(t).collect()} == {"a", "b", "c"}
     with pytest.raises(ValueError):
