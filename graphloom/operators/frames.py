@@ -40,7 +40,23 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """df, written once to the shared folder: it cuts the lineage of an iteration and outlives lost executors."""
-    path = f"{shared_folder(df.sparkSession)}/graphloom-{uuid.uuid4().hex}"
+    """df, written once to the shared folder: it cuts the lineage of an iteration and outlives lost executors.
+
+    The table is needed as long as results that stem from it are read; drop_settled removes all of them.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/graphloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark.sparkContext._graphloom_settled = [*getattr(spark.sparkContext, "_graphloom_settled", []), path]
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_settled(spark: SparkSession) -> int:
+    """Removes the tables that settled wrote in this application, once no result needs them; how many there were."""
+    paths = getattr(spark.sparkContext, "_graphloom_settled", [])
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        target = jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(conf).delete(target, True)
+    spark.sparkContext._graphloom_settled = []
+    return len(paths)

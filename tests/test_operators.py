@@ -277,3 +277,12 @@ def test_ontology(spark):
     c = O.infer_classes(e).collect()
     assert [(r["class"], r["n"], r["properties"]) for r in c] == [("BigCity", 2, ["d", "n"])]
     assert as_dict(O.data_properties(e), "property", "xsd") == {"n": "double", "d": "date"}
+
+
+def test_settled_tables_can_be_dropped(spark):
+    from graphloom.operators.frames import drop_settled, settled
+
+    df = settled(spark.range(3))
+    assert df.count() == 3 and drop_settled(spark) >= 1 and drop_settled(spark) == 0
+    with pytest.raises(Exception, match="FileNotFound|PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
+        df.count()
