@@ -5,8 +5,6 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import functools
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from graphloom.operators.frames import ship_package
+from graphloom.operators.frames import settled, ship_package
 
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -56,24 +54,8 @@ def worker(name: str):
     return wrap
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or what the context was given.
-
-    Only where the session names none (tests, a laptop) is one made below the system's temporary folder.
-    """
-    given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not given:
-        given = tempfile.mkdtemp(prefix="graphloom-checkpoint")
-        spark.sparkContext.setCheckpointDir(given)
-        given = spark.sparkContext.getCheckpointDir()
-    return given.rstrip("/")
-
-
-def saved(df: DataFrame) -> DataFrame:
-    """df, computed once and written as a table to the shared folder, so that no lost executor undoes it."""
-    path = f"{shared_folder(df.sparkSession)}/graphloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+#: A table, computed once and written to the shared folder, so that no lost executor undoes it.
+saved = settled
 
 
 @worker("press")
