@@ -95,6 +95,23 @@ def test_repeats(spark, crowd):
         assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in by_id(df).items()} == brute_repeats(rows)
 
 
+def test_repeats_do_not_depend_on_how_a_later_scan_is_cut(spark, tmp_path):
+    from graphloom.llm.substring import remove_repeats
+
+    rows = [(2, "a " + BASE), (3, "b " + BASE), (1, "c " + BASE)]
+    documents(spark, rows).coalesce(1).write.parquet(str(tmp_path / "d"))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    try:
+        for first, later in (2, 1), (1, 2), (3, 1):
+            spark.conf.set(name, first)
+            df = remove_repeats(spark.read.parquet(str(tmp_path / "d")))
+            spark.conf.set(name, later)
+            assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in by_id(df).items()} == brute_repeats(rows)
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_repeats_keep_rows_and_layout(spark):
     from graphloom.llm.substring import remove_repeats, without_repeats
 
