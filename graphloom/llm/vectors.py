@@ -19,6 +19,8 @@ from graphloom.llm.words import constants
 
 #: Classes that are scored at once against the queries that probe them.
 BLOCK_ROWS = 4096
+#: The share of classes, the longest, that every query meets where norms differ.
+HEAVY = 1 / 32
 
 
 def usable(vector: str, nonzero: bool) -> Column:
@@ -103,22 +105,30 @@ def _padded(vectors: np.ndarray, top: float, query: bool) -> np.ndarray:
     return unit
 
 
-def _cells(tables: int, probes: int, seed: int, top: float, query: bool):
-    """Rows (cell, h, g, id, v): for data the nearest signed axis of each table, for queries the nearest `probes`."""
+def _cells(tables: int, taken: int, seed: int, heavy: float, query: bool):
+    """Rows (cell, h, g, id, v): the `taken` nearest signed axes of each table.
+
+    Data longer than `heavy` stands in one further cell instead, which every query takes too.
+    """
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not len(batch):
                 continue
-            unit = _padded(matrix(batch["v"], np.float64), top, query)
-            n, d = unit.shape
-            take = min(probes, 2 * d) if query else 1
+            vectors = matrix(batch["v"], np.float64)
+            long = np.full(len(vectors), True) if query else np.linalg.norm(vectors, axis=1) > heavy
+            unit = _padded(vectors, 0.0, query)
+            d = unit.shape[1]
+            groups = [(np.flatnonzero(long), np.full((long.sum(), 1), tables * 2 * d))]
+            light = np.arange(len(vectors)) if query else np.flatnonzero(~long)
+            take = min(taken, 2 * d)
             for table in range(tables):
-                y = rotated(unit, table, seed)
+                y = rotated(unit[light], table, seed)
                 signed = np.concatenate([y, -y], axis=1)
-                nearest = np.argpartition(-signed, take - 1, axis=1)[:, :take] if take < 2 * d else np.tile(np.arange(2 * d), (n, 1))
-                rows = pa.array(np.repeat(np.arange(n), take))
-                cells = pa.array((nearest + table * 2 * d).astype(np.int32).ravel())
+                nearest = np.argpartition(-signed, take - 1, axis=1)[:, :take]
+                groups.append((light, nearest + table * 2 * d))
+            for who, nearest in groups:
+                rows, cells = pa.array(np.repeat(who, nearest.shape[1])), pa.array(nearest.astype(np.int32).ravel())
                 yield pa.RecordBatch.from_arrays([cells, *(batch[c].take(rows) for c in ("h", "g", "id", "v"))], ["cell", "h", "g", "id", "v"])
 
     return assign
@@ -164,14 +174,16 @@ def cross_polytope_search(
     tables: int = 8,
     probes: int = 8,
     seed: int = 11,
+    files: int = 2,
 ) -> DataFrame:
     """The k nearest rows of each query row by inner product, found through cross-polytope hash tables.
 
-    Each table turns unit vectors with a fast pseudo-rotation and files them under the nearest
-    signed axis. A query probes the axes nearest to it in every table, and the classes found are
-    scored exactly. Where vectors differ in norm, one added component makes angles order inner
-    products. In a small table, where `probes` axes would hold fewer than 50 k rows, more are
-    probed, up to all. A cell of over BLOCK_ROWS classes is split, and its queries go to every part.
+    Each table turns unit vectors with a fast pseudo-rotation and files them under the `files` nearest
+    signed axes. A query probes the axes nearest to it in every table, as many in a small table as in
+    a large one, and the classes found are scored exactly. Where vectors differ in norm, the longest
+    of them, a share of HEAVY, are scored against every query; the others are filed by direction. A
+    query that finds fewer than k rows, of more in the table, meets all. A cell of over BLOCK_ROWS
+    classes is split, and its queries go to every part.
 
     query: a condition on df's rows. Out: query_id, rank from 1, vec_id, score. Ties go to the
     smaller id. Rows with a null id, or a vector that is null, empty, zero, of another length than
@@ -187,21 +199,28 @@ def cross_polytope_search(
     members = saved(_classes(rows, k))
     data = members.filter("n = 1").drop("n")
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    n, low, high = data.agg(F.count("*"), F.min(norm), F.max(norm)).first()
-    top = 0.0 if not n or high - low <= 1e-4 * high else float(high)
-    axes = 2 * (1 << max(1, (d + (top > 0) - 1).bit_length()))
-    probes = min(axes, max(probes, -(-axes * 50 * k // max(n, 1))))
-    kind = dict(rows.dtypes)["v"]
-    schema = f"cell int, h long, g long, id long, v {kind}"
-    filed = data.select("h", "g", "id", "v").mapInArrow(_cells(tables, 1, seed, top, False), schema)
+    cut = F.percentile_approx(norm, 1 - HEAVY, 10_000)
+    n, low, high, cut = data.agg(F.count("*"), F.min(norm), F.max(norm), cut).first()
+    heavy = float(cut) if n and high - low > 1e-4 * high else float("inf")
+    axes = 2 * (1 << max(1, (d - 1).bit_length()))
+    schema = f"cell int, h long, g long, id long, v {dict(rows.dtypes)['v']}"
     wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v"), F.min("id").alias("id")).select("h", "g", "id", "v")
-    wanted = wanted.mapInArrow(_cells(tables, probes, seed, top, True), schema)
-    # tables * axes rows at most, whatever the size of df
-    parts = F.broadcast(filed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")))
-    filed = filed.join(parts, "cell").withColumn("part", F.pmod("h", F.col("parts")).cast("int")).drop("parts")
-    wanted = wanted.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-    found = wanted.groupBy("cell", "part").cogroup(filed.groupBy("cell", "part"))
-    found = found.applyInArrow(_score_cell(k), "qh long, qg long, h long, g long, first long, score double")
+
+    def found_by(wanted: DataFrame, tables: int, files: int, probes: int) -> DataFrame:
+        filed = data.select("h", "g", "id", "v").mapInArrow(_cells(tables, files, seed, heavy, False), schema)
+        wanted = wanted.mapInArrow(_cells(tables, probes, seed, heavy, True), schema)
+        # tables * axes + 1 rows at most, whatever the size of df
+        parts = F.broadcast(filed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")))
+        filed = filed.join(parts, "cell").withColumn("part", F.pmod("h", F.col("parts")).cast("int")).drop("parts")
+        wanted = wanted.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        found = wanted.groupBy("cell", "part").cogroup(filed.groupBy("cell", "part"))
+        return found.applyInArrow(_score_cell(k), "qh long, qg long, h long, g long, first long, score double")
+
+    found = saved(found_by(wanted, tables, files, probes))
+    enough = found.select("qh", "qg", "h", "g").distinct().groupBy("qh", "qg").count().filter(F.col("count") >= min(k + 1, n))
+    short = saved(wanted.join(enough.select(F.col("qh").alias("h"), F.col("qg").alias("g")), ["h", "g"], "left_anti").select("h", "g", "id", "v"))
+    if not short.isEmpty():
+        found = found.unionByName(found_by(short, 1, 1, axes))
     # the same class found through several tables has one score
     found = found.groupBy("qh", "qg", "h", "g", "first").agg(F.max("score").alias("score"))
     return _ranked(found, members, asked, k, "double")

@@ -64,6 +64,46 @@ def test_recall_on_the_embeddings(spark, sf_dir):
     assert hit / (20 * len(want)) >= 0.9
 
 
+@pytest.mark.parametrize("spread", [0.0, 0.5])
+def test_recall_on_many_rows(spark, tmp_path, spread):
+    """Far more rows than cells, of one norm, and of unequal norms with an outlier."""
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from graphloom.llm.vectors import cross_polytope_search
+
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(24_000, 64))
+    x *= (np.exp(spread * rng.normal(size=len(x))) / np.linalg.norm(x, axis=1))[:, None]
+    if spread:
+        x[7] *= 1000
+    x = x.astype(np.float32)
+    pq.write_table(pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)}), str(tmp_path / "e.parquet"))
+    out = cross_polytope_search(spark.read.parquet(str(tmp_path / "e.parquet")), F.col("vec_id") % 400 == 0, 20).toPandas()
+    groups = dict(list(out.groupby("query_id")))
+    hit = 0
+    for q in range(0, len(x), 400):
+        s = x.astype(float) @ x[q]
+        s[q] = -np.inf
+        want = set(np.argpartition(-s, 20)[:20])
+        found = set(groups[q]["vec_id"])
+        assert not spread or (7 in found) == (7 in want)
+        hit += len(found & want)
+    recall = hit / (20 * len(groups))
+    print("recall", spread, recall)
+    assert recall >= 0.95
+
+
+def test_probes_do_not_grow_in_small_tables(spark, monkeypatch):
+    from graphloom.llm import vectors as V
+
+    taken, cells = [], V._cells
+    monkeypatch.setattr(V, "_cells", lambda tables, n, *rest: taken.append((tables, n)) or cells(tables, n, *rest))
+    rng = np.random.default_rng(5)
+    V.cross_polytope_search(vectors(spark, [(i, [float(y) for y in rng.normal(size=64)]) for i in range(300)]), F.col("vec_id") < 3, 5)
+    assert (8, 8) in taken and all(n <= 8 for _, n in taken)
+
+
 def test_pivot_topk_is_exact(spark):
     from graphloom.llm.vectors import pivot_topk
 
