@@ -23,7 +23,7 @@ from graphloom.llm.runtime import ship, worker
 #: Phrases whose places are counted, and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: label | keyword | regular expressions of the name, over normalised words. Each gives a rule for
+#: label | keywords, one of which is in every text that matches | regular expressions of the name, over normalised words. Each gives a rule for
 #: a tag, for a notice, and for the bare name.
 NAMES = """
 apache-2.0 | apache | apache (?:software )?license(?: version)? 2(?: 0)?|apache 2 0
@@ -37,7 +37,7 @@ bsd-3-clause | bsd | (?:new|modified|revised|3 clause|three clause) bsd license|
 bsd-4-clause | bsd | (?:original|old|4 clause|four clause) bsd license|bsd 4 clause(?: license)?
 0bsd | bsd | bsd zero clause license|0bsd
 bsd-protection | bsd | bsd protection license
-isc | isc | isc license|internet systems consortium license
+isc | isc, internet systems consortium | isc license|internet systems consortium license
 gpl-1.0 | general public | gnu general public license(?: version| v)? 1(?: 0)?
 gpl-2.0 | general public | gnu general public license(?: version| v)? 2(?: 0)?|general public license v2
 gpl-3.0 | general public | gnu general public license(?: version| v)? 3(?: 0)?|general public license v3
@@ -94,16 +94,16 @@ cc-by-name | creative commons | creative commons attribution(?: [1-4] [05])?(?:
 cc-by-sa-name | creative commons | creative commons attribution share ?alike(?: [1-4] [05])?(?: international| unported| generic)?(?: license)?
 cc-by-nc-name | creative commons | creative commons attribution non ?commercial(?: [1-4] [05])?(?: international| unported| generic)?(?: license)?
 cc-by-nd-name | creative commons | creative commons attribution no ?deriv(?:s|atives)(?: [1-4] [05])?(?: international| unported| generic)?(?: license)?
-odbl-1.0 | open database | open (?:data commons )?database license(?: version| v)?(?: 1 0)?
+odbl-1.0 | open database, open data commons | open (?:data commons )?database license(?: version| v)?(?: 1 0)?
 odc-by-1.0 | open data commons | open data commons attribution license
 pddl-1.0 | public domain dedication | (?:odc )?public domain dedication (?:and|&) licen[cs]e
 public-domain | public domain | (?:in|into|to) the public domain|public domain dedication
 zlib | zlib | zlib license|zlib libpng license
-libpng | libpng | libpng license|png reference library license
+libpng | libpng, png reference | libpng license|png reference library license
 ijg | jpeg | independent jpeg group s? ?license
 openssl | openssl | openssl license|openssl and ssleay license
 curl | curl | curl license
-python-2.0 | python | python (?:software foundation )?license(?: version)? 2|psf license
+python-2.0 | python, psf | python (?:software foundation )?license(?: version)? 2|psf license
 ruby | ruby | ruby s license|ruby license
 php-3.01 | php | php license(?: version)?(?: 3 0?1)?
 postgresql | postgresql | postgresql licen[cs]e
@@ -133,7 +133,8 @@ polyform-nc | polyform | polyform noncommercial license(?: 1 0 0)?
 proprietary | proprietary | proprietary and confidential|confidential and proprietary
 """
 
-#: priority | label | keyword | regular expression: sentences of license texts and notices.
+#: priority | label | keywords | regular expression: sentences of license texts and notices. The sentence on compliance
+#: stands in CDDL notices too, so it alone asks for a keyword that is no part of it.
 SENTENCES = r"""
 90 | mit | permission is hereby | permission is hereby granted free of charge to any person obtaining a copy
 90 | isc | permission to use | permission to use copy modify and or distribute this software for any purpose
@@ -158,9 +159,9 @@ SENTENCES = r"""
 84 | boost | boost | boost org license 1 0 txt
 82 | unlicense | unencumbered | free and unencumbered software released into the public domain
 82 | zlib | as is | this software is provided as is without any express or implied warranty
-80 | warranty | warranty | without warranties or conditions of any kind
+80 | warranty | without warranties | without warranties or conditions of any kind
 80 | warranty | warranty | without even the implied warranty of merchantability
-80 | warranty | warranties | (?:provided )?as is without warrant(?:y|ies) of any kind
+80 | warranty | as is without warrant | (?:provided )?as is without warrant(?:y|ies) of any kind
 60 | gpl | gnu | gnu general public license
 60 | lgpl | lesser | gnu lesser general public license
 60 | agpl | affero | affero general public license
@@ -170,8 +171,7 @@ SENTENCES = r"""
 45 | copyright | copyright | copyright (?:c )?(?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})?
 40 | license | licensed under | licensed under (?:the )?(?:\S+ ){0,6}licen[cs]e
 40 | license | license | see (?:the )?license (?:file )?for (?:more )?(?:details|information)
-35 | license | licence | this work is licen[cs]ed under
-35 | license | license | this work is licen[cs]ed under
+35 | license | licence, license | this work is licen[cs]ed under
 30 | trademark | trademark | (?:registered )?trademarks? of
 30 | patent | patent | patents? (?:pending|granted)
 """
@@ -183,12 +183,12 @@ SURE = 100
 class Rule(NamedTuple):
     priority: int
     label: str
-    keyword: str
+    keywords: list[str]
     pattern: re.Pattern
 
 
-def _rule(priority: int, label: str, keyword: str, pattern: str) -> Rule:
-    return Rule(priority, label, keyword, re.compile(rf"(?<= )(?:{pattern})(?= )"))
+def _rule(priority: int, label: str, keywords: str, pattern: str) -> Rule:
+    return Rule(priority, label, keywords.split(", "), re.compile(rf"(?<= )(?:{pattern})(?= )"))
 
 
 def rules() -> list[Rule]:
@@ -214,7 +214,8 @@ class Scanner:
     def __init__(self) -> None:
         self.by_keyword = defaultdict(list)
         for rule in rules():
-            self.by_keyword[rule.keyword].append(rule)
+            for keyword in rule.keywords:
+                self.by_keyword[keyword].append(rule)
         self.keywords = ahocorasick.Automaton()
         for word in [*self.by_keyword, *BASE]:
             self.keywords.add_word(word, word)

@@ -210,6 +210,46 @@ def test_license_scan(spark):
     assert scan_licenses(documents(spark).limit(0)).count() == 0
 
 
+def sample_phrases(tree):
+    """Texts that a parsed pattern matches, with each alternative and each optional part in some."""
+    out = [""]
+    for op, value in tree:
+        name = str(op)
+        if name == "LITERAL":
+            some = [chr(value)]
+        elif name == "IN":
+            some = sorted({chr(v if str(o) == "LITERAL" else v[0]) if str(o) != "CATEGORY" else "q" for o, v in value})
+        elif name == "SUBPATTERN":
+            some = sample_phrases(value[3])
+        elif name == "BRANCH":
+            some = [t for branch in value[1] for t in sample_phrases(branch)]
+        elif name == "MAX_REPEAT":
+            low, high, part = value
+            parts = sample_phrases(part)
+            some = sorted({t * n for t in parts for n in (low, min(high, low + 1))})
+        else:
+            assert name == "ASSERT"
+            some = [""]
+        out = [a + b for a in out for b in some]
+    return out
+
+
+def test_each_license_rule_fires_on_its_own_phrases():
+    import re._parser
+
+    from graphloom.llm.licenses import Scanner, rules
+
+    scanner = Scanner()
+    for rule in rules():
+        for phrase in sample_phrases(re._parser.parse(rule.pattern.pattern)):
+            if phrase == "you may not use this file except in compliance with the license":
+                continue  # CDDL notices hold it too
+            assert any(word in phrase for word in rule.keywords), (rule, phrase)
+    for text, label in [("provided as is without warranty of any kind", "warranty"), ("without warranties or conditions of any kind", "warranty"), ("PSF license", "python-2.0"), ("Internet Systems Consortium License", "isc"), ("released under the PNG Reference Library License", "libpng"), ("open data commons database license", "odbl-1.0")]:
+        _, _, _, _, _, labels, score, spans = scanner.scan(text)
+        assert label in labels.split(",") and score > 0 and spans, text
+
+
 def test_suppression():
     from graphloom.llm.licenses import suppressed
 
