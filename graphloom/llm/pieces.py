@@ -1,10 +1,12 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
 A text is a run of words, each with the spaces before it, and no merge crosses a word's start, so
-distinct words are encoded once. The agenda takes the best-scored candidate merge first; a candidate
-whose keyed hash (seed, variant, word, place, piece) falls below the dropout rate is skipped. A word's
-variant comes from its document and place, so a word is cut up in several ways over the corpus, the
-same way in every run. Without dropout the pieces are the model's own.
+distinct words are encoded once without dropout, and the merges that this offers are remembered. The
+agenda takes the best-scored candidate merge first; a candidate whose keyed hash (seed, document,
+word's place in it, word, place, piece) falls below the dropout rate is skipped. So each occurrence
+of a word is cut up on its own, the same way in every run: where none of the merges offered without
+dropout is skipped the remembered pieces hold, elsewhere the occurrence is encoded anew. Without
+dropout the pieces are the model's own.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ NONE = np.int64(1) << 62
 SPACE = "▁"
 #: Longer words go through a heap instead of the matrix, which takes a step for each merge.
 MATRIX = 48
-REMEMBERED = 1_500_000
+REMEMBERED = 500_000
 
 
 def default_model() -> str:
@@ -91,7 +93,7 @@ class Vocabulary:
 
 
 def skipped(word: np.ndarray, place: np.ndarray, piece: np.ndarray, rate: float) -> np.ndarray:
-    """Whether the candidate merge into this piece at this place of the word is left out; word: hash with seed and variant."""
+    """Whether the candidate merge into this piece at this place of the word is left out; word: hash with seed, document and place."""
     if rate <= 0:
         return np.zeros(np.shape(piece), bool)
     h = mix((word ^ (place.astype(U) * _SALTS[0])) + piece.astype(U) * _SALTS[1])
@@ -133,8 +135,11 @@ def _agenda(v: Vocabulary, symbols: list[int], word: np.uint64, rate: float) ->
     return [(symbols[p], p) for p in out]
 
 
-def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, whether a place begins a piece) of many words of one length, a merge of each at a time."""
+def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float, offers: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, whether a place begins a piece) of many words of one length, a merge of each at a time.
+
+    offers takes (rows, places, pieces) of all candidate merges.
+    """
     n, size = symbols.shape
     symbols = np.concatenate([symbols, np.full((n, 1), -1)], 1)
     after = np.tile(np.arange(1, size + 2), (n, 1))
@@ -144,6 +149,9 @@ def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -
 
     def offer(rows: np.ndarray, p: np.ndarray) -> None:
         piece = v.merged(symbols[rows, p], symbols[rows, after[rows, p]])
+        if offers is not None:
+            some = piece >= 0
+            offers.append((rows[some], p[some], piece[some]))
         able = (piece >= 0) & ~skipped(word[rows], p, piece, rate)
         cost[rows, p] = np.where(able, v.rank[np.maximum(piece, 0)], NONE)
 
@@ -176,8 +184,13 @@ def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -
     return symbols[:, :size], begins
 
 
+def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each run, count of them, in a row."""
+    return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
+
+
 class PieceIds:
-    """Piece ids by word and variant, remembered."""
+    """Piece ids by word without dropout, and the merges offered on the way, remembered."""
 
     def __init__(self, path: str) -> None:
         self.vocabulary = Vocabulary(path)
@@ -186,9 +199,12 @@ class PieceIds:
     def clear(self) -> None:
         self.known, self.ids = np.zeros(0, U), np.zeros(0, np.int32)
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.offer_start, self.offer_count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.offers = np.zeros((2, 0), np.int32)
 
-    def _encoded(self, words: list[str], keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(all ids, where each word's begin, how many each has)."""
+    def _encoded(self, words: list[str], keys: np.ndarray, rate: float, offered: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(all ids, where each word's begin, how many each has). offered takes (words, places, pieces) of the candidate
+        merges; a word too long for the matrix has the one merge (-1, -1)."""
         v = self.vocabulary
         sizes = np.array([len(w) for w in words])
         count, start, parts, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
@@ -199,13 +215,19 @@ class PieceIds:
             chars = codes[first[group][:, None] + np.arange(size)]
             symbols = v.symbols(chars)
             if size <= MATRIX:
-                pieces, begins = _matrix(v, symbols, keys[group], rate)
+                offers = None if offered is None else []
+                pieces, begins = _matrix(v, symbols, keys[group], rate, offers)
+                if offers:
+                    rows, places, made = (np.concatenate(x) for x in zip(*offers))
+                    offered.append((group[rows], places, made))
             else:
                 pieces, begins = symbols.copy(), np.zeros(symbols.shape, bool)
                 for row, i in enumerate(group.tolist()):
                     found = _agenda(v, symbols[row].tolist(), keys[i], rate)
                     places = [p for _, p in found]
                     begins[row, places], pieces[row, places] = True, [x for x, _ in found]
+                if offered is not None:
+                    offered.append((group, np.full(len(group), -1), np.full(len(group), -1)))
             plain = ~((pieces < 0) & begins).any(axis=1)
             for own, whole in ((plain, True), (~plain, False)):
                 some, p, b = group[own], pieces[own], begins[own]
@@ -223,7 +245,7 @@ class PieceIds:
                 total += len(flat)
         return np.concatenate(parts) if parts else np.zeros(0, np.int32), start, count
 
-    def of(self, data: np.ndarray, offsets: np.ndarray, document: np.ndarray, rate: float, variants: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    def of(self, data: np.ndarray, offsets: np.ndarray, document: np.ndarray, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many of each). Texts begin with a space that stands for the model's prefix."""
         space = data == 32
         begin = space.copy()
@@ -238,52 +260,73 @@ class PieceIds:
         total = np.zeros(len(data) + 1, U)
         np.cumsum(_VALUES[data] * up[:-1], out=total[1:])
         word = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
-        text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-        nth = np.arange(len(starts)) - first[text]
-        variant = mix(mix(document[text].astype(np.int64).view(U) * _SALTS[2]) + nth.astype(U)) % U(variants) if rate > 0 else np.zeros(len(starts), U)
-        keys = mix(word + variant * _SALTS[3] + U(seed * int(_SALTS[4]) & (1 << 64) - 1))
-        distinct, example, which = np.unique(keys, return_index=True, return_inverse=True)
+        distinct, example, which = np.unique(word, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), bool)
         inside = place < len(self.known)
         new[inside] = self.known[place[inside]] != distinct[inside]
+        raw = data.tobytes()
         if new.any():
             if len(self.known) + new.sum() > REMEMBERED:
                 self.clear()
                 new[:] = True
-            raw = data.tobytes()
-            fresh, begin_at, counts = self._encoded([raw[starts[i] : ends[i]].decode() for i in example[new]], distinct[new], rate)
-            place = np.searchsorted(self.known, distinct[new])
-            self.known = np.insert(self.known, place, distinct[new])
-            self.start, self.count = np.insert(self.start, place, len(self.ids) + begin_at), np.insert(self.count, place, counts)
-            self.ids = np.concatenate([self.ids, fresh])
+            self._remember(distinct[new], [raw[starts[i] : ends[i]].decode() for i in example[new]])
             place = np.searchsorted(self.known, distinct)
-        start, count = self.start[place][which], self.count[place][which]
-        at = np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
-        return self.ids[at], np.diff(np.concatenate([[0], np.cumsum(count)])[first])
-
-
-_PIECE_IDS: dict[tuple[str, float], PieceIds] = {}
+        place = place[which]
+        start, count, ids = self.start[place], self.count[place], self.ids
+        if rate > 0:
+            text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+            nth = np.arange(len(starts)) - first[text]
+            keys = mix(mix(document[text].astype(np.int64).view(U) * _SALTS[2]) + nth.astype(U) * _SALTS[3] + U(seed * int(_SALTS[4]) & (1 << 64) - 1))
+            keys = mix(keys ^ word)
+            varied = np.zeros(len(starts), bool)
+            for lo in range(0, len(starts), 50_000):
+                n = self.offer_count[place[lo : lo + 50_000]]
+                of, at = np.repeat(np.arange(lo, lo + len(n)), n), _spread(self.offer_start[place[lo : lo + 50_000]], n)
+                at, piece = self.offers[:, at].astype(np.int64)
+                varied[of[skipped(keys[of], at, piece, rate) | (piece < 0)]] = True
+            anew = np.flatnonzero(varied)
+            fresh, begin_at, counts = self._encoded([raw[starts[i] : ends[i]].decode() for i in anew], keys[anew], rate)
+            start[anew], count[anew] = len(ids) + begin_at, counts
+            ids = np.concatenate([ids, fresh])
+        return ids[_spread(start, count)], np.diff(np.concatenate([[0], np.cumsum(count)])[first])
+
+    def _remember(self, hashes: np.ndarray, words: list[str]) -> None:
+        offered: list[tuple[np.ndarray, ...]] = []
+        fresh, begin_at, counts = self._encoded(words, hashes, 0.0, offered)
+        of, at, piece = (np.concatenate(x) for x in zip(*offered)) if offered else (np.zeros(0, np.int64),) * 3
+        order = np.argsort(of, kind="stable")
+        offers = np.bincount(of, minlength=len(words))
+        place = np.searchsorted(self.known, hashes)
+        self.known = np.insert(self.known, place, hashes)
+        self.start, self.count = np.insert(self.start, place, len(self.ids) + begin_at), np.insert(self.count, place, counts)
+        self.offer_start = np.insert(self.offer_start, place, self.offers.shape[1] + np.cumsum(offers) - offers)
+        self.offer_count = np.insert(self.offer_count, place, offers)
+        self.ids = np.concatenate([self.ids, fresh])
+        self.offers = np.concatenate([self.offers, np.stack([at[order], piece[order]]).astype(np.int32)], 1)
+
+
+_PIECE_IDS: dict[str, PieceIds] = {}
 MEMORIES["pieces"] = _PIECE_IDS.clear
 
 
-def _encode(path: str, rate: float, variants: int, seed: int):
+def _encode(path: str, rate: float, seed: int):
     @worker("pieces")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (path, rate) not in _PIECE_IDS:
-            _PIECE_IDS[path, rate] = PieceIds(path)
+        if path not in _PIECE_IDS:
+            _PIECE_IDS[path] = PieceIds(path)
         for batch in batches:
             texts = pc.fill_null(batch["text"], "")
             texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
             document = numbers(pc.fill_null(batch["doc_id"], -1))
             for at, end, data, offsets in chunks(texts):
-                ids, counts = _PIECE_IDS[path, rate].of(data, offsets, document[at:end], rate, variants, seed)
+                ids, counts = _PIECE_IDS[path].of(data, offsets, document[at:end], rate, seed)
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(at, end - at), ragged(counts, ids, pa.int32())], ["doc_id", "ids"])
 
     return run
 
 
-def encode_pieces(docs: DataFrame, rate: float = 0.1, seed: int = 7, variants: int = 4, model: str | None = None) -> DataFrame:
+def encode_pieces(docs: DataFrame, rate: float = 0.1, seed: int = 7, model: str | None = None) -> DataFrame:
     """(doc_id, ids): the piece ids of every whole text, with merges dropped at this rate.
 
     A null text and an empty one have no ids. Characters that are no piece become byte pieces, and so does
@@ -293,7 +336,7 @@ def encode_pieces(docs: DataFrame, rate: float = 0.1, seed: int = 7, variants: i
     """
     ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return docs.mapInArrow(_encode(model or default_model(), rate, variants, seed), "doc_id long, ids array<int>")
+    return docs.mapInArrow(_encode(model or default_model(), rate, seed), "doc_id long, ids array<int>")
 
 
 _RAW: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}

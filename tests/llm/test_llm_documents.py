@@ -308,6 +308,29 @@ def test_dropout_varies_and_both_agendas_agree(spark):
     assert runs[1] != runs[2] and len(set(runs[1])) > 1
 
 
+def test_dropout_varies_each_occurrence(spark):
+    import collections
+
+    from graphloom.llm import pieces as P
+
+    docs = documents(spark, [(i, "x" + " information" * 500) for i in range(4)])
+    model = P.Vocabulary(P.default_model())
+    names = {i: n for n, i in model.ids.items()}
+    seen = collections.Counter()
+    for r in P.encode_pieces(docs, 0.1).collect():
+        for word in "".join(("\n" if names[i].startswith(P.SPACE) else "|") + names[i] for i in r["ids"]).split("\n")[2:]:
+            seen[word] += 1
+    v, word = model, " information"
+    import numpy as np
+
+    ids = np.tile(v.symbols(np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint32)), (4000, 1))
+    keys = np.random.default_rng(6).integers(0, 1 << 63, 4000).astype(np.uint64)
+    _, begins = P._matrix(v, ids, keys, 0.1)
+    plain = (begins.sum(axis=1) == 1).mean()
+    assert len(seen) > 4 and sum(seen.values()) >= 1990
+    assert abs(seen[P.SPACE + "information"] / sum(seen.values()) - plain) < 0.05
+
+
 # -- languages -----------------------------------------------------------------------------------------
 
 
