@@ -22,7 +22,11 @@ from graphloom.llm.runtime import ship, worker
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content isn't text of the page.
-RAW = set("script style title textarea noscript iframe template svg math object select option head".split()) - {"head"}
+RAW = set("script style title textarea iframe template svg select option".split())
+#: Of these, the ones in which tags are plain text up to their own end tag.
+PLAIN = set("script style textarea iframe".split())
+#: Elements that end where a block begins; in an svg only outside foreignObject.
+UNBLOCKED = set("title svg option".split())
 BLOCKS = set(
     "html body head address article aside blockquote dd details dialog div dl dt fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr li main nav ol p pre section summary table tbody thead tfoot tr td th caption ul".split()
@@ -72,10 +76,42 @@ class Page(NamedTuple):
     pieces: list[tuple[int, int, str]]  # (node, block, text as it stands)
 
 
+def _after_raw(html: str, at: int, tag: str, above: set[str], unclosed: set[str]) -> int:
+    """Where an element of RAW that begins at `at` ends: at its own end tag, or else where an element above it ends.
+
+    unclosed: tags of PLAIN that are known to have no end tag from here on.
+    """
+    if tag in PLAIN:
+        shut = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(html, at)
+        if shut:
+            return shut.end()
+        unclosed.add(tag)
+        over = re.compile(rf"</(?:{'|'.join(map(re.escape, above))})\s*>", re.I).search(html, at) if above else None
+        return over.start() if over else len(html)
+    inside: list[str] = []
+    for m in _TOKEN.finditer(html, at):
+        name = (m[2] or "").lower()
+        if not name:
+            continue
+        if m[1]:
+            if name in inside:
+                del inside[len(inside) - 1 - inside[::-1].index(name) :]
+            elif name == tag:
+                return m.end()
+            elif name in above:
+                return m.start()
+        elif tag == "option" and name in ("option", "optgroup") or tag in UNBLOCKED and name in BLOCKS and "foreignobject" not in inside:
+            return m.start()
+        elif name not in VOID and not m[3].rstrip().endswith("/"):
+            inside.append(name)
+    return len(html)
+
+
 def parse(html: str) -> Page:
     """The elements of a page in order and its text pieces; missing and stray end tags are allowed for."""
     nodes, pieces = [Node("#root", -1, 0, "")], []
     stack, block, at, end = [0], 0, 0, len(html)
+    unclosed: set[str] = set()
     while at < end:
         m = _TOKEN.search(html, at)
         stop = m.start() if m else end
@@ -114,8 +150,12 @@ def parse(html: str) -> Page:
                 pieces.append((stack[-1], block, " "))
             continue
         if tag in RAW:
-            shut = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = shut.end() if shut else end
+            closed = m[3].rstrip().endswith("/")
+            if closed and tag in PLAIN:  # `<script src=a/>` before its own end tag isn't closed
+                near = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(html, at)
+                closed = not near or not near[1]
+            if not closed:
+                at = _after_raw(html, at, tag, {nodes[i].tag for i in stack[1:]}, unclosed)
             continue
         nodes.append(Node(tag, stack[-1], len(stack), m[3]))
         if not m[3].rstrip().endswith("/"):
@@ -392,7 +432,7 @@ def kept_nodes(page: Page, log_odds: np.ndarray) -> np.ndarray:
 def text_of(page: Page, kept: np.ndarray) -> str:
     blocks: dict[int, list[str]] = {}
     for node, block, piece in page.pieces:
-        if kept[node] and node:
+        if kept[node] and (node or any(c.isalnum() for c in piece) or block in blocks):
             blocks.setdefault(block, []).append(piece)
     texts = (" ".join(unescape("".join(p)).split()) for p in blocks.values())
     return "\n\n".join(t for t in texts if t)

@@ -205,6 +205,30 @@ def test_extraction_edges(spark):
     assert extract_main_text(pages.limit(0)).count() == 0
 
 
+LINE = "main text of this page, with words. " * 8
+RAW_PAGES = {
+    "svg": (f"<article><p>{LINE}<svg class=icon/></p><p>{LINE}</p></article>", [LINE, LINE]),
+    "open svg": (f"<article><p>{LINE}<svg><path d=x></p><p>{LINE}</p></article>", [LINE, LINE]),
+    "math": (f"<article><p>{LINE}<math/></p><p>{LINE}with <math><mi>x</mi></math> too</p></article>", [LINE, LINE + "with x too"]),
+    "noscript": (f"<article><p>{LINE}</p><noscript><p>{LINE}</p></noscript><object><p>{LINE}</p></object></article>", [LINE, LINE, LINE]),
+    "option": (f"<article><datalist><option>one<option>two</datalist><p>{LINE}</p><select><option>a<option>b</select><p>{LINE}</p></article>", [LINE, LINE]),
+    "script": (f"<article><script src=a.js/><p>{LINE}</p><script src=b/>x()</script><p>{LINE}</p></article>", [LINE, LINE]),
+    "open script": (f"<body><div><script>var x = 1;</div><article><p>{LINE}</p></article></body>", [LINE]),
+    "template": (f"<article><div><template><div>no</div></template><p>{LINE}</p></div></article>", [LINE]),
+    "root": ("plain words only", ["plain words only"]),
+    "root br": ("Text<br>text", ["Text text"]),
+    "after": (f"<html><body><article><p>{LINE}</p></article></body></html>and more", [LINE, "and more"]),
+}
+
+
+@pytest.mark.parametrize("name", RAW_PAGES)
+def test_no_main_text_is_lost(name):
+    from graphloom.llm.html import main_texts, trained
+
+    html, blocks = RAW_PAGES[name]
+    assert main_texts([html], trained())[0] == "\n\n".join(b.strip() for b in blocks)
+
+
 def test_invented_layouts_that_were_not_trained_on():
     from graphloom.llm.html import _KEEP, features, kept_nodes, parse, trained, training_pages
 
