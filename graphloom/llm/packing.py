@@ -1,12 +1,10 @@
-"""Tokenising and bulk-synchronous best-fit packing.
-
-Documents and gaps are kept in the order of their sizes. A round takes the largest documents not
-yet placed; a successor sweep finds for them the smallest gap that holds them; ranks decide which of
-them get which gap; the gaps shrink, and the next round begins. As sizes and gaps are whole numbers
-up to the capacity, all documents of one size are one run of the sorted order and all gaps that were
-filled alike are another, so a round moves runs. The sweep's state is bounded by the capacity and
-not by the corpus: the driver sees one count for each size, and each document's place follows
-from its rank within its size, which the executors number.
+"""Tokenising and best-fit decreasing packing.
+
+The driver matches documents and gaps, serially: the largest documents go first, each into the smallest
+gap that holds it. As sizes and gaps are whole numbers up to the capacity, all documents of one size
+are one run and all gaps that were filled alike are another, so a step moves runs. The driver sees one
+count for each size, capacity counts at most, whatever the corpus. Each document's place follows from
+its rank within its size, which the executors number.
 """
 
 from __future__ import annotations
