@@ -14,11 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.llm.runtime import matrix, numbers, saved, ship
+from graphloom.llm.runtime import matrix, numbers, ragged, saved, ship
 from graphloom.llm.words import constants
 
-#: Classes that are scored at once against the queries that probe them.
+#: Classes in a block, and queries that a block meets at once.
 BLOCK_ROWS = 4096
+BLOCK_QUERIES = 2048
 #: The share of classes, the longest, that every query meets where norms differ.
 HEAVY = 1 / 32
 
@@ -89,26 +90,40 @@ def rotated(unit: np.ndarray, table: int, seed: int) -> np.ndarray:
     return unit
 
 
-def _padded(vectors: np.ndarray, top: float, query: bool) -> np.ndarray:
-    """Unit vectors whose angles order inner products.
-
-    With top > 0 the norms differ: data vectors get one more component, sqrt(top^2 - |x|^2), queries 0.
-    """
-    norms = np.linalg.norm(vectors, axis=1)
-    d = vectors.shape[1] + (top > 0)
+def _padded(vectors: np.ndarray) -> np.ndarray:
+    """Unit vectors, with zeros up to a power of two."""
+    d = vectors.shape[1]
     unit = np.zeros((len(vectors), 1 << max(1, (d - 1).bit_length())))
-    if top > 0 and not query:
-        unit[:, : d - 1] = vectors / top
-        unit[:, d - 1] = np.sqrt(np.maximum(0, 1 - (norms / top) ** 2))
-    else:
-        unit[:, : vectors.shape[1]] = vectors / norms[:, None]
+    unit[:, :d] = vectors / np.linalg.norm(vectors, axis=1)[:, None]
     return unit
 
 
-def _cells(tables: int, taken: int, seed: int, heavy: float, query: bool):
-    """Rows (cell, h, g, id, v): the `taken` nearest signed axes of each table.
+def best_cells(first: np.ndarray, second: np.ndarray, probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `probes` cells (axis of the first rotation, axis of the second) with the largest sums, for each row.
 
-    Data longer than `heavy` stands in one further cell instead, which every query takes too.
+    The cell of the i-th best first and the j-th best second axis has i * j - 1 cells before it, so only
+    cells with i * j <= probes are looked at.
+    """
+    n, axes = first.shape
+    take = min(probes, axes * axes)
+    i = np.repeat(np.arange(axes), [min(axes, take // (i + 1)) for i in range(axes)])
+    j = np.arange(len(i)) - np.searchsorted(i, i)
+    a, b = np.argsort(-first, axis=1, kind="stable"), np.argsort(-second, axis=1, kind="stable")
+    sums = np.take_along_axis(first, a, 1)[:, i] + np.take_along_axis(second, b, 1)[:, j]
+    best = np.argpartition(-sums, take - 1, axis=1)[:, :take] if take < len(i) else np.tile(np.arange(len(i)), (n, 1))
+    return np.take_along_axis(a, i[best], 1), np.take_along_axis(b, j[best], 1)
+
+
+def _axes(unit: np.ndarray, rotation: int, seed: int) -> np.ndarray:
+    """The inner products with the signed axes of a rotation."""
+    y = rotated(unit, rotation, seed)
+    return np.concatenate([y, -y], axis=1)
+
+
+def _filed(tables: int, seed: int, heavy: float):
+    """Rows (cell, code, h, g, id, v): the nearest signed axis of both rotations of each table, the first as the cell.
+
+    What is longer than `heavy` stands in one further cell instead.
     """
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,49 +131,81 @@ def _cells(tables: int, taken: int, seed: int, heavy: float, query: bool):
             if not len(batch):
                 continue
             vectors = matrix(batch["v"], np.float64)
-            long = np.full(len(vectors), True) if query else np.linalg.norm(vectors, axis=1) > heavy
-            unit = _padded(vectors, 0.0, query)
-            d = unit.shape[1]
-            groups = [(np.flatnonzero(long), np.full((long.sum(), 1), tables * 2 * d))]
-            light = np.arange(len(vectors)) if query else np.flatnonzero(~long)
-            take = min(taken, 2 * d)
+            long = np.linalg.norm(vectors, axis=1) > heavy
+            light = np.flatnonzero(~long)
+            unit = _padded(vectors[light])
+            axes = 2 * unit.shape[1]
+            groups = [(np.flatnonzero(long), np.full(long.sum(), tables * axes), np.zeros(long.sum(), np.int64))]
             for table in range(tables):
-                y = rotated(unit[light], table, seed)
-                signed = np.concatenate([y, -y], axis=1)
-                nearest = np.argpartition(-signed, take - 1, axis=1)[:, :take]
-                groups.append((light, nearest + table * 2 * d))
-            for who, nearest in groups:
-                rows, cells = pa.array(np.repeat(who, nearest.shape[1])), pa.array(nearest.astype(np.int32).ravel())
-                yield pa.RecordBatch.from_arrays([cells, *(batch[c].take(rows) for c in ("h", "g", "id", "v"))], ["cell", "h", "g", "id", "v"])
+                cell, code = (_axes(unit, 2 * table + i, seed).argmax(axis=1) for i in range(2))
+                groups.append((light, table * axes + cell, code))
+            for who, cell, code in groups:
+                rows, cell, code = pa.array(who), pa.array(cell.astype(np.int32)), pa.array(code.astype(np.int32))
+                yield pa.RecordBatch.from_arrays([cell, code, *(batch[c].take(rows) for c in ("h", "g", "id", "v"))], ["cell", "code", "h", "g", "id", "v"])
+
+    return assign
+
+
+def _probed(tables: int, probes: int, seed: int):
+    """Rows (cell, codes, h, g, v): what a query looks at, by the first axis of its best cells of each table."""
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 256):
+                part = batch.slice(lo, 256)
+                unit = _padded(matrix(part["v"], np.float64))
+                n, axes = len(part), 2 * unit.shape[1]
+                groups = [(np.arange(n), np.full(n, tables * axes), np.ones(n, np.int64), np.zeros(n, np.int64))]
+                for table in range(tables):
+                    a, b = best_cells(*(_axes(unit, 2 * table + i, seed) for i in range(2)), probes)
+                    keys = (np.arange(n)[:, None] * axes + a).ravel()
+                    order = np.argsort(keys, kind="stable")
+                    keys, counts = np.unique(keys, return_counts=True)
+                    groups.append((keys // axes, table * axes + keys % axes, counts, b.ravel()[order]))
+                for who, cell, counts, codes in groups:
+                    rows, lists = pa.array(who), ragged(counts, codes.astype(np.int32), pa.int32())
+                    yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), lists, *(part[c].take(rows) for c in ("h", "g", "v"))], ["cell", "codes", "h", "g", "v"])
 
     return assign
 
 
 def _score_cell(k: int):
+    """The k + 1 best classes of a block for each query, among those whose code it probes."""
+
     def score(key, queries: pa.Table, data: pa.Table) -> pa.Table:
         out = {c: [] for c in ("qh", "qg", "h", "g", "first", "score")}
         if queries.num_rows and data.num_rows:
             q, x = matrix(queries["v"], np.float64), matrix(data["v"], np.float64)
-            ids, h, g = (numbers(data[c]) for c in ("id", "h", "g"))
-            order = np.argsort(ids, kind="stable")
-            x, ids, h, g = x[order], ids[order], h[order], g[order]
-            qh, qg = numbers(queries["h"]), numbers(queries["g"])
-            take = min(k + 1, len(x))
-            for at in range(0, len(q), 512):
-                scores = q[at : at + 512] @ x.T
-                if take < len(x):
-                    kth = -np.partition(-scores, take - 1, axis=1)[:, take - 1 : take]
-                    rows, cols = np.nonzero(scores >= kth)
-                else:
-                    rows, cols = np.nonzero(np.ones_like(scores, bool))
-                values = scores[rows, cols]
-                place = np.lexsort((cols, -values, rows))
-                rows, cols, values = rows[place], cols[place], values[place]
-                nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
-                keep = nth < take
-                rows, cols, values = rows[keep], cols[keep], values[keep]
-                for name, part in zip(out, (qh[at + rows], qg[at + rows], h[cols], g[cols], ids[cols], values)):
-                    out[name].append(part)
+            ids, h, g, code = (numbers(data[c]) for c in ("id", "h", "g", "code"))
+            order = np.lexsort((ids, code))
+            x, ids, h, g, code = x[order], ids[order], h[order], g[order], code[order]
+            heads = np.append(np.flatnonzero(np.diff(code, prepend=-1)), len(code))
+            place = np.full(int(code[-1]) + 2, -1)
+            place[code[heads[:-1]]] = np.arange(len(heads) - 1)
+            qh, qg, lists = numbers(queries["h"]), numbers(queries["g"]), queries["codes"].combine_chunks()
+            asker = np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy())
+            asked = place[np.minimum(numbers(lists.flatten()), len(place) - 1)]
+            asker, asked = asker[asked >= 0], asked[asked >= 0]
+            for at in range(0, len(q), 256):  # so many at once that their scores fit
+                lo, hi = np.searchsorted(asker, [at, at + 256])
+                order = np.argsort(asked[lo:hi], kind="stable")
+                who, run = asker[lo:hi][order], asked[lo:hi][order]
+                rows, cols, values = [], [], []
+                cuts = np.append(np.flatnonzero(np.diff(run, prepend=-1)), len(run))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                    first, last = heads[run[a]], heads[run[a] + 1]
+                    scores = np.einsum("id,jd->ij", q[who[a:b]], x[first:last])
+                    rows.append(np.repeat(who[a:b], last - first))
+                    cols.append(np.tile(np.arange(first, last), b - a))
+                    values.append(scores.ravel())
+                if rows:
+                    rows, cols, values = np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
+                    order = np.lexsort((ids[cols], -values, rows))
+                    rows, cols, values = rows[order], cols[order], values[order]
+                    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) <= k
+                    rows, cols, values = rows[keep], cols[keep], values[keep]
+                    for name, part in zip(out, (qh[rows], qg[rows], h[cols], g[cols], ids[cols], values)):
+                        out[name].append(part)
         kinds = [pa.int64()] * 5 + [pa.float64()]
         return pa.table({c: pa.array(np.concatenate(v) if v else [], t) for (c, v), t in zip(out.items(), kinds)})
 
@@ -171,19 +218,19 @@ def cross_polytope_search(
     k: int,
     id_column: str = "vec_id",
     vector_column: str = "embedding",
-    tables: int = 8,
-    probes: int = 8,
+    tables: int = 16,
+    probes: int = 448,
     seed: int = 11,
-    files: int = 2,
 ) -> DataFrame:
     """The k nearest rows of each query row by inner product, found through cross-polytope hash tables.
 
-    Each table turns unit vectors with a fast pseudo-rotation and files them under the `files` nearest
-    signed axes. A query probes the axes nearest to it in every table, as many in a small table as in
-    a large one, and the classes found are scored exactly. Where vectors differ in norm, the longest
-    of them, a share of HEAVY, are scored against every query; the others are filed by direction. A
-    query that finds fewer than k rows, of more in the table, meets all. A cell of over BLOCK_ROWS
-    classes is split, and its queries go to every part.
+    A table turns unit vectors with two fast pseudo-rotations and files each under the nearest signed axis
+    of both, so that 64 dimensions give 128 * 128 cells. A query probes the `probes` cells of each table with
+    the largest sums of its inner products with the two axes, and the classes found are scored exactly.
+    Tables, probes and cells don't depend on the number of rows. Where vectors differ in norm, the
+    longest of them, a share of HEAVY, are scored against every query; the others are filed by direction. A
+    query that finds fewer than k rows, of more in the table, meets all. What shares a first axis is
+    scored together, in blocks of BLOCK_ROWS classes by BLOCK_QUERIES queries.
 
     query: a condition on df's rows. Out: query_id, rank from 1, vec_id, score. Ties go to the
     smaller id. Rows with a null id, or a vector that is null, empty, zero, of another length than
@@ -202,25 +249,28 @@ def cross_polytope_search(
     cut = F.percentile_approx(norm, 1 - HEAVY, 10_000)
     n, low, high, cut = data.agg(F.count("*"), F.min(norm), F.max(norm), cut).first()
     heavy = float(cut) if n and high - low > 1e-4 * high else float("inf")
-    axes = 2 * (1 << max(1, (d - 1).bit_length()))
-    schema = f"cell int, h long, g long, id long, v {dict(rows.dtypes)['v']}"
-    wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v"), F.min("id").alias("id")).select("h", "g", "id", "v")
+    kind = dict(rows.dtypes)["v"]
+    wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v"))
 
-    def found_by(wanted: DataFrame, tables: int, files: int, probes: int) -> DataFrame:
-        filed = data.select("h", "g", "id", "v").mapInArrow(_cells(tables, files, seed, heavy, False), schema)
-        wanted = wanted.mapInArrow(_cells(tables, probes, seed, heavy, True), schema)
+    def found_by(wanted: DataFrame, tables: int, probes: int) -> DataFrame:
+        filed = data.select("h", "g", "id", "v").mapInArrow(_filed(tables, seed, heavy), f"cell int, code int, h long, g long, id long, v {kind}")
+        wanted = saved(wanted.select("h", "g", "v").mapInArrow(_probed(tables, probes, seed), f"cell int, codes array<int>, h long, g long, v {kind}"))
         # tables * axes + 1 rows at most, whatever the size of df
-        parts = F.broadcast(filed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts")))
-        filed = filed.join(parts, "cell").withColumn("part", F.pmod("h", F.col("parts")).cast("int")).drop("parts")
-        wanted = wanted.join(parts, "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        found = wanted.groupBy("cell", "part").cogroup(filed.groupBy("cell", "part"))
+        sizes = filed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
+        askers = wanted.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("sides"))
+        sizes = F.broadcast(sizes.join(askers, "cell"))
+        own = lambda n: F.pmod("h", F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        filed = filed.join(sizes, "cell").withColumn("part", own("parts")).withColumn("side", every("sides")).drop("parts", "sides")
+        wanted = wanted.join(sizes, "cell").withColumn("side", own("sides")).withColumn("part", every("parts")).drop("parts", "sides")
+        found = wanted.groupBy("cell", "part", "side").cogroup(filed.groupBy("cell", "part", "side"))
         return found.applyInArrow(_score_cell(k), "qh long, qg long, h long, g long, first long, score double")
 
-    found = saved(found_by(wanted, tables, files, probes))
+    found = saved(found_by(wanted, tables, probes))
     enough = found.select("qh", "qg", "h", "g").distinct().groupBy("qh", "qg").count().filter(F.col("count") >= min(k + 1, n))
-    short = saved(wanted.join(enough.select(F.col("qh").alias("h"), F.col("qg").alias("g")), ["h", "g"], "left_anti").select("h", "g", "id", "v"))
+    short = saved(wanted.join(enough.select(F.col("qh").alias("h"), F.col("qg").alias("g")), ["h", "g"], "left_anti").select("h", "g", "v"))
     if not short.isEmpty():
-        found = found.unionByName(found_by(short, 1, 1, axes))
+        found = found.unionByName(found_by(short, 1, 1 << 62))
     # the same class found through several tables has one score
     found = found.groupBy("qh", "qg", "h", "g", "first").agg(F.max("score").alias("score"))
     return _ranked(found, members, asked, k, "double")
@@ -229,38 +279,69 @@ def cross_polytope_search(
 # -- exact search by pivot elimination ---------------------------------------------------------
 
 
+def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    xf, p = x.astype(np.float64), pivots.astype(np.float64)
+    return np.sqrt(np.maximum(0, (xf * xf).sum(1)[:, None] + (p * p).sum(1) - 2 * xf @ p.T))
+
+
+class Block:
+    """Classes and their pivot table, from which queries are answered in the order of bounds."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, pivots: np.ndarray) -> None:
+        self.x, self.ids, self.pivots = x, ids, pivots
+        self.table = distances(x, pivots)
+        xf = x.astype(np.float64)
+        self.squares = (xf * xf).sum(1)
+        self.largest = float(np.abs(xf).max(initial=0))
+
+    def best(self, q: np.ndarray, take: int, floor: int) -> tuple[np.ndarray, np.ndarray, int]:
+        """(scores, rows, evaluations) of up to `take` rows with the largest inner products, ties to the smaller id, of those that reach floor."""
+        x, exact = self.x, np.float64 if float(np.abs(q).max(initial=0)) * self.largest * len(q) < 2**52 else np.int64
+        qf = q.astype(np.float64)
+        q2 = float(qf @ qf)
+        apart = np.abs(self.table - distances(q[None], self.pivots)).max(1) if len(self.pivots) else np.zeros(len(x))
+        near = np.maximum(0, apart - 1e-6 * (np.sqrt(self.squares) + np.sqrt(q2) + 1))  # less the rounding of the distances
+        bound = (q2 + self.squares - near * near) / 2 * (1 + 1e-12) + 1
+        order = np.flatnonzero(bound >= floor)
+        order = order[np.argsort(-bound[order], kind="stable")]
+        best, who, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, max(64, 4 * take)
+        while at < len(order) and (len(best) < take or bound[order[at]] >= best[take - 1]):
+            rows = order[at : at + step]
+            scores = (x[rows].astype(exact) @ q.astype(exact)).astype(np.int64)
+            best, who = np.concatenate([best, scores]), np.concatenate([who, rows])
+            first = np.lexsort((self.ids[who], -best))[:take]
+            best, who, at, step = best[first], who[first], at + len(rows), step * 2
+        some = best >= floor
+        return best[some], who[some], at
+
+
+def _opened(k: int, opening: np.ndarray, pivots: np.ndarray):
+    """Adds floor: what the (k + 1)-th best class of the opening scores, as no worse class can be among the results."""
+    least = -(1 << 63)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = Block(opening, np.arange(len(opening)), pivots)
+        for batch in batches:
+            floors = []
+            for q in matrix(batch["v"], np.int64):
+                best = block.best(q, k + 1, least)[0]
+                floors.append(int(best[k]) if len(best) > k else least)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(floors, pa.int64())], [*batch.schema.names, "floor"])
+
+    return run
+
+
 def _eliminate(k: int, pivots: np.ndarray):
-    """The k + 1 best classes of a block for each query, evaluated in the order of their bounds."""
+    """The k + 1 best classes of a block for each query, of those that reach its floor."""
 
     def run(key, queries: pa.Table, data: pa.Table) -> pa.Table:
         out = {c: [] for c in ("qh", "qg", "h", "g", "first", "score")}
         if queries.num_rows and data.num_rows:
-            q, x = matrix(queries["v"], np.int64), matrix(data["v"], np.int64)
             ids, h, g = (numbers(data[c]) for c in ("id", "h", "g"))
-            qh, qg = numbers(queries["h"]), numbers(queries["g"])
-            size = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
-            exact = np.float64 if size < 2**52 else np.int64  # every product and sum of whole numbers is exact
-            qe, xe, p = q.astype(exact), x.astype(exact), pivots.astype(np.float64)
-            xf, qf = x.astype(np.float64), q.astype(np.float64)
-            x2, q2 = (xf * xf).sum(1), (qf * qf).sum(1)
-            table = np.sqrt(np.maximum(0, x2[:, None] + (p * p).sum(1) - 2 * xf @ p.T))
-            mine = np.sqrt(np.maximum(0, q2[:, None] + (p * p).sum(1) - 2 * qf @ p.T))
-            take = min(k + 1, len(x))
-            for i in range(len(q)):
-                apart = np.abs(table - mine[i]).max(1)
-                slack = 1e-6 * (np.sqrt(x2) + np.sqrt(q2[i]) + 1)  # rounding of the distances
-                near = np.maximum(0, apart - slack)
-                bound = (q2[i] + x2 - near * near) / 2 * (1 + 1e-12) + 1
-                order = np.argsort(-bound, kind="stable")
-                best, who, at, step = np.zeros(0, np.int64), np.zeros(0, np.int64), 0, max(64, 4 * take)
-                while at < len(x) and (len(best) < take or bound[order[at]] >= best[take - 1]):
-                    rows = order[at : at + step]
-                    best = np.concatenate([best, (xe[rows] @ qe[i]).astype(np.int64)])
-                    who = np.concatenate([who, rows])
-                    first = np.lexsort((ids[who], -best))[:take]
-                    best, who, at, step = best[first], who[first], at + step, step * 2
-                n = len(who)
-                for name, part in zip(out, (np.full(n, qh[i]), np.full(n, qg[i]), h[who], g[who], ids[who], best)):
+            block = Block(matrix(data["v"], np.int64), ids, pivots)
+            for q, qh, qg, floor in zip(matrix(queries["v"], np.int64), *(numbers(queries[c]).tolist() for c in ("h", "g", "floor"))):
+                best, who, _ = block.best(q, k + 1, floor)
+                for name, part in zip(out, (np.full(len(who), qh), np.full(len(who), qg), h[who], g[who], ids[who], best)):
                     out[name].append(part)
         return pa.table({c: pa.array(np.concatenate(v) if v else [], pa.int64()) for c, v in out.items()})
 
@@ -274,15 +355,18 @@ def pivot_topk(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     scale: float = 1024.0,
-    pivots: int = 32,
+    pivots: int = 64,
+    opening: int = 2048,
 ) -> DataFrame:
     """The k rows with the largest integer inner product for each query row, exactly.
 
     Components become floor(scale * x). Distances to the pivots (`pivots` classes with the
-    smallest hashes, so the broadcast is bounded) bound each class's distance to a query from
-    below, hence its inner product from above; a block's classes are evaluated from the largest
-    bound on, until the next bound is below the k-th best score. The query set meets all rows in
-    blocks of about BLOCK_ROWS classes, and the blocks' best are merged.
+    smallest hashes) bound each class's distance to a query from below, hence its inner product from above; a
+    block's classes are evaluated from the largest bound on, until the next bound is below the k-th
+    best score. Each query first meets the `opening` classes with the smallest hashes, and what
+    doesn't reach the k-th best of these is never evaluated. The query set then meets all rows, in
+    blocks of about BLOCK_QUERIES queries by BLOCK_ROWS classes, and the blocks' best are merged.
+    Pivots and opening are parameters, so what the driver sends out is bounded.
 
     query: a condition on df's rows. Out: query_id, rank from 1, vec_id, score. Ties go to the
     smaller id. Rows with a null id, or a vector that is null, empty, of another length than most,
@@ -299,11 +383,14 @@ def pivot_topk(
     members = saved(_classes(rows, k))
     data = members.filter("n = 1").drop("n")
     n = data.count()
-    chosen = np.array([r["v"] for r in data.orderBy("h", "g").limit(pivots).select("v").collect()], np.int64).reshape(-1, max(d, 1))
+    first = data.orderBy("h", "g").limit(max(pivots, opening)).select("v").collect()
+    chosen = np.array([r["v"] for r in first], np.int64).reshape(-1, max(d, 1))
     blocks = max(64, -(-n // BLOCK_ROWS))
-    filed = data.withColumn("block", F.pmod("h", F.lit(blocks)).cast("int"))
-    wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v"))
-    wanted = wanted.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    found = wanted.groupBy("block").cogroup(filed.groupBy("block"))
-    found = found.applyInArrow(_eliminate(k, chosen), "qh long, qg long, h long, g long, first long, score long")
+    wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v")).select("h", "g", "v")
+    wanted = saved(wanted.mapInArrow(_opened(k, chosen[:opening], chosen[:pivots]), "h long, g long, v array<long>, floor long"))
+    sides = max(1, -(-wanted.count() // BLOCK_QUERIES))
+    filed = data.withColumn("block", F.pmod("h", F.lit(blocks)).cast("int")).withColumn("side", F.explode(F.sequence(F.lit(0), F.lit(sides - 1))))
+    wanted = wanted.withColumn("side", F.pmod("h", F.lit(sides)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    found = wanted.groupBy("block", "side").cogroup(filed.groupBy("block", "side"))
+    found = found.applyInArrow(_eliminate(k, chosen[:pivots]), "qh long, qg long, h long, g long, first long, score long")
     return _ranked(found, members, asked, k, "long")
