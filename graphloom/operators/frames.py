@@ -10,7 +10,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent.parent
 
@@ -31,32 +31,86 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, or what the context was given; one below the system's temporary folder only without either."""
+    """spark.checkpoint.dir, or what the context was given; in local mode without either, one below the temporary folder.
+
+    A cluster without the setting is an error: executors can't see the driver's temporary folder.
+    """
     given = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not given:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="graphloom-checkpoint"))
         given = spark.sparkContext.getCheckpointDir()
     return given.rstrip("/")
 
 
+def _paths(spark: SparkSession) -> list[str]:
+    context = spark.sparkContext
+    if not hasattr(context, "_graphloom_settled"):
+        context._graphloom_settled = []
+    return context._graphloom_settled
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df, written once to the shared folder: it cuts the lineage of an iteration and outlives lost executors.
 
-    The table is needed as long as results that stem from it are read; drop_settled removes all of them.
+    The table is needed as long as results that stem from it are read; drop_settled removes all of them,
+    and superseded the one that an iteration has just left behind.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/graphloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    spark.sparkContext._graphloom_settled = [*getattr(spark.sparkContext, "_graphloom_settled", []), path]
-    return spark.read.schema(df.schema).parquet(path)
+    _paths(spark).append(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._graphloom_path = path
+    return table
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def superseded(table: DataFrame) -> None:
+    """Removes a table that settled returned and that no later result reads; other tables stay."""
+    spark, path = table.sparkSession, getattr(table, "_graphloom_path", None)
+    if path in _paths(spark):
+        _delete(spark, path)
+        _paths(spark).remove(path)
 
 
 def drop_settled(spark: SparkSession) -> int:
     """Removes the tables that settled wrote in this application, once no result needs them; how many there were."""
-    paths = getattr(spark.sparkContext, "_graphloom_settled", [])
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = _paths(spark)
     for path in paths:
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(conf).delete(target, True)
+        _delete(spark, path)
     spark.sparkContext._graphloom_settled = []
     return len(paths)
+
+
+#: Keys that skew_join broadcasts at most, and rows that may share a key anyway.
+HEAVY_KEYS = 4096
+FEW_ROWS = 400_000
+
+
+def skew_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """rows joined with table, which has each key once and in column `weight` how many of rows have it; total: at least the sum of these.
+
+    Keys with over total / HEAVY_KEYS rows, of which there are fewer than HEAVY_KEYS, are broadcast, and
+    their rows stay where they are; the others are joined by shuffle. rows are read several times, so
+    they should be settled. Up to FEW_ROWS rows are joined in the plain way.
+    """
+    if total <= FEW_ROWS:
+        return rows.join(table, keys)
+    table, bar = settled(table), total // HEAVY_KEYS
+    heavy = F.broadcast(table.filter(F.col(weight) > bar))
+    light = rows.join(heavy.select(*keys), keys, "left_anti").join(table.filter(F.col(weight) <= bar), keys)
+    return rows.join(heavy, keys).unionByName(light)
+
+
+def common_keys(sample: DataFrame, keys: list[str], above: int = 8) -> DataFrame | None:
+    """The keys that more than `above` rows of a sample have, HEAVY_KEYS at most, those of the most rows first; None if there are none."""
+    counted = sample.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > above)
+    found = counted.orderBy(F.desc("_n"), *keys).limit(HEAVY_KEYS).select(*keys)
+    rows = found.collect()
+    return sample.sparkSession.createDataFrame(rows, found.schema) if rows else None
