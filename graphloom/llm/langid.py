@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.llm.runtime import ship, worker
-from graphloom.llm.words import U, Words, byte_values, chunks, class_table, constants, mix
+from graphloom.llm.words import U, Words, chunks, class_table, constants, mix
 
-_VALUES = byte_values(43, False)
 #: Words are runs of ASCII letters and of bytes of other characters.
 LETTERS = class_table(bytes(b for b in range(128) if not chr(b).isalpha()))
 _ASCII_LETTER = LETTERS & (np.arange(256) < 128)
@@ -150,7 +149,7 @@ def fit(texts: list[str], labels: list[str], rounds: int = 40, sequence: int = 2
         w = Words(raw, offsets, LETTERS)
         if not len(w):
             continue
-        distinct, example, which = np.unique(w.hashes(_VALUES), return_index=True, return_inverse=True)
+        distinct, example, which = np.unique(w.hashes(43), return_index=True, return_inverse=True)
         known = len(seen)
         numbers = np.array([seen.setdefault(h, len(seen)) for h in distinct.tolist()])
         fresh = numbers >= known
@@ -221,7 +220,7 @@ def _predict(model: Model, spans: bool, carried: tuple[str, ...] = ("doc_id", "h
                 best, score, runs_of = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
                 words = Words(data, offsets, LETTERS)
                 if len(words) and model.labels:
-                    distinct, example, which = np.unique(words.hashes(_VALUES), return_index=True, return_inverse=True)
+                    distinct, example, which = np.unique(words.hashes(43), return_index=True, return_inverse=True)
                     bag, count = word_features(data, words.starts[example], words.ends[example], distinct)
                     log_scores = emissions(model.weights, bag, count)[which]
                     some = np.flatnonzero(np.diff(words.first))

@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.llm.runtime import MEMORIES, numbers, saved, ship, worker
-from graphloom.llm.words import SPACED, Words, byte_values, chunks
+from graphloom.llm.words import SPACED, Words, chunks
 
-_VALUES = byte_values(17, False)
 #: 1 for ASCII letters, 2 for marks between which and letters the tokenizer always splits.
 _KINDS = np.zeros(256, np.int8)
 _KINDS[[*range(65, 91), *range(97, 123)]] = 1
@@ -90,7 +89,7 @@ class WordIds:
         words = Words(data, offsets, SPACED, _KINDS)
         if not len(words):
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
-        distinct, example, which = np.unique(words.hashes(_VALUES), return_index=True, return_inverse=True)
+        distinct, example, which = np.unique(words.hashes(17), return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), bool)
         inside = place < len(self.known)

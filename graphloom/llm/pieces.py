@@ -22,9 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graphloom.llm.runtime import MEMORIES, numbers, ragged, ship, worker
-from graphloom.llm.words import U, byte_values, chunks, constants, mix, _POWERS
+from graphloom.llm.words import U, chunks, constants, mix, span_hashes
 
-_VALUES = byte_values(61, False)
 _SALTS = constants(5, 67)
 NONE = np.int64(1) << 62
 SPACE = "▁"
@@ -256,10 +255,7 @@ class PieceIds:
         first = np.searchsorted(starts, offsets)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
-        up, down = _POWERS.to(len(data) + 1)
-        total = np.zeros(len(data) + 1, U)
-        np.cumsum(_VALUES[data] * up[:-1], out=total[1:])
-        word = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(U))
+        word = span_hashes(data, starts, ends, 61)
         distinct, example, which = np.unique(word, return_index=True, return_inverse=True)
         place = np.searchsorted(self.known, distinct)
         new = np.ones(len(distinct), bool)

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from graphloom.operators.frames import settled, ship_package
+from graphloom.operators.frames import common_keys, settled, ship_package, skew_join, superseded
 
 BATCH_ROWS = 2000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -68,9 +68,9 @@ def _press(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def packed(docs: DataFrame) -> DataFrame:
-    """docs with text as compressed bytes z, which shuffle at less than half their size, dealt out by doc_id."""
+    """docs with text as compressed bytes z, which shuffle at less than half their size."""
     schema = T.StructType([f for f in docs.schema if f.name != "text"]).add("z", "binary")
-    return docs.mapInArrow(_press, schema).repartition("doc_id")
+    return docs.mapInArrow(_press, schema)
 
 
 def matrix(column: pa.Array | pa.ChunkedArray, dtype: type) -> np.ndarray:

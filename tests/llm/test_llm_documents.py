@@ -68,7 +68,7 @@ def test_repair_finds_links_that_no_leader_has(spark):
     rng = random.Random(1)
     sets = [set(rng.sample(range(30), rng.randrange(8, 20))) for _ in range(60)]
     rows = [(h, i, i, len(s)) for i, s in enumerate(sets) for h in s]
-    pairs = {(r["a"], r["b"]) for r in _repair_pairs(spark.createDataFrame(rows, "h long, rep long, component long, n int"), 75).collect()}
+    pairs = {(r["a"], r["b"]) for r in _repair_pairs(spark.createDataFrame(rows, "h long, node long, component long, n int"), 75).collect()}
     found = {tuple(sorted(p)) for p in pairs}
     want = {(a, b) for a in range(60) for b in range(a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     assert {tuple(sorted(p)) for p in want} <= found
@@ -411,3 +411,90 @@ def test_code_switched_text_is_labelled_in_runs():
 
 def test_helpers_agree():
     assert len(shingles("A b C d e f")) == 2 and hashlib.sha256(b"").hexdigest() == brute_repeats([(1, None)])[1][2]
+
+
+# -- hashes, keys that many rows share, and rows that share an id ----------------------------------------
+
+
+def thue_morse(bits: int) -> str:
+    """A word over a and b that collides with its complement under every polynomial hash over a power of two."""
+    word = "a"
+    for _ in range(bits):
+        word += word.translate({97: 98, 98: 97})
+    return word
+
+
+def test_hashes_tell_patterned_words_apart(spark):
+    import numpy as np
+    from sentencepiece import SentencePieceProcessor
+    from tokenizers import Tokenizer
+
+    from graphloom.llm.neardup import near_duplicates
+    from graphloom.llm.packing import default_tokenizer, pack_documents
+    from graphloom.llm.pieces import default_model, encode_pieces
+    from graphloom.llm.substring import remove_repeats
+    from graphloom.llm.words import SPACED, Words
+
+    a = thue_morse(12)
+    b = a.translate({97: 98, 98: 97})
+    data = np.frombuffer(f"{a} {b} {a}".encode(), np.uint8)
+    for seed in (5, 6, 17, 23):
+        x, y, z = Words(data, np.array([0, len(data)]), SPACED).hashes(seed).tolist()
+        assert x == z != y
+    # as words, and as passages of words
+    rows = [(1, f"{a} {BASE}"), (2, f"{b} {BASE}"), (3, a), (4, b), (5, " ".join(a)), (6, " ".join(b))]
+    docs = documents(spark, rows)
+    got = by_id(near_duplicates(docs))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(rows)
+    assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in by_id(remove_repeats(docs)).items()} == brute_repeats(rows)
+    tok = Tokenizer.from_file(default_tokenizer())
+    crc = lambda t: zlib.crc32(b"".join(x.to_bytes(4, "little") for x in [*tok.encode(t, add_special_tokens=False).ids, 1]))
+    packed = {r["doc_id"]: r["ids_crc32"] for r in pack_documents(docs.filter("doc_id < 5"), 100_000).collect()}
+    assert packed == {i: crc(t) for i, t in rows[:4]}
+    model = SentencePieceProcessor(model_file=default_model())
+    assert {r["doc_id"]: r["ids"] for r in encode_pieces(docs, 0.0).collect()} == {i: model.encode(t) for i, t in rows}
+
+
+def test_rows_that_share_an_id_keep_their_own_texts(spark):
+    from graphloom.llm.neardup import near_duplicates, one_of_each_group
+    from graphloom.llm.substring import remove_repeats, without_repeats
+
+    other = " ".join(f"other{i}" for i in range(50))
+    rows = [(1, BASE), (2, other), (2, BASE), (2, None), (3, other), (2, other), (4, "")]
+    docs = documents(spark, rows)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"], r["kept"]) for r in near_duplicates(docs).collect())
+    assert got == sorted([(1, 56, 1, True), (2, 46, 2, True), (2, 56, 1, False), (2, 0, 2, True), (3, 46, 2, False), (2, 46, 2, True), (4, 0, 4, True)])
+    left = one_of_each_group(docs)
+    assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == sorted([(1, BASE), (2, other), (2, ""), (4, "")])
+    got = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in remove_repeats(docs).collect())
+    assert got == sorted([(1, 60, 0), (2, 50, 0), (2, 60, 60), (2, 0, 0), (3, 50, 50), (2, 50, 0), (4, 0, 0)])
+    assert without_repeats(docs).count() == len(rows)
+
+
+def test_common_keys_take_their_own_way(spark, crowd, monkeypatch):
+    """With every key counted as common, and leaders' texts sent out for two members each, results are the same."""
+    from graphloom.llm import neardup as N
+    from graphloom.llm import substring as S
+    from graphloom.operators import frames
+
+    monkeypatch.setattr(N, "LEADER_ROWS", 2)
+    monkeypatch.setattr(N, "SAMPLED", 1)
+    monkeypatch.setattr(S, "SAMPLED", 1)
+    rng = random.Random(8)
+    line = " ".join(f"l{i}" for i in range(4))
+    rows = crowd + [(1000 + i, " ".join(f"{rng.randrange(99)}q" if j % 12 else line for j in range(80))) for i in range(40)]
+    monkeypatch.setattr(frames, "FEW_ROWS", 0)
+    for heavy in (1, 4096):
+        monkeypatch.setattr(frames, "HEAVY_KEYS", heavy)
+        got = by_id(N.near_duplicates(documents(spark, rows)))
+        assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(rows)
+        got = by_id(S.remove_repeats(documents(spark, rows)))
+        assert {i: (r["n_words"], r["n_removed"], r["kept_sha256"]) for i, r in got.items()} == brute_repeats(rows)
+
+
+def test_exact_links_need_no_common_key(spark, crowd, monkeypatch):
+    from graphloom.llm import neardup as N
+
+    monkeypatch.setattr(N, "_bucket_members", lambda classes: spark.createDataFrame([], "key long, node long, size long"))
+    got = by_id(N.near_duplicates(documents(spark, crowd), exact=True))
+    assert {i: (r["n_shingles"], r["component_id"]) for i, r in got.items()} == brute_components(crowd)
