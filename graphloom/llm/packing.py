@@ -1,19 +1,25 @@
-"""Tokenising and best-fit decreasing packing.
+"""Tokenising and bulk-synchronous best-fit packing.
 
-The driver matches documents and gaps, serially: the largest documents go first, each into the smallest
-gap that holds it. As sizes and gaps are whole numbers up to the capacity, all documents of one size
-are one run and all gaps that were filled alike are another, so a step moves runs. The driver sees one
-count for each size, capacity counts at most, whatever the corpus. Each document's place follows from
-its rank within its size, which the executors number.
+Sizes and gaps are whole numbers up to the capacity, so all documents of one size are one run, and so are
+sequences that were filled alike; a run is a row (size or gap, how many, its first rank or sequence), and
+there are some thousands of them, whatever the corpus. Packing goes in rounds over the table of runs:
+
+1. Documents and gaps are sorted by size into ranges. Each range is swept from its largest size down: a
+   document takes its successor, the smallest gap that holds it and that no larger one, nor one of lower
+   rank, has taken; a run of documents fills each gap with as many as it holds.
+2. What is left of two neighbouring ranges is swept together, then of four, until one sweep joins all.
+3. Documents larger than every gap open sequences, the largest first, no more than what is left would fill.
+   What is left of the gaps that were filled goes into the next round, with the documents that found none.
+
+Each round is written to the shared folder. Documents of just the capacity are sequences of their own.
+The place of every other document follows from its rank among those of its size.
 """
 
 from __future__ import annotations
 
-import bisect
 import os
 import unicodedata
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,8 +36,13 @@ _KINDS[[*range(65, 91), *range(97, 123)]] = 1
 _KINDS[list(b',.;:!?()"-')] = 2
 #: Distinct words whose ids a worker remembers (about 50 MB); beyond that it starts afresh.
 REMEMBERED = 1_500_000
-#: Parts into which a size class is split for numbering.
-RANK_PARTS = 64
+#: Ranges of sizes that are swept side by side, a power of two.
+RANGES = 4
+#: Kinds of runs: documents, gaps, documents that have a place, and gaps that the next round offers.
+DOCUMENTS, GAPS, PLACED, LATER = range(4)
+#: value: size or gap; n: how many documents or sequences; at: the first rank or sequence. Of PLACED ones: the
+#: first sequence, how many go to each, the offset of the first, and how many sequences they opened.
+RUN = ["kind", "value", "n", "at", "first", "each", "offset", "opened"]
 
 
 def default_tokenizer() -> str:
@@ -140,74 +151,124 @@ def _pieces(path: str, capacity: int, end_id: int):
     return run
 
 
-def best_fit(counts: dict[int, int], capacity: int) -> tuple[list[tuple[int, int, int, int, int]], int]:
-    """Where every piece goes, from the number of pieces of each size; and the number of sequences.
+def sweep(runs: list[tuple[int, ...]], capacity: int, opening: int | None = None) -> list[tuple[int, ...]]:
+    """Runs after a sweep from the largest size down; all kinds may come in, and PLACED and LATER ones pass.
+
+    With opening, the next unused sequence, documents larger than all gaps that are left open sequences: all
+    those of over half the capacity, and of the others the largest octave, no more than what is left needs.
+    """
+    out = [r for r in runs if r[0] in (PLACED, LATER)]
+    gaps: list[list[int]] = []  # [gap, how many, first sequence], the smallest on top
+    left: list[tuple[int, int, int]] = []
+
+    def fill(size: int, n: int, rank: int, gap: int, first: int, opened: int) -> None:
+        """n documents go to gaps from `first` on, the last of which may get fewer than it holds."""
+        each = gap // size
+        full, rest = divmod(n, each)
+        out.append((PLACED, size, n, rank, first, each, capacity - gap, opened))
+        for many, used, at in ((full, each, first), (min(rest, 1), rest, first + full)):
+            if many and gap > used * size:
+                out.append((LATER, gap - used * size, many, at, 0, 0, 0, 0))
+
+    for kind, value, n, at, *_ in sorted((r for r in runs if r[0] in (DOCUMENTS, GAPS)), key=lambda r: (-r[1], -r[0], r[3])):
+        if kind == GAPS:
+            gaps.append([value, n, at])
+            continue
+        while n and gaps:
+            gap, many, first = gaps[-1]
+            each = gap // value
+            some = min(n, many * each)
+            used = -(-some // each)
+            fill(value, some, at, gap, first, 0)
+            gaps[-1][1:] = [many - used, first + used]
+            if many == used:
+                gaps.pop()
+            n, at = n - some, at + some
+        if n:
+            left.append((value, n, at))
+    if opening is not None and left:
+        largest = max([g for g, *_ in gaps] + [r[1] for r in out if r[0] == LATER], default=0)
+        need = sum(size * n for size, n, _ in left) - sum(r[1] * r[2] for r in out if r[0] == LATER)
+        need, waiting = max(1, -(-need // capacity)), []
+        for size, n, rank in left:
+            each, some = capacity // size, 0
+            if size > largest and (each == 1 or need > 0 and 2 * size > left[0][0]):
+                opened = -(-n // each) if each == 1 else min(-(-n // each), need)
+                some, need = min(n, opened * each), need - opened
+                fill(size, some, rank, capacity, opening, opened)
+                opening += opened
+            if some < n:
+                waiting.append((size, n - some, rank + some))
+        left = waiting
+    out += [(DOCUMENTS, size, n, at, 0, 0, 0, 0) for size, n, at in left]
+    return out + [(GAPS, gap, many, first, 0, 0, 0, 0) for gap, many, first in gaps]
+
+
+def _swept(capacity: int, opening: int | None):
+    def run(table: pa.Table) -> pa.Table:
+        rows = sweep(list(zip(*(table[c].to_pylist() for c in RUN))), capacity, opening)
+        columns = list(zip(*rows)) if rows else [()] * len(RUN)
+        columns.append([max(0, r[1] - 1) * RANGES // capacity for r in rows])
+        return pa.table({c: pa.array(list(v), pa.int64()) for c, v in zip([*RUN, "range"], columns)})
+
+    return run
+
+
+def packing_plan(runs: DataFrame, capacity: int) -> tuple[np.ndarray, int]:
+    """(plan, number of sequences) for runs (length, count) of lengths below the capacity, by rounds of sweeps.
 
-    Runs (size, rank, sequence, each, offset): from this rank on, pieces of this size go to this
-    and the following sequences, `each` of them to one, the first of them at this offset.
+    plan: rows (size, rank, sequence, each, offset): from this rank on, documents of this size go to this and the following
+    sequences, `each` of them to one, the first of them at this offset. It has some thousand rows a round.
     """
-    plan: list[tuple[int, int, int, int, int]] = []
-    gaps: dict[int, list[tuple[int, int]]] = defaultdict(list)  # gap: (first sequence, how many)
-    order: list[int] = []  # the gaps that exist, ascending
-    sequences = 0
-
-    def add(gap: int, first: int, many: int) -> None:
-        if gap and many:
-            if not gaps[gap]:
-                bisect.insort(order, gap)
-            gaps[gap].append((first, many))
-
-    for size in sorted(counts, reverse=True):
-        rank, left = 0, counts[size]
-        while left:
-            at = bisect.bisect_left(order, size)
-            if at < len(order):
-                gap = order[at]
-                first, many = gaps[gap].pop()
-                if not gaps[gap]:
-                    order.pop(at)
-            else:
-                gap, first, many = capacity, sequences, -(-left // (capacity // size))
-                sequences += many
-            each = gap // size
-            full = min(many, left // each)
-            if full:
-                plan.append((size, rank, first, each, capacity - gap))
-                add(gap - each * size, first, full)
-                rank, left = rank + full * each, left - full * each
-            rest = 0
-            if full < many and left:  # fewer than fill a gap
-                rest = 1
-                plan.append((size, rank, first + full, each, capacity - gap))
-                add(gap - left * size, first + full, 1)
-                left = 0
-            add(gap, first + full + rest, many - full - rest)
-    return plan, sequences
+    schema = ", ".join(f"{c} long" for c in [*RUN, "range"])
+    zero = F.lit(0).cast("long")
+    columns = {"kind": F.lit(DOCUMENTS).cast("long"), "value": F.col("length"), "n": F.col("count")}
+    state = runs.select(*(columns.get(c, zero).alias(c) for c in RUN))
+    state = saved(state.withColumn("range", F.floor((F.col("value") - 1) * RANGES / capacity)))
+    sequences, rounds = 0, []
+    left = state.agg(F.sum("n")).first()[0]
+    while left:
+        kind = F.when(F.col("kind") == LATER, F.lit(GAPS).cast("long")).otherwise(F.col("kind"))
+        state = state.filter(F.col("kind") != PLACED).withColumn("kind", kind)
+        for level in range(RANGES.bit_length()):
+            last = 1 << level == RANGES
+            together = F.floor(F.col("range") / (1 << level)).alias("together")
+            state = state.groupBy(together).applyInArrow(_swept(capacity, sequences if last else None), schema)
+        state = saved(state)
+        rounds.append(state)
+        left, opened = state.agg(F.coalesce(F.sum(F.when(F.col("kind") == DOCUMENTS, F.col("n"))), F.lit(0)), F.sum("opened")).first()
+        sequences += opened
+    rows = [r for x in rounds for r in x.filter(F.col("kind") == PLACED).select("value", "at", "first", "each", "offset").collect()]
+    return np.array(sorted(map(tuple, rows)), np.int64).reshape(-1, 5), sequences
 
 
 def _placed(plan: np.ndarray):
-    """Adds sequence_id and offset to rows with length and rank."""
+    """Adds sequence_id and offset to rows with length and rank; rows without a rank are sequences of their own."""
     keys = plan[:, 0] << 48 | plan[:, 1]
 
     @worker("packing")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, rank = numbers(batch["length"]), numbers(batch["rank"])
-            row = np.searchsorted(keys, size << 48 | rank, "right") - 1
-            _, base, first, each, offset = plan[row].T
-            nth = rank - base
+            size, rank, uid = (numbers(batch[c]) for c in ("length", "rank", "uid"))
+            sequence, offset = -1 - uid, np.zeros(len(uid), np.int64)
+            some = np.flatnonzero(rank >= 0)
+            row = np.searchsorted(keys, size[some] << 48 | rank[some], "right") - 1
+            _, base, first, each, at = plan[row].T
+            nth = rank[some] - base
+            sequence[some], offset[some] = first + nth // each, at + nth % each * size[some]
             out = [batch[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")]
-            yield pa.RecordBatch.from_arrays([*out, pa.array(first + nth // each), pa.array(offset + nth % each * size)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
+            yield pa.RecordBatch.from_arrays([*out, pa.array(sequence), pa.array(offset)], ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
     return run
 
 
 def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str | None = None, end_id: int = 1) -> DataFrame:
-    """Packs all documents into as few sequences of at most `capacity` tokens as best-fit decreasing finds.
+    """Packs all documents into sequences of at most `capacity` tokens, by rounds of best-fit sweeps.
 
     Out, a row for each piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. A
     document's ids are the tokenizer's and end_id; one of over `capacity` ids is cut into pieces
-    of just so many, the last maybe shorter. Sequences are numbered from 0, offsets have no gaps.
+    of just so many, the last maybe shorter. Offsets have no gaps. Sequences of one full piece have negative
+    numbers, the others are numbered from 0.
 
     A null or empty text is the end_id alone. Rows may share a doc_id or have none; each row's pieces
     are placed. Very long texts are handled whole. An empty table gives no rows. Other columns
@@ -215,19 +276,19 @@ def pack_documents(docs: DataFrame, capacity: int = 4096, tokenizer: str | None
     """
     spark = docs.sparkSession
     ship(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
-    pieces = saved(docs.mapInArrow(_pieces(tokenizer or default_tokenizer(), capacity, end_id), schema))
-    sizes = pieces.groupBy("length").count().collect()  # a row for each size, capacity rows at most
-    plan, _ = best_fit({r["length"]: r["count"] for r in sizes}, capacity)
-    plan = np.array(sorted(plan), np.int64).reshape(-1, 5)
-    # ranks within a size: of each part, then within the part
-    part = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_PARTS))
-    pieces = pieces.withColumn("part", part)
+    pieces = docs.mapInArrow(_pieces(tokenizer or default_tokenizer(), capacity, end_id), schema)
+    # numbered as they are written, by partition and place in it, so that a rank is the same in every evaluation
+    pieces = saved(pieces.withColumn("uid", F.monotonically_increasing_id()))
+    short = pieces.filter(F.col("length") < capacity).withColumn("part", F.shiftright("uid", 33))
+    plan, _ = packing_plan(short.groupBy("length").count(), capacity)
+    # ranks within a size: of each partition, then within the partition
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
+    parts = short.groupBy("length", "part").agg(F.count("*").alias("n"))
     parts = parts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    within = Window.partitionBy("length", "part").orderBy("doc_id", "piece", "ids_crc32")
-    ranked = pieces.join(parts, ["length", "part"]).withColumn("rank", F.col("base") + F.row_number().over(within) - 1)
-    ranked = ranked.select("doc_id", "piece", "start", "length", "ids_crc32", F.col("rank").cast("long").alias("rank"))
-    return ranked.mapInArrow(_placed(plan), f"{schema}, sequence_id long, offset long")
+    within = Window.partitionBy("length", "part").orderBy("uid")
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "uid"]
+    ranked = short.join(parts, ["length", "part"]).select(*columns, (F.col("base") + F.row_number().over(within) - 1).cast("long").alias("rank"))
+    full = pieces.filter(F.col("length") == capacity).select(*columns, F.lit(-1).cast("long").alias("rank"))
+    return ranked.unionByName(full).mapInArrow(_placed(plan), f"{schema}, sequence_id long, offset long")

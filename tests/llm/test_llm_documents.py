@@ -1,5 +1,6 @@
 """Near-dedup, substring dedup, packing, licenses, pieces and languages against brute force, with edge cases."""
 
+import bisect
 import hashlib
 import random
 import zlib
@@ -162,23 +163,79 @@ def test_words_encode_as_their_text():
     assert [list(x) for x in np.split(ids, np.cumsum(counts)[:-1])] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-def test_best_fit_is_best_fit_decreasing():
-    from graphloom.llm.packing import best_fit
-
+def best_fit_decreasing(sizes, capacity):
+    """The number of sequences, one document at a time."""
+    bins = []
+    for size in sorted(sizes, reverse=True):
+        at = bisect.bisect_left(bins, size)
+        gap = bins.pop(at) if at < len(bins) else capacity
+        bisect.insort(bins, gap - size)
+    return len(bins)
+
+
+def rounds_of_sweeps(counts, capacity):
+    """The rounds of packing_plan without Spark: (plan, number of sequences)."""
+    from graphloom.llm.packing import DOCUMENTS, GAPS, LATER, PLACED, RANGES, sweep
+
+    runs, plan, opened = [(DOCUMENTS, z, n, 0, 0, 0, 0, 0) for z, n in counts.items()], [], 0
+    while any(r[0] == DOCUMENTS for r in runs):
+        runs = [(GAPS if r[0] == LATER else r[0], *r[1:]) for r in runs]
+        level = 0
+        while 1 << level <= RANGES:
+            groups = {}
+            for r in runs:
+                groups.setdefault((r[1] - 1) * RANGES // capacity >> level, []).append(r)
+            runs = [r for g in groups.values() for r in sweep(g, capacity, opened if 1 << level == RANGES else None)]
+            level += 1
+        plan += [(r[1], r[3], *r[4:7], r[2]) for r in runs if r[0] == PLACED]
+        opened += sum(r[7] for r in runs)
+        runs = [r for r in runs if r[0] != PLACED]
+    return plan, opened
+
+
+def test_sweeps_place_every_document_once_and_pack_well():
     rng = random.Random(2)
-    for _ in range(30):
-        cap = rng.choice([10, 37, 100])
-        sizes = sorted((rng.randrange(1, cap + 1) for _ in range(rng.randrange(1, 300))), reverse=True)
-        bins = []
-        for s in sizes:
-            fit = [g for g in bins if g >= s]
-            if fit:
-                bins.remove(min(fit))
-                bins.append(min(fit) - s)
-            else:
-                bins.append(cap - s)
-        assert best_fit({s: sizes.count(s) for s in set(sizes)}, cap)[1] == len(bins)
-    assert best_fit({}, 10) == ([], 0)
+    for trial in range(40):
+        capacity = rng.choice([10, 37, 100, 4096])
+        shape = rng.choice([lambda: rng.randrange(1, capacity), lambda: 1 + int((capacity - 2) * rng.random() ** 3), lambda: rng.choice([1, 2, capacity // 3, capacity // 2 + 1, capacity - 1])])
+        sizes = [shape() for _ in range(rng.randrange(1, 4000))]
+        counts = {z: sizes.count(z) for z in set(sizes)}
+        plan, opened = rounds_of_sweeps(counts, capacity)
+        filled, ranks = {}, {}
+        for size, rank, first, each, offset, n in plan:
+            ranks.setdefault(size, []).extend(range(rank, rank + n))
+            for i in range(n):
+                filled.setdefault(first + i // each, []).append((offset + i % each * size, size))
+        assert all(sorted(ranks[z]) == list(range(n)) for z, n in counts.items())
+        assert len(filled) == opened
+        for places in filled.values():
+            at = 0
+            for offset, size in sorted(places):
+                assert offset == at
+                at += size
+            assert at <= capacity
+        best = best_fit_decreasing(sizes, capacity)
+        assert opened <= best * 1.02 + 2, (trial, capacity, opened, best)
+
+
+def test_packing_plan_is_made_of_these_rounds(spark):
+    from graphloom.llm.packing import packing_plan
+
+    rng = random.Random(3)
+    counts = {z: rng.randrange(1, 50) for z in rng.sample(range(1, 500), 200)}
+    plan, opened = packing_plan(spark.createDataFrame(list(counts.items()), "length long, count long"), 500)
+    want, sequences = rounds_of_sweeps(counts, 500)
+    assert opened == sequences and plan.tolist() == sorted(list(r[:5]) for r in want)
+    assert packing_plan(spark.createDataFrame([], "length long, count long"), 10)[1] == 0
+
+
+def test_packing_of_rows_without_ids(spark):
+    """Many equal rows without an id: each gets its own place."""
+    from graphloom.llm.packing import pack_documents
+
+    out = pack_documents(documents(spark, [(None, "one two three")] * 500 + [(None, None)] * 500), 64).toPandas()
+    assert len(out) == 1000 and not out.duplicated(["sequence_id", "offset"]).any()
+    assert out.groupby("sequence_id")["length"].sum().max() <= 64
 
 
 # -- licenses ------------------------------------------------------------------------------------------
