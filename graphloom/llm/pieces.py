@@ -1,12 +1,13 @@
 """SentencePiece BPE encoding with seeded merge-dropout, and decoding.
 
-A text is a run of words, each with the spaces before it, and no merge crosses a word's start, so
-distinct words are encoded once without dropout, and the merges that this offers are remembered. The
+A text is a run of words, each with the spaces before it, and no merge crosses a word's start. The
 agenda takes the best-scored candidate merge first; a candidate whose keyed hash (seed, document,
 word's place in it, word, place, piece) falls below the dropout rate is skipped. So each occurrence
-of a word is cut up on its own, the same way in every run: where none of the merges offered without
-dropout is skipped the remembered pieces hold, elsewhere the occurrence is encoded anew. Without
-dropout the pieces are the model's own.
+of a word is cut up on its own, the same way in every run.
+
+A candidate makes a part of the word into a piece, so the pieces of an occurrence follow from the word and
+from which of its parts that are pieces are skipped. Each distinct such pair is encoded once and
+remembered. Without dropout the pieces are the model's own.
 """
 
 from __future__ import annotations
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 from graphloom.llm.runtime import MEMORIES, numbers, ragged, ship, worker
 from graphloom.llm.words import U, chunks, constants, mix, span_hashes
 
-_SALTS = constants(5, 67)
+_SALTS = constants(6, 67)
 NONE = np.int64(1) << 62
 SPACE = "▁"
 #: Longer words go through a heap instead of the matrix, which takes a step for each merge.
 MATRIX = 48
+#: Distinct words, and pairs of a word and what is skipped in it, that a worker remembers; beyond that it starts afresh.
 REMEMBERED = 500_000
 
 
@@ -38,6 +40,39 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Table:
+    """Numbers by 64-bit key, for many keys at once: an eighth of the slots is filled, so a look-up takes a step or two."""
+
+    def __init__(self, numbers_of: dict[int, int]) -> None:
+        self.shift = U(64 - max(4, (8 * len(numbers_of)).bit_length()))
+        slots = 1 << 64 - int(self.shift)
+        self.keys, self.values, self.steps = np.zeros(slots, U), np.full(slots, -1, np.int64), 1
+        keys = np.array(list(numbers_of), U)
+        for at, key, value in zip(self._slot(keys).tolist(), keys.tolist(), numbers_of.values()):
+            steps = 1
+            while self.values[at] >= 0:
+                at, steps = (at + 1) % slots, steps + 1
+            self.keys[at], self.values[at], self.steps = key, value, max(self.steps, steps)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys * _SALTS[5] >> self.shift).astype(np.int64)
+
+    def __getitem__(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1."""
+        at = self._slot(keys)
+        out = np.where(self.keys[at] == keys, self.values[at], -1)
+        rest = np.flatnonzero((out < 0) & (self.values[at] >= 0))
+        for _ in range(1, self.steps):
+            if not len(rest):
+                break
+            at[rest] = (at[rest] + 1) % len(self.keys)
+            here = at[rest]
+            hit = self.keys[here] == keys[rest]
+            out[rest[hit]] = self.values[here[hit]]
+            rest = rest[~hit & (self.values[here] >= 0)]
+        return out
+
+
 class Vocabulary:
     """Pieces, their merges, and the bytes that each stands for."""
 
@@ -70,8 +105,7 @@ class Vocabulary:
                 if a is not None and b is not None:
                     pairs[a << 32 | b] = i
         self.pairs = pairs
-        self.pair_keys = np.array(sorted(pairs), np.int64)
-        self.pair_piece = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64)
+        self.pair_pieces = Table(pairs)
 
         known = {ord(name): i for name, i in self.ids.items() if len(name) == 1 and name != SPACE}
         if SPACE in self.ids:
@@ -79,6 +113,32 @@ class Vocabulary:
         self.codes = np.array(sorted(known), np.uint32)
         self.code_ids = np.array([known[c] for c in self.codes.tolist()], np.int64)
 
+        longer = {name: i for name, i in self.ids.items() if len(name) > 1}
+        self.longest = max(map(len, longer), default=1)
+        parts = {}
+        for name, i in longer.items():
+            h = np.zeros(1, U)
+            for c in name.replace(SPACE, " "):
+                h = mix(h * _SALTS[5] + U(ord(c)))
+            parts[int(h[0])] = i
+        self.part_pieces = Table(parts)
+
+    def parts(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, place, piece) of all parts of two characters or more that are pieces, by row; chars: words of one length."""
+        n, size = chars.shape
+        rows, places, pieces = [], [], []
+        h = mix(chars.astype(U))
+        for more in range(1, min(size, self.longest)):
+            h = mix(h[:, : size - more] * _SALTS[5] + chars[:, more:].astype(U))
+            piece = self.part_pieces[h.ravel()]
+            hit = np.flatnonzero(piece >= 0)
+            rows.append(hit // h.shape[1])
+            places.append(hit % h.shape[1])
+            pieces.append(piece[hit])
+        rows, places, pieces = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, places, pieces))
+        order = np.argsort(rows, kind="stable")
+        return rows[order], places[order], pieces[order]
+
     def symbols(self, chars: np.ndarray) -> np.ndarray:
         """The piece of each character, or -1; a space is the model's mark, the mark itself is no piece."""
         at = np.minimum(np.searchsorted(self.codes, chars), len(self.codes) - 1)
@@ -86,9 +146,7 @@ class Vocabulary:
 
     def merged(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece of each pair, or -1."""
-        key = left << 32 | right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        return np.where((left >= 0) & (right >= 0) & (self.pair_keys[at] == key), self.pair_piece[at], -1)
+        return np.where((left >= 0) & (right >= 0), self.pair_pieces[(left << 32 | right).view(U)], -1)
 
 
 def skipped(word: np.ndarray, place: np.ndarray, piece: np.ndarray, rate: float) -> np.ndarray:
@@ -134,11 +192,8 @@ def _agenda(v: Vocabulary, symbols: list[int], word: np.uint64, rate: float) ->
     return [(symbols[p], p) for p in out]
 
 
-def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float, offers: list | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, whether a place begins a piece) of many words of one length, a merge of each at a time.
-
-    offers takes (rows, places, pieces) of all candidate merges.
-    """
+def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+    """(symbols, whether a place begins a piece) of many words of one length, a merge of each at a time."""
     n, size = symbols.shape
     symbols = np.concatenate([symbols, np.full((n, 1), -1)], 1)
     after = np.tile(np.arange(1, size + 2), (n, 1))
@@ -148,9 +203,6 @@ def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float, o
 
     def offer(rows: np.ndarray, p: np.ndarray) -> None:
         piece = v.merged(symbols[rows, p], symbols[rows, after[rows, p]])
-        if offers is not None:
-            some = piece >= 0
-            offers.append((rows[some], p[some], piece[some]))
         able = (piece >= 0) & ~skipped(word[rows], p, piece, rate)
         cost[rows, p] = np.where(able, v.rank[np.maximum(piece, 0)], NONE)
 
@@ -188,45 +240,60 @@ def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
 
 
-class PieceIds:
-    """Piece ids by word without dropout, and the merges offered on the way, remembered."""
+class Memory:
+    """Runs of numbers by 64-bit key: columns are the rows of `values`."""
 
-    def __init__(self, path: str) -> None:
-        self.vocabulary = Vocabulary(path)
+    def __init__(self, columns: int) -> None:
+        self.columns = columns
         self.clear()
 
     def clear(self) -> None:
-        self.known, self.ids = np.zeros(0, U), np.zeros(0, np.int32)
+        self.keys, self.values = np.zeros(0, U), np.zeros((self.columns, 0), np.int32)
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.offer_start, self.offer_count = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.offers = np.zeros((2, 0), np.int32)
 
-    def _encoded(self, words: list[str], keys: np.ndarray, rate: float, offered: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(all ids, where each word's begin, how many each has). offered takes (words, places, pieces) of the candidate
-        merges; a word too long for the matrix has the one merge (-1, -1)."""
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        """Which of the distinct keys aren't known; where they would make it too large, it forgets all."""
+        at = np.searchsorted(self.keys, keys)
+        new = np.ones(len(keys), bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != keys[inside]
+        if len(self.keys) + new.sum() > REMEMBERED:
+            self.clear()
+            new[:] = True
+        return new
+
+    def learn(self, keys: np.ndarray, start: np.ndarray, count: np.ndarray, values: np.ndarray) -> None:
+        """keys: sorted, new; start and count: their runs in values."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.start, self.count = np.insert(self.start, at, self.values.shape[1] + start), np.insert(self.count, at, count)
+        self.values = np.concatenate([self.values, values.astype(np.int32)], 1)
+
+
+class PieceIds:
+    """Piece ids by word, and by word and what is skipped in it, remembered."""
+
+    def __init__(self, path: str) -> None:
+        self.vocabulary = Vocabulary(path)
+        self.words, self.variants = Memory(1), Memory(1)
+        self.parts = Memory(2)  # of each word: places and pieces of its parts
+
+    def _encoded(self, codes: np.ndarray, first: np.ndarray, sizes: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(where each word's ids begin, how many each has, all ids); words are runs of characters."""
         v = self.vocabulary
-        sizes = np.array([len(w) for w in words])
-        count, start, parts, total = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64), [], 0
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
-        first = np.cumsum(sizes) - sizes
+        count, start, parts, total = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), [], 0
         for size in np.unique(sizes).tolist():
             group = np.flatnonzero(sizes == size)
             chars = codes[first[group][:, None] + np.arange(size)]
             symbols = v.symbols(chars)
             if size <= MATRIX:
-                offers = None if offered is None else []
-                pieces, begins = _matrix(v, symbols, keys[group], rate, offers)
-                if offers:
-                    rows, places, made = (np.concatenate(x) for x in zip(*offers))
-                    offered.append((group[rows], places, made))
+                pieces, begins = _matrix(v, symbols, keys[group], rate)
             else:
                 pieces, begins = symbols.copy(), np.zeros(symbols.shape, bool)
                 for row, i in enumerate(group.tolist()):
                     found = _agenda(v, symbols[row].tolist(), keys[i], rate)
                     places = [p for _, p in found]
                     begins[row, places], pieces[row, places] = True, [x for x, _ in found]
-                if offered is not None:
-                    offered.append((group, np.full(len(group), -1), np.full(len(group), -1)))
             plain = ~((pieces < 0) & begins).any(axis=1)
             for own, whole in ((plain, True), (~plain, False)):
                 some, p, b = group[own], pieces[own], begins[own]
@@ -242,7 +309,22 @@ class PieceIds:
                 start[some] = total + np.cumsum(each) - each
                 parts.append(flat.astype(np.int32))
                 total += len(flat)
-        return np.concatenate(parts) if parts else np.zeros(0, np.int32), start, count
+        return start, count, np.concatenate(parts)[None] if parts else np.zeros((1, 0), np.int32)
+
+    def _parts(self, codes: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, count, places and pieces) of the parts of each word; a word too long for the matrix has the one part (-1, -1)."""
+        found = []
+        for size in np.unique(sizes).tolist():
+            group = np.flatnonzero(sizes == size)
+            if size <= MATRIX:
+                rows, places, pieces = self.vocabulary.parts(codes[first[group][:, None] + np.arange(size)])
+                found.append((group[rows], places, pieces))
+            else:
+                found.append((group, np.full(len(group), -1), np.full(len(group), -1)))
+        of, places, pieces = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(of, kind="stable")
+        count = np.bincount(of, minlength=len(sizes))
+        return np.cumsum(count) - count, count, np.stack([places[order], pieces[order]])
 
     def of(self, data: np.ndarray, offsets: np.ndarray, document: np.ndarray, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, how many of each). Texts begin with a space that stands for the model's prefix."""
@@ -257,49 +339,56 @@ class PieceIds:
             return np.zeros(0, np.int32), np.zeros(len(offsets) - 1, np.int64)
         word = span_hashes(data, starts, ends, 61)
         distinct, example, which = np.unique(word, return_index=True, return_inverse=True)
-        place = np.searchsorted(self.known, distinct)
-        new = np.ones(len(distinct), bool)
-        inside = place < len(self.known)
-        new[inside] = self.known[place[inside]] != distinct[inside]
-        raw = data.tobytes()
+        codes = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+        chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        begin_at, sizes = chars[starts], chars[ends] - chars[starts]
+        new = self.words.missing(distinct)
         if new.any():
-            if len(self.known) + new.sum() > REMEMBERED:
-                self.clear()
-                new[:] = True
-            self._remember(distinct[new], [raw[starts[i] : ends[i]].decode() for i in example[new]])
-            place = np.searchsorted(self.known, distinct)
-        place = place[which]
-        start, count, ids = self.start[place], self.count[place], self.ids
+            if not len(self.words.keys):
+                self.parts.clear()
+            some = example[new]
+            self.words.learn(distinct[new], *self._encoded(codes, begin_at[some], sizes[some], distinct[new], 0.0))
+            if rate > 0:
+                self.parts.learn(distinct[new], *self._parts(codes, begin_at[some], sizes[some]))
+        place = np.searchsorted(self.words.keys, distinct)[which]
+        start, count, ids = self.words.start[place], self.words.count[place], self.words.values[0]
         if rate > 0:
             text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
-            nth = np.arange(len(starts)) - first[text]
-            keys = mix(mix(document[text].astype(np.int64).view(U) * _SALTS[2]) + nth.astype(U) * _SALTS[3] + U(seed * int(_SALTS[4]) & (1 << 64) - 1))
-            keys = mix(keys ^ word)
-            varied = np.zeros(len(starts), bool)
-            for lo in range(0, len(starts), 50_000):
-                n = self.offer_count[place[lo : lo + 50_000]]
-                of, at = np.repeat(np.arange(lo, lo + len(n)), n), _spread(self.offer_start[place[lo : lo + 50_000]], n)
-                at, piece = self.offers[:, at].astype(np.int64)
-                varied[of[skipped(keys[of], at, piece, rate) | (piece < 0)]] = True
-            anew = np.flatnonzero(varied)
-            fresh, begin_at, counts = self._encoded([raw[starts[i] : ends[i]].decode() for i in anew], keys[anew], rate)
-            start[anew], count[anew] = len(ids) + begin_at, counts
-            ids = np.concatenate([ids, fresh])
+            keys = occurrence_keys(document[text], np.arange(len(starts)) - first[text], seed, word)
+            varied, marks = self._skips(place, keys, rate)
+            marks = mix(marks ^ word[varied])
+            distinct, example, which = np.unique(marks, return_index=True, return_inverse=True)
+            new = self.variants.missing(distinct)
+            if new.any():
+                some = varied[example[new]]
+                self.variants.learn(distinct[new], *self._encoded(codes, begin_at[some], sizes[some], keys[some], rate))
+            at = np.searchsorted(self.variants.keys, distinct)[which]
+            start[varied], count[varied] = len(ids) + self.variants.start[at], self.variants.count[at]
+            ids = np.concatenate([ids, self.variants.values[0]])
         return ids[_spread(start, count)], np.diff(np.concatenate([[0], np.cumsum(count)])[first])
 
-    def _remember(self, hashes: np.ndarray, words: list[str]) -> None:
-        offered: list[tuple[np.ndarray, ...]] = []
-        fresh, begin_at, counts = self._encoded(words, hashes, 0.0, offered)
-        of, at, piece = (np.concatenate(x) for x in zip(*offered)) if offered else (np.zeros(0, np.int64),) * 3
-        order = np.argsort(of, kind="stable")
-        offers = np.bincount(of, minlength=len(words))
-        place = np.searchsorted(self.known, hashes)
-        self.known = np.insert(self.known, place, hashes)
-        self.start, self.count = np.insert(self.start, place, len(self.ids) + begin_at), np.insert(self.count, place, counts)
-        self.offer_start = np.insert(self.offer_start, place, self.offers.shape[1] + np.cumsum(offers) - offers)
-        self.offer_count = np.insert(self.offer_count, place, offers)
-        self.ids = np.concatenate([self.ids, fresh])
-        self.offers = np.concatenate([self.offers, np.stack([at[order], piece[order]]).astype(np.int32)], 1)
+    def _skips(self, place: np.ndarray, keys: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
+        """(occurrences in which parts are skipped, a hash of which these are); place: of their words."""
+        varied, marks = [], []
+        for lo in range(0, len(place), 50_000):
+            n = self.parts.count[place[lo : lo + 50_000]]
+            of = np.repeat(np.arange(lo, lo + len(n)), n)
+            at, piece = self.parts.values[:, _spread(self.parts.start[place[lo : lo + 50_000]], n)].astype(np.int64)
+            out = np.flatnonzero(skipped(keys[of], at, piece, rate) | (piece < 0))
+            if len(out):
+                of, at, piece = of[out], at[out], piece[out]
+                mark = mix(at.astype(U) * _SALTS[0] + piece.astype(U) * _SALTS[1] + U(1))
+                mark[piece < 0] = keys[of[piece < 0]]
+                head = np.flatnonzero(np.diff(of, prepend=-1))
+                varied.append(of[head])
+                marks.append(np.add.reduceat(mark, head))
+        return np.concatenate(varied) if varied else np.zeros(0, np.int64), np.concatenate(marks) if marks else np.zeros(0, U)
+
+
+def occurrence_keys(document: np.ndarray, nth: np.ndarray, seed: int, word: np.ndarray) -> np.ndarray:
+    """The key of each occurrence: of its document, its place in it, the seed and its word."""
+    key = mix(document.astype(np.int64).view(U) * _SALTS[2]) + nth.astype(U) * _SALTS[3] + U(seed * int(_SALTS[4]) & (1 << 64) - 1)
+    return mix(mix(key) ^ word)
 
 
 _PIECE_IDS: dict[str, PieceIds] = {}
@@ -357,7 +446,10 @@ def _decode(path: str):
                 data = flat[at].tobytes()
                 ends = np.concatenate([[0], np.cumsum(n)])[bounds]
                 for a, b, lo_id, hi_id in zip(ends[:-1].tolist(), ends[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
-                    texts.append(data[min(a + 1, b) : b].decode(errors="replace"))
+                    try:
+                        texts.append(data[min(a + 1, b) : b].decode())
+                    except UnicodeDecodeError:
+                        texts.append(None)
                     crcs.append(zlib.crc32(ids[lo_id:hi_id].astype("<u4").tobytes()))
                     counts.append(hi_id - lo_id)
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(counts, pa.int64()), pa.array(crcs, pa.int64()), pa.array(texts, pa.string())], ["doc_id", "n_pieces", "ids_crc32", "text"])
@@ -366,7 +458,9 @@ def _decode(path: str):
 
 
 def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """(doc_id, n_pieces, ids_crc32, text) of rows (doc_id, ids). Null or no ids give an empty text; ids of control pieces stand for nothing."""
+    """(doc_id, n_pieces, ids_crc32, text) of rows (doc_id, ids). Null or no ids give an empty text; ids of
+    control pieces stand for nothing; ids whose bytes aren't UTF-8, which no encoding gives, have a null text. Rows with
+    one doc_id each get a row, very long lists are decoded whole, and an empty table gives no rows."""
     ship(encoded.sparkSession)
     schema = "doc_id long, n_pieces long, ids_crc32 long, text string"
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("ids").cast("array<int>").alias("ids")).mapInArrow(_decode(model or default_model()), schema)

@@ -3,6 +3,7 @@
 import bisect
 import hashlib
 import random
+import re
 import zlib
 
 import pytest
@@ -365,6 +366,64 @@ def test_dropout_varies_and_both_agendas_agree(spark):
     assert runs[1] != runs[2] and len(set(runs[1])) > 1
 
 
+def naive_pieces(text, doc_id, rate, seed, vocabulary, word_hash):
+    """Merge-dropout by looking at all neighbours after each merge, with its own arithmetic of the keyed hash."""
+    from graphloom.llm import pieces as P
+
+    low, salts = (1 << 64) - 1, [int(x) for x in P._SALTS]
+
+    def mixed(x):
+        x &= low
+        x = (x ^ x >> 33) * 0xFF51AFD7ED558CCD & low
+        x = (x ^ x >> 33) * 0xC4CEB9FE1A85EC53 & low
+        return x ^ x >> 33
+
+    out, words = [], re.findall(r" +[^ ]*|[^ ]+", " " + text if text else "")
+    for nth, word in enumerate(words):
+        key = mixed(mixed(mixed(doc_id * salts[2]) + nth * salts[3] + seed * salts[4]) ^ word_hash(word))
+        parts, merged, skips = [(i, c) for i, c in enumerate(word)], True, {}
+        while merged:
+            best = None
+            for (p, a), (_, b) in zip(parts, parts[1:]):
+                piece = vocabulary.ids.get((a + b).replace(" ", P.SPACE)) if P.SPACE not in a + b else None
+                if piece is None or any(len(x) > 1 and x.replace(" ", P.SPACE) not in vocabulary.ids for x in (a, b)) or any(len(x) == 1 and x.replace(" ", P.SPACE) not in vocabulary.ids for x in (a, b)):
+                    continue
+                out_of = skips.setdefault((p, piece), mixed((key ^ p * salts[0] & low) + piece * salts[1]) >> 11 < int(rate * (1 << 53)))
+                if not out_of and (best is None or (int(vocabulary.rank[piece]), p) < best):
+                    best = (int(vocabulary.rank[piece]), p)
+            merged = best is not None
+            if merged:
+                i = next(i for i, (p, _) in enumerate(parts) if p == best[1])
+                parts[i : i + 2] = [(best[1], parts[i][1] + parts[i + 1][1])]
+        for _, part in parts:
+            found = vocabulary.ids.get(part.replace(" ", P.SPACE)) if P.SPACE not in part else None
+            out += [found] if found is not None else [int(x) for x in vocabulary.byte[list(part.encode())]]
+    return out
+
+
+def test_dropout_is_that_of_a_naive_agenda(spark):
+    import numpy as np
+
+    from graphloom.llm import pieces as P
+
+    vocabulary = P.Vocabulary(P.default_model())
+    hashed = lambda w: int(P.span_hashes(np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w.encode())]), 61)[0])
+    rng = random.Random(7)
+    rows = [(i, " ".join(rng.choice(["information", "the", "house", "unbelievable", "x9 ", "\u65e5\u672c", "\u2581a", "re-" + "do" * 30]) for _ in range(40))) for i in range(5)] + [(9, None), (-4, "a  b")]
+    for rate in (0.1, 0.4):
+        got = {r["doc_id"]: r["ids"] for r in P.encode_pieces(documents(spark, rows), rate, 11).collect()}
+        assert got == {i: naive_pieces(t or "", i, rate, 11, vocabulary, hashed) for i, t in rows}
+
+
+def test_ids_that_are_no_text_have_none(spark):
+    from graphloom.llm import pieces as P
+
+    v = P.Vocabulary(P.default_model())
+    broken = [int(v.ids[P.SPACE]), int(v.byte[0xE6])]
+    rows = P.decode_pieces(spark.createDataFrame([(1, broken), (2, None), (3, [])], "doc_id long, ids array<int>")).collect()
+    assert {r["doc_id"]: r["text"] for r in rows} == {1: None, 2: "", 3: ""}
+
+
 def test_dropout_varies_each_occurrence(spark):
     import collections
 
