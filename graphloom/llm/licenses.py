@@ -8,6 +8,7 @@ one that lies within another of higher or equal priority gives way to it.
 from __future__ import annotations
 
 import bisect
+import itertools
 import re
 from collections import defaultdict
 from collections.abc import Iterator
@@ -133,16 +134,161 @@ polyform-nc | polyform | polyform noncommercial license(?: 1 0 0)?
 proprietary | proprietary | proprietary and confidential|confidential and proprietary
 """
 
-#: priority | label | keywords | regular expression: sentences of license texts and notices. The sentence on compliance
-#: stands in CDDL notices too, so it alone asks for a keyword that is no part of it.
+#: label | the identifier of the license list as words: what stands after `SPDX-License-Identifier:`. Fixed values.
+TAGS = """
+apache-2.0 | apache 2 0
+apache-1.1 | apache 1 1
+apache-1.0 | apache 1 0
+mit | mit
+mit-0 | mit 0
+x11 | x11
+isc | isc
+0bsd | 0bsd
+bsd-2-clause | bsd 2 clause
+bsd-3-clause | bsd 3 clause
+bsd-4-clause | bsd 4 clause
+bsd-protection | bsd protection
+gpl-1.0 | gpl 1 0
+gpl-2.0 | gpl 2 0
+gpl-3.0 | gpl 3 0
+lgpl-2.0 | lgpl 2 0
+lgpl-2.1 | lgpl 2 1
+lgpl-3.0 | lgpl 3 0
+agpl-1.0 | agpl 1 0
+agpl-3.0 | agpl 3 0
+gfdl-1.1 | gfdl 1 1
+gfdl-1.2 | gfdl 1 2
+gfdl-1.3 | gfdl 1 3
+mpl-1.0 | mpl 1 0
+mpl-1.1 | mpl 1 1
+mpl-2.0 | mpl 2 0
+epl-1.0 | epl 1 0
+epl-2.0 | epl 2 0
+cddl-1.0 | cddl 1 0
+cddl-1.1 | cddl 1 1
+cpl-1.0 | cpl 1 0
+cpal-1.0 | cpal 1 0
+ipl-1.0 | ipl 1 0
+eupl-1.1 | eupl 1 1
+eupl-1.2 | eupl 1 2
+artistic-1.0 | artistic 1 0(?: perl| cl8)?
+artistic-2.0 | artistic 2 0
+bsl-1.0 | bsl 1 0
+busl-1.1 | busl 1 1
+elastic-2.0 | elastic 2 0
+sspl-1.0 | sspl 1 0
+unlicense | unlicense
+wtfpl | wtfpl
+cc0-1.0 | cc0 1 0
+cc-by-1.0 | cc by 1 0
+cc-by-2.0 | cc by 2 0
+cc-by-2.5 | cc by 2 5
+cc-by-3.0 | cc by 3 0
+cc-by-4.0 | cc by 4 0
+cc-by-sa | cc by sa [1-4] [05]
+cc-by-nc | cc by nc [1-4] [05]
+cc-by-nd | cc by nd [1-4] [05]
+cc-by-nc-sa | cc by nc sa [1-4] [05]
+cc-by-nc-nd | cc by nc nd [1-4] [05]
+odbl-1.0 | odbl 1 0
+odc-by-1.0 | odc by 1 0
+pddl-1.0 | pddl 1 0
+zlib | zlib
+libpng | libpng(?: 2 0)?
+ijg | ijg
+openssl | openssl
+curl | curl
+python-2.0 | python 2 0(?: 1)?|psf 2 0
+ruby | ruby
+php-3.01 | php 3 01
+postgresql | postgresql
+vim | vim
+tcl | tcl
+w3c | w3c
+unicode-dfs | unicode (?:dfs 201[56]|3 0)
+ofl-1.1 | ofl 1 [01]
+ms-pl | ms pl
+ms-rl | ms rl
+afl-3.0 | afl [1-3] [0-2]
+osl-3.0 | osl [1-3] [01]
+ecl-2.0 | ecl [12] 0
+ncsa | ncsa
+lppl-1.3c | lppl 1 3[ac]
+qpl-1.0 | qpl 1 0
+sleepycat | sleepycat
+zpl-2.1 | zpl [12] [01]
+ntp | ntp
+beerware | beerware
+json | json
+mulan-2.0 | mulanpsl [12] 0
+bluoak-1.0 | blueoak 1 0 0
+polyform-nc | polyform noncommercial 1 0 0
+"""
+
+#: priority | label | keywords | regular expression: sentences of license texts and notices.
 SENTENCES = r"""
+40 | license | except in compliance | you may not use this file except in compliance with the license
 90 | mit | permission is hereby | permission is hereby granted free of charge to any person obtaining a copy
 90 | isc | permission to use | permission to use copy modify and or distribute this software for any purpose
 88 | bsd | redistribution | redistribution and use in source and binary forms with or without modification
 86 | bsd-3-clause | neither the name | neither the name of (?:\S+ ){1,12}nor the names of (?:its|the) contributors
 86 | bsd-4-clause | advertising materials | all advertising materials mentioning features or use of this software
-86 | apache-2.0 | apache | you may not use this file except in compliance with the license
-84 | apache-2.0 | apache | www apache org licenses license 2 0
+84 | apache-2.0 | apache | (?:www )?apache org licenses license 2 0
+84 | apache-1.1 | apache software foundation | this product includes software developed by the apache software foundation
+83 | mit | above copyright notice | the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software
+83 | isc | above copyright notice | provided that the above copyright notice and this permission notice appear in all copies
+83 | bsd | above copyright notice | redistributions of source code must retain the above copyright notice
+83 | bsd | above copyright notice | redistributions in binary form must reproduce the above copyright notice
+83 | bsd-4-clause | following acknowledgement | must display the following acknowledgement
+83 | gpl | free software foundation | write to the free software foundation inc
+83 | gpl | copy of the gnu | you should have received a copy of the gnu general public license
+83 | lgpl | copy of the gnu | you should have received a copy of the gnu (?:lesser|library) general public license
+83 | agpl | copy of the gnu | you should have received a copy of the gnu affero general public license
+84 | gpl-2.0-or-later | either version | either version 2 of the license or (?:at your option )?any later version
+84 | gpl-3.0-or-later | either version | either version 3 of the license or (?:at your option )?any later version
+83 | gfdl | invariant sections | with no invariant sections no front cover texts
+83 | mpl-2.0 | source code form | this source code form is subject to the terms of the mozilla public license
+83 | mpl-1.1 | contents of this file | the contents of this file are subject to the mozilla public license version 1 1
+83 | cddl-1.0 | contents of this file | the contents of this file are subject to the terms of the common development and distribution license
+83 | epl-1.0 | accompanying materials | this program and the accompanying materials are made available under the terms of the eclipse public license v1 0
+83 | epl-2.0 | accompanying materials | this program and the accompanying materials are made available under the terms of the eclipse public license (?:v )?2 0
+84 | epl-2.0 | eclipse org | (?:www )?eclipse org legal epl 2 0
+84 | epl-1.0 | eclipse org | (?:www )?eclipse org legal epl v10
+84 | bsl-1.0 | accompanying file | see accompanying file license 1 0 txt
+83 | bsl-1.0 | this license to use | obtaining a copy of the software and accompanying documentation covered by this license to use reproduce display
+83 | zlib | misrepresented | the origin of this software must not be misrepresented
+83 | zlib | plainly marked | altered source versions must be plainly marked as such
+83 | cc0-1.0 | copyright and related | waived all copyright and related or neighboring rights
+83 | ofl-1.1 | reserved font name | with reserved font name
+84 | ofl-1.1 | scripts sil org | scripts sil org ofl
+83 | wtfpl | just do what | you just do what the fuck you want to
+83 | beerware | buy me a beer | you can buy me a beer in return
+83 | artistic-2.0 | standard version | distribute verbatim copies of the source form of the standard version of this package
+83 | openssl | openssl project | this product includes software developed by the openssl project
+83 | postgresql | and its documentation | permission to use copy modify and distribute this software and its documentation for any purpose without fee
+83 | python-2.0 | psf hereby grants | psf hereby grants licensee a nonexclusive royalty free world wide license
+83 | unicode-dfs | data files | copy of the unicode data files and any associated documentation
+83 | ncsa | with the software | deal with the software without restriction
+83 | public-domain | public domain | (?:this|the) (?:work|file|code|software) is (?:hereby )?(?:placed |released )?(?:in|into) the public domain
+83 | public-domain | no copyright | no copyright is claimed
+83 | busl-1.1 | additional use grant | additional use grant
+83 | elastic-2.0 | managed service | you may not provide the software to third parties as a hosted or managed service
+83 | llama | community license | community license agreement
+83 | openrail | use based restrictions | use based restrictions
+83 | proprietary | strictly prohibited | unauthorized (?:copying|use|reproduction|distribution) (?:of this (?:file|software|document) )?(?:\S+ ){0,6}is strictly prohibited
+83 | proprietary | may not be reproduced | may not be reproduced (?:\S+ ){0,10}without (?:the )?(?:prior )?(?:express )?(?:written )?(?:permission|consent)
+83 | proprietary | trade secret | contains (?:confidential|proprietary) (?:\S+ ){0,4}trade secrets?
+83 | noncommercial | commercial | (?:for )?non ?commercial use only
+83 | noncommercial | personal use | for personal use only
+83 | evaluation | evaluation purposes | for evaluation purposes only
+83 | eula | end user | end user license agreement
+83 | patent-grant | patent license | royalty free irrevocable (?:\S+ ){0,6}patent license
+83 | patent-grant | patent rights | additional grant of patent rights
+83 | contributor | contributor license | contributor license agreement
+83 | contributor | certificate of origin | developer certificate of origin
+83 | export | export control | subject to (?:\S+ ){0,4}export control
+83 | attribution | attribution | please (?:provide|give) attribution
+83 | dual-license | dual license, multi license | dual licensed?|multi licensed?
 84 | gpl | free software | this program is free software you can redistribute it and or modify it
 84 | gpl | free software foundation | as published by the free software foundation
 84 | gpl | gnu org | www gnu org licenses(?: gpl(?: [123] 0)?)?
@@ -197,9 +343,12 @@ def rules() -> list[Rule]:
     for line in NAMES.strip().splitlines():
         label, keyword, name = (x.strip() for x in line.split(" | ", 2))
         label = re.sub(r"-(short|name)$", "", label)
-        found.append(_rule(95, label, keyword, rf"spdx license identifier (?:{name})"))
+        found.append(_rule(94, label, keyword, rf"spdx license identifier (?:{name})"))
         found.append(_rule(92, label, keyword, rf"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of )?(?:the )?(?:{name})"))
         found.append(_rule(75, label, keyword, name))
+    tags = [[x.strip() for x in line.split(" | ", 1)] for line in TAGS.strip().splitlines()]
+    for label, tag in tags:  # alone, or behind another name of an expression; the detection is the group's
+        found.append(_rule(95, label, "spdx license identifier", rf"spdx license identifier (?:(?:\S+ ){{1,6}}(?:or|and|with) )?((?:{tag})(?: only| or later)?)"))
     for line in SENTENCES.strip().splitlines():
         priority, label, keyword, pattern = (x.strip() for x in line.split(" | ", 3))
         found.append(_rule(int(priority), label, keyword, pattern))
@@ -236,38 +385,43 @@ class Scanner:
         hits = []
         for keyword in present & self.by_keyword.keys():
             for rule in self.by_keyword[keyword]:
-                hits += [(rule.priority, m.start(), m.end(), rule.label) for m in rule.pattern.finditer(flat)]
+                hits += [(rule.priority, *m.span(m.re.groups), rule.label) for m in rule.pattern.finditer(flat)]
         kept = suppressed(hits)
-        word_at = lambda at: flat.count(" ", 0, at) - 1
+        starts = list(itertools.accumulate((len(w) + 1 for w in flat.split()), initial=1))
+        word_at = lambda at: bisect.bisect_right(starts, at) - 1
         labels = base | {label for *_, label in kept}
         doubt = 1.0
         for priority in {p for p, *_ in kept}:
             doubt *= 1 - priority / SURE
         score = max(round(1 - doubt, 6) if kept else 0.0, 0.5 if base else 0.0)
-        spans = [(word_at(lo), word_at(hi) + 1, label) for _, lo, hi, label in kept]
+        spans = [(word_at(lo), word_at(hi - 1) + 1, label) for _, lo, hi, label in kept]
         first, last = (word_at(min(places)), word_at(max(places))) if places else (None, None)
         return len(words), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score, spans
 
 
 def suppressed(hits: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
     """(priority, start, end, label) hits without those within another kept one of no lower priority; first the
-    highest priority, then the longest, then the first by place and label."""
+    highest priority, then the longest, then the first by place and label.
+
+    A sweep for each priority: a hit gives way if one that begins no later, of this priority or a higher one, ends no earlier.
+    """
     kept: list[tuple[int, int, int, str]] = []
-    # kept intervals by start with the furthest end so far, so that a look-up is one bisection
-    starts: list[int] = []
-    ends: list[int] = []
-    for hit in sorted(set(hits), key=lambda h: (-h[0], h[1] - h[2], h[1], h[3])):
-        _, lo, hi, _ = hit
-        at = bisect.bisect_right(starts, lo)
-        if at and ends[at - 1] >= hi:
-            continue
-        kept.append(hit)
-        starts.insert(at, lo)
-        ends.insert(at, max(hi, ends[at - 1] if at else hi))
-        for i in range(at + 1, len(ends)):
-            if ends[i] >= hi:
-                break
-            ends[i] = hi
+    above: list[tuple[int, int]] = []  # (start, end) of the higher priorities, by start, without those inside others
+    for priority in sorted({h[0] for h in hits}, reverse=True):
+        own = sorted({h for h in hits if h[0] == priority}, key=lambda h: (h[1], -h[2], h[3]))
+        at, furthest, fresh = 0, -1, []
+        for hit in own:
+            while at < len(above) and above[at][0] <= hit[1]:
+                furthest, at = max(furthest, above[at][1]), at + 1
+            if furthest < hit[2]:
+                furthest = hit[2]
+                fresh.append(hit)
+        kept += fresh
+        merged = []
+        for start, end in sorted([*above, *((h[1], h[2]) for h in fresh)], key=lambda x: (x[0], -x[1])):
+            if not merged or end > merged[-1][1]:
+                merged.append((start, end))
+        above = merged
     return sorted(kept, key=lambda h: (h[1], h[2], h[3]))
 
 

@@ -22,6 +22,17 @@ URL_LIST = [
 ]
 
 
+#: How many further hosts the list holds, made by a rule, so that the filter has work.
+MORE_HOSTS = 60_000
+
+
+def listed_urls(spark: SparkSession) -> DataFrame:
+    """The listed canonical URLs: URL_LIST, and MORE_HOSTS made by a rule."""
+    named = spark.range(1).select(F.explode(F.array(*map(F.lit, URL_LIST))).alias("key"))
+    made = F.concat(F.lit("bulk"), F.col("id"), F.lit(".example."), F.element_at(F.array(*map(F.lit, ("com", "net", "org"))), (F.col("id") % 3 + 1).cast("int")), F.lit("/"))
+    return named.unionByName(spark.range(MORE_HOSTS).select(made.alias("key")))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -85,8 +96,7 @@ def op9_piece_merge_dropout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from graphloom.llm.urls import url_verdicts
 
-    listed = spark.createDataFrame([(u,) for u in URL_LIST], "key string")
-    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, listed)
+    return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, listed_urls(spark))
 
 
 SQL_OP3 = r"""
@@ -152,7 +162,9 @@ fit AS (
   SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS verdict
   FROM (SELECT DISTINCT host, path FROM u) d
   JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY ALL),
-listed(key) AS (VALUES {_LISTED}),
+listed(key) AS (
+  SELECT * FROM (VALUES {_LISTED}) v UNION ALL
+  SELECT 'bulk' || i || '.example.' || ['com', 'net', 'org'][i % 3 + 1] || '/' FROM range({MORE_HOSTS}) r(i)),
 keys AS (
   SELECT host, path, string_split(host, '.') AS l,
          regexp_replace(regexp_replace(path, '(/index)?\\.(html?|php|aspx?)$', ''), '/+$', '') AS page

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from graphloom.operators.frames import skew_join
+
 #: Words of 64 bits in a block of the filter, and the bits that a key sets in its block, one in each word.
 BLOCK_WORDS = 4
 #: Keys of a block, on average: 4 of 256 bits are set for each, which passes about 0.1 % of other keys.
@@ -102,10 +104,14 @@ def url_verdicts(pages: DataFrame, rules: list[tuple[str, str, str]], listed: Da
     rows = pages.select(F.col(id_column).alias("page_id"), url_host(url).alias("host"), url_path(url).alias("path"))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "by_rule": verdict})
-    undecided = rows.filter("by_rule is null").select("host", "path").distinct()
-    probes = undecided.withColumn("key", F.explode(canonical_keys(F.col("host"), F.col("path"))))
+    open_rows = rows.filter("by_rule is null and host <> ''")
+    urls = open_rows.groupBy("host", "path").agg(F.count("*").alias("pages"))
+    probes = urls.withColumn("key", F.explode(canonical_keys(F.col("host"), F.col("path")))).select("host", "path", "key")
     hits = listed_hits(probes, listed, "key").groupBy("host", "path").agg(F.min("key").alias("listed_as"))
-    judged = rows.join(hits, ["host", "path"], "left")
-    listed_as = F.when(F.col("by_rule").isNull(), F.col("listed_as"))
-    verdict = F.coalesce("by_rule", F.when(listed_as.isNotNull(), "block").otherwise("allow"))
-    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), listed_as.alias("listed_as"))
+    # a URL of very many pages is joined by broadcast
+    found = skew_join(open_rows, urls.join(hits, ["host", "path"], "left"), ["host", "path"], "pages", pages.count())
+    closed = rows.filter("by_rule is not null or host = ''").withColumn("listed_as", F.lit(None).cast("string"))
+    columns = ["page_id", "host", "path", "rule", "by_rule", "listed_as"]
+    verdict = F.coalesce("by_rule", F.when(F.col("listed_as").isNotNull(), "block").otherwise("allow"))
+    judged = found.select(*columns).unionByName(closed.select(*columns))
+    return judged.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "listed_as")

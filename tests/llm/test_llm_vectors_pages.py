@@ -232,6 +232,18 @@ def test_bloom_filter_has_no_false_negatives_and_few_positives(spark):
     assert "LeftSemi" in plan and "Python" not in plan
 
 
+def test_url_query_stays_in_the_jvm(spark, sf_dir, monkeypatch):
+    from graphloom.llm.queries import op10_url_filter
+    from graphloom.operators import frames
+
+    plain = sorted(map(tuple, op10_url_filter(spark, sf_dir).collect()))
+    monkeypatch.setattr(frames, "FEW_ROWS", 0)
+    for out in (op10_url_filter(spark, sf_dir),):
+        plan = out._jdf.queryExecution().toString()
+        assert not any(word in plan for word in ("Python", "Arrow", "ExistingRDD", "LogicalRDD")), plan
+        assert sorted(map(tuple, out.collect())) == plain
+
+
 # -- HTML ------------------------------------------------------------------------------------------------
 
 
