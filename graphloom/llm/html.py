@@ -9,6 +9,7 @@ trained here, on pages that `training_pages` invents from common layouts with kn
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -40,7 +41,8 @@ ENDS_BEFORE = {
     "td": ({"td", "th"}, {"tr", "table"}),
     "th": ({"td", "th"}, {"tr", "table"}),
 }
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
@@ -76,11 +78,73 @@ class Page(NamedTuple):
     pieces: list[tuple[int, int, str]]  # (node, block, text as it stands)
 
 
-def _after_raw(html: str, at: int, tag: str, above: set[str], unclosed: set[str]) -> int:
+class Token(NamedTuple):
+    start: int
+    end: int
+    shut: str  # "/" of an end tag
+    tag: str  # empty for comments and declarations
+    attributes: str
+
+
+class Scanner:
+    """The tags of a page from left to right. Every character is looked at a bounded number of times: where a tag has no
+    end, none behind it has one either, and the rest is text; a quote without its partner is a plain character."""
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.dead = len(html)  # from here on nothing is a tag
+        self.alone: dict[str, int] = {}  # where the last quote of a kind is known to stand
+
+    def _end(self, at: int) -> int:
+        """Behind the > that ends the tag whose attributes begin at `at`; 0 without one."""
+        html = self.html
+        while m := _STOP.search(html, at):
+            quote, at = m[0], m.end()
+            if quote == ">":
+                return at
+            if self.alone.get(quote) != m.start():
+                partner = html.find(quote, at)
+                if partner < 0:
+                    self.alone[quote] = m.start()
+                else:
+                    at = partner + 1
+        return 0
+
+    def next(self, at: int) -> Token | None:
+        """The first tag, comment or declaration that begins at `at` or later."""
+        html = self.html
+        while 0 <= (at := html.find("<", at)) < self.dead:
+            if html.startswith("<!--", at):
+                end = html.find("-->", at + 4)
+                return Token(at, len(html) if end < 0 else end + 3, "", "", "")
+            if html[at + 1 : at + 2] in ("!", "?"):
+                end = html.find(">", at) + 1
+                if end:
+                    return Token(at, end, "", "", "")
+                self.dead = at
+                return None
+            m = _NAME.match(html, at)
+            if m:
+                end = self._end(m.end())
+                if not end:
+                    self.dead = at
+                    return None
+                return Token(at, end, m[1], m[2].lower(), html[m.end() : end - 1])
+            at += 1
+        return None
+
+    def tokens(self, at: int) -> Iterator[Token]:
+        while token := self.next(at):
+            yield token
+            at = token.end
+
+
+def _after_raw(scan: Scanner, at: int, tag: str, above: set[str], unclosed: set[str]) -> int:
     """Where an element of RAW that begins at `at` ends: at its own end tag, or else where an element above it ends.
 
     unclosed: tags of PLAIN that are known to have no end tag from here on.
     """
+    html = scan.html
     if tag in PLAIN:
         shut = None if tag in unclosed else re.compile(rf"</{tag}\s*>", re.I).search(html, at)
         if shut:
@@ -89,77 +153,91 @@ def _after_raw(html: str, at: int, tag: str, above: set[str], unclosed: set[str]
         over = re.compile(rf"</(?:{'|'.join(map(re.escape, above))})\s*>", re.I).search(html, at) if above else None
         return over.start() if over else len(html)
     inside: list[str] = []
-    for m in _TOKEN.finditer(html, at):
-        name = (m[2] or "").lower()
+    held: Counter[str] = Counter()
+    for m in scan.tokens(at):
+        name = m.tag
         if not name:
             continue
-        if m[1]:
-            if name in inside:
-                del inside[len(inside) - 1 - inside[::-1].index(name) :]
+        if m.shut:
+            if held[name]:
+                while inside:
+                    last = inside.pop()
+                    held[last] -= 1
+                    if last == name:
+                        break
             elif name == tag:
-                return m.end()
+                return m.end
             elif name in above:
-                return m.start()
-        elif tag == "option" and name in ("option", "optgroup") or tag in UNBLOCKED and name in BLOCKS and "foreignobject" not in inside:
-            return m.start()
-        elif name not in VOID and not m[3].rstrip().endswith("/"):
+                return m.start
+        elif tag == "option" and name in ("option", "optgroup") or tag in UNBLOCKED and name in BLOCKS and not held["foreignobject"]:
+            return m.start
+        elif name not in VOID and not m.attributes.rstrip().endswith("/"):
             inside.append(name)
+            held[name] += 1
     return len(html)
 
 
 def parse(html: str) -> Page:
     """The elements of a page in order and its text pieces; missing and stray end tags are allowed for."""
+    scan = Scanner(html)
     nodes, pieces = [Node("#root", -1, 0, "")], []
     stack, block, at, end = [0], 0, 0, len(html)
+    is_open: Counter[str] = Counter()  # tags on the stack
     unclosed: set[str] = set()
+
+    def close(i: int) -> None:
+        is_open.subtract(nodes[n].tag for n in stack[i:])
+        del stack[i:]
+
     while at < end:
-        m = _TOKEN.search(html, at)
-        stop = m.start() if m else end
+        m = scan.next(at)
+        stop = m.start if m else end
         if stop > at:
             pieces.append((stack[-1], block, html[at:stop]))
         if not m:
             break
-        at = m.end()
-        tag = m[2]
+        at, tag = m.end, m.tag
         if not tag:
             continue
-        tag = tag.lower()
-        if m[1]:
+        if m.shut:
             if tag in BLOCKS:
                 block += 1
-            for i in range(len(stack) - 1, 0, -1):
-                name = nodes[stack[i]].tag
-                if name == tag:
-                    del stack[i:]
-                    break
-                if name in BLOCKS and tag not in BLOCKS:
-                    break
+            if is_open[tag]:
+                for i in range(len(stack) - 1, 0, -1):
+                    name = nodes[stack[i]].tag
+                    if name == tag:
+                        close(i)
+                        break
+                    if name in BLOCKS and tag not in BLOCKS:
+                        break
             continue
         if tag in BLOCKS:
             block += 1
             closes, stops = ENDS_BEFORE.get(tag, ({"p"}, {"button", "td", "th", "table", "article", "section", "div", "body", "li"}))
-            for i in range(len(stack) - 1, 0, -1):
-                name = nodes[stack[i]].tag
-                if name in closes:
-                    del stack[i:]
-                    break
-                if name in stops:
-                    break
+            if any(is_open[name] for name in closes):
+                for i in range(len(stack) - 1, 0, -1):
+                    name = nodes[stack[i]].tag
+                    if name in closes:
+                        close(i)
+                        break
+                    if name in stops:
+                        break
         if tag in VOID:
             if tag == "br":
                 pieces.append((stack[-1], block, " "))
             continue
+        closed = m.attributes.rstrip().endswith("/")
         if tag in RAW:
-            closed = m[3].rstrip().endswith("/")
             if closed and tag in PLAIN:  # `<script src=a/>` before its own end tag isn't closed
                 near = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(html, at)
                 closed = not near or not near[1]
             if not closed:
-                at = _after_raw(html, at, tag, {nodes[i].tag for i in stack[1:]}, unclosed)
+                at = _after_raw(scan, at, tag, {name for name, n in is_open.items() if n}, unclosed)
             continue
-        nodes.append(Node(tag, stack[-1], len(stack), m[3]))
-        if not m[3].rstrip().endswith("/"):
+        nodes.append(Node(tag, stack[-1], len(stack), m.attributes))
+        if not closed:
             stack.append(len(nodes) - 1)
+            is_open[tag] += 1
     return Page(nodes, pieces)
 
 
@@ -302,9 +380,11 @@ def training_pages(n: int, seed: int = 5) -> Iterator[str]:
     pick = lambda *xs: xs[rng.integers(len(xs))]
     letters = np.array(list("abcdefghijklmnopqrstuvwxyzéüñ"))
 
+    vocabulary = np.array(["".join(rng.choice(letters, rng.integers(1, 10))) for _ in range(3000)])
+    vocabulary = np.concatenate([vocabulary] * 22 + [np.char.add(vocabulary, mark) for mark in (",", ".", ".\n")])
+
     def words(lo: int, hi: int) -> str:
-        many = ["".join(rng.choice(letters, rng.integers(1, 10))) for _ in range(rng.integers(lo, hi + 1))]
-        return " ".join(w + (pick(",", ".", ".\n") if rng.random() < 0.12 else "") for w in many).capitalize() + pick(".", "", "?")
+        return " ".join(rng.choice(vocabulary, rng.integers(lo, hi + 1))).capitalize() + pick(".", "", "?")
 
     def links(lo: int, hi: int, tag: str = "li") -> str:
         return "".join(f'<{tag}><a href="/{i}">{words(1, 4)}</a></{tag}>' for i in range(rng.integers(lo, hi + 1)))

@@ -28,13 +28,27 @@ _ASCII_LETTER = LETTERS & (np.arange(256) < 128)
 BITS = 16
 ORDERS = (1, 2, 3, 4)
 AFFIX = 5
-#: Longest part of a word that has features, in bytes; longer runs are encoded data.
+#: Longer runs of letters, in bytes, such as text without spaces or encoded data, are cut into words of so many.
 WORD_BYTES = 48
+#: What isn't ASCII and neither a letter nor a mark on one stands between words as a space does.
+_BETWEEN = r"[^\p{L}\p{M}\x00-\x7F]+"
 SEGMENT = 64
 #: Bytes of text that are predicted at once.
 CHUNK = 1 << 20
 
 
+def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """The words of a run of texts, long ones in parts."""
+    words = Words(data, offsets, LETTERS)
+    parts = -(-(words.ends - words.starts) // WORD_BYTES)
+    if len(words) and int(parts.max()) > 1:
+        nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        starts, ends = np.repeat(words.starts, parts) + nth * WORD_BYTES, np.repeat(words.ends, parts)
+        words.first = np.concatenate([[0], np.cumsum(parts)])[words.first]
+        words.starts, words.ends = starts, np.minimum(starts + WORD_BYTES, ends)
+    return words
+
+
 class Model(NamedTuple):
     labels: list[str]
     weights: np.ndarray  # features x labels
@@ -43,7 +57,7 @@ class Model(NamedTuple):
 
 def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(feature numbers of all words in a row, how many of each word)."""
-    size = np.minimum(ends - starts, WORD_BYTES)
+    size = ends - starts
     total = size + 2
     first = np.cumsum(total) - total
     text = np.zeros(int(total.sum()), np.uint64)  # 0 marks both ends
@@ -142,11 +156,11 @@ def marginals(log_scores: np.ndarray, first: np.ndarray, transitions: np.ndarray
 def fit(texts: list[str], labels: list[str], rounds: int = 40, sequence: int = 200, seed: int = 3) -> Model:
     """The field that makes the labels of the sample's words likeliest, by Adam on the whole sample."""
     names = sorted(set(labels))
-    data = pa.array([t.lower() for t in texts], pa.large_string())
+    data = pc.replace_substring_regex(pa.array([t.lower() for t in texts], pa.large_string()), _BETWEEN, " ")
     words, label, bags, counts = [], [], [], []
     seen: dict[int, int] = {}
     for at, end, raw, offsets in chunks(data):
-        w = Words(raw, offsets, LETTERS)
+        w = words_of(raw, offsets)
         if not len(w):
             continue
         distinct, example, which = np.unique(w.hashes(43), return_index=True, return_inverse=True)
@@ -209,16 +223,17 @@ _SPAN = pa.struct([("first_word", pa.int64()), ("end_word", pa.int64()), ("lang"
 
 
 def _predict(model: Model, spans: bool, carried: tuple[str, ...] = ("doc_id", "held_out"), names: tuple[str, ...] = ("lang_pred", "score")):
-    """Adds the prediction under `names` to the carried columns; the text is in column `text`."""
+    """Adds what `names` says to the carried columns: lang_pred, its score, and sure, the mean certainty of the words'
+    languages, which is as high in text that switches between languages. The text is in column `text`."""
 
     @worker("langid")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = pc.utf8_lower(batch["text"])
+            texts = pc.replace_substring_regex(pc.utf8_lower(batch["text"]), _BETWEEN, " ")
             for at, end, data, offsets in chunks(texts, CHUNK):
                 n = end - at
-                best, score, runs_of = ["und"] * n, np.zeros(n), [[] for _ in range(n)]
-                words = Words(data, offsets, LETTERS)
+                best, score, sure, runs_of = ["und"] * n, np.zeros(n), np.zeros(n), [[] for _ in range(n)]
+                words = words_of(data, offsets)
                 if len(words) and model.labels:
                     distinct, example, which = np.unique(words.hashes(43), return_index=True, return_inverse=True)
                     bag, count = word_features(data, words.starts[example], words.ends[example], distinct)
@@ -227,17 +242,20 @@ def _predict(model: Model, spans: bool, carried: tuple[str, ...] = ("doc_id", "h
                     first = np.append(words.first[some], len(words))
                     p = marginals(log_scores, first, model.transitions)
                     mean = np.add.reduceat(p, first[:-1], axis=0) / np.diff(first)[:, None]
+                    certain = np.add.reduceat(p.max(axis=1), first[:-1]) / np.diff(first)
                     letters = np.concatenate([[0], np.cumsum(_ASCII_LETTER[data])])
                     plain = letters[offsets[1:]] > letters[offsets[:-1]]
                     for row, i in enumerate(some):
                         if plain[i] or _has_letter(texts[at + i].as_py()):
                             top = int(mean[row].argmax())
                             best[i], score[i] = model.labels[top], min(1.0, float(mean[row, top]))
+                            sure[i] = certain[row]
                             if spans:
                                 own = p[first[row] : first[row + 1]].argmax(1)
                                 starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                                 runs_of[i] = [{"first_word": a, "end_word": b, "lang": model.labels[own[a]]} for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(own)])]
-                columns = [*(batch[c].slice(at, n) for c in carried), pa.array(best, pa.string()), pa.array(score)]
+                found = {"lang_pred": pa.array(best, pa.string()), "score": pa.array(score), "sure": pa.array(sure)}
+                columns = [*(batch[c].slice(at, n) for c in carried), *(found[c] for c in names)]
                 out = [*carried, *names]
                 if spans:
                     columns, out = [*columns, pa.array(runs_of, pa.list_(_SPAN))], [*out, "spans"]
@@ -251,14 +269,17 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def train(docs: DataFrame, per_language: int = 120, longest: int = 20_000) -> Model:
-    """Fits to per_language whole texts of each lang, those with the smallest hashes of their ids.
+def train(docs: DataFrame, per_language: int = 120, longest: int = 20_000, languages: int = 100) -> Model:
+    """Fits to per_language texts of each of the `languages` langs that most rows have, those with the smallest hashes of their ids.
 
-    Only rows with a text, a lang and an id that isn't held out count; texts of over `longest`
-    characters are taken only for a language that has too few others.
+    Only rows with a text, a lang and an id that isn't held out count. Texts of over `longest` characters are
+    taken only for a language that has too few others, and of them as many characters. So the sample, which the
+    driver holds, has per_language * languages * longest characters at most.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out())
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    rows = rows.join(F.broadcast(common.select("lang")), "lang").withColumn("text", F.substring("text", 1, longest + 1))
     order = Window.partitionBy("lang").orderBy(F.length("text") > longest, F.xxhash64("doc_id"), "doc_id", "text")
     rows = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
     sample = sorted((r["lang"], r["n"], r["text"]) for r in rows.select("lang", "n", "text").collect())
@@ -281,11 +302,14 @@ def identify_languages(docs: DataFrame, model: Model | None = None, spans: bool
 
 
 def accepted_documents(docs: DataFrame, least: float = 0.35, model: Model | None = None) -> DataFrame:
-    """The rows of docs, with all their columns, whose language is known: not `und`, and a score of `least` or more."""
+    """The rows of docs, with all their columns, whose words' languages are known: those not `und`, with a mean certainty
+    of `least` or more over their words. So text that switches between languages stays. Rows may share a doc_id or have
+    none; null and empty texts go; very long texts are read whole; an empty table gives no rows.
+    """
     ship(docs.sparkSession)
     model = model or train(docs)
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
     rows = docs.select(F.col("text").cast("string").alias("text"), row)
-    schema = rows.select("row").schema.add("lang_pred", "string").add("score", "double")
-    judged = rows.mapInArrow(_predict(model, False, ("row",)), schema)
-    return judged.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select("row.*")
+    schema = rows.select("row").schema.add("lang_pred", "string").add("sure", "double")
+    judged = rows.mapInArrow(_predict(model, False, ("row",), ("lang_pred", "sure")), schema)
+    return judged.filter((F.col("lang_pred") != "und") & (F.col("sure") >= least)).select("row.*")

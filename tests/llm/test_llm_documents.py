@@ -549,6 +549,56 @@ def test_code_switched_text_is_labelled_in_runs():
     assert np.diag(model.transitions).min() > 0
 
 
+def test_words_end_at_spaces_of_all_kinds_and_long_runs_are_read_whole():
+    import numpy as np
+    import pyarrow as pa
+
+    from graphloom.llm.langid import _predict, fit, words_of
+
+    rng = random.Random(6)
+    syllables = {"aa": ["ka", "ro", "mi"], "bb": ["zu", "bl", "fe"]}
+    word = lambda lang: "".join(rng.choice(syllables[lang]) for _ in range(3))
+    texts = [(lang, " ".join(word(lang) for _ in range(60))) for lang in syllables for _ in range(20)]
+    model = fit([t for _, t in texts], [lang for lang, _ in texts], 20)
+    many = lambda lang, n, by: by.join(word(lang) for _ in range(n))
+    rows = [many("aa", 3, "\u00a0") + "\u3000" + many("bb", 30, "\u00a0"), many("aa", 4, "") + many("bb", 60, ""), many("aa", 20, " ") + " " + many("bb", 20, " ")]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, 3]), pa.array([False] * 3), pa.array(rows)], ["doc_id", "held_out", "text"])
+    out = next(iter(_predict(model, True, names=("lang_pred", "score", "sure"))(iter([batch])))).to_pylist()
+    assert [r["lang_pred"] for r in out[:2]] == ["bb", "bb"] and out[0]["spans"][-1]["end_word"] == 33
+    assert out[2]["score"] < 0.6 < 0.9 < out[2]["sure"]
+    data = np.frombuffer(b"x" * 100 + b" yy", np.uint8)
+    w = words_of(data, np.array([0, 101, len(data)]))
+    assert w.starts.tolist() == [0, 48, 96, 101] and w.ends.tolist() == [48, 96, 100, 103] and w.first.tolist() == [0, 3, 4]
+
+
+def test_the_gradient_is_that_of_the_likelihood():
+    """fit's step against finite differences of the log-likelihood by enumeration."""
+    import itertools
+
+    import numpy as np
+
+    from graphloom.llm.langid import marginals
+
+    rng = np.random.default_rng(1)
+    scores, trans, truth = rng.normal(size=(4, 2)), rng.normal(size=(2, 2)), [0, 1, 1, 0]
+    first = np.array([0, 4])
+
+    def score(y, s, t):
+        return np.log(np.exp(t[:, y[0]]).sum()) + sum(s[i, y[i]] for i in range(4)) + sum(t[y[i], y[i + 1]] for i in range(3))
+
+    def likelihood(s):
+        every = [score(y, s, trans) for y in itertools.product(range(2), repeat=4)]
+        return score(truth, s, trans) - np.log(np.exp(every).sum())
+
+    p = marginals(scores, first, trans)
+    for i in range(4):
+        for j in range(2):
+            step = np.zeros_like(scores)
+            step[i, j] = 1e-5
+            slope = (likelihood(scores + step) - likelihood(scores - step)) / 2e-5
+            assert abs(slope - ((truth[i] == j) - p[i, j])) < 1e-6
+
+
 def test_helpers_agree():
     assert len(shingles("A b C d e f")) == 2 and hashlib.sha256(b"").hexdigest() == brute_repeats([(1, None)])[1][2]
 

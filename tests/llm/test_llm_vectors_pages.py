@@ -299,6 +299,35 @@ def test_no_main_text_is_lost(name):
     assert main_texts([html], trained())[0] == "\n\n".join(b.strip() for b in blocks)
 
 
+def repeated(unit, size=1_000_000):
+    return unit * (size // len(unit))
+
+
+@pytest.mark.parametrize("unit", ["<a ", "<a href='", "<a '>", "<!x", "<!--", "<script>", "<script/>", "<svg>", "<option>", "</b>", "<b>", "<i></u>", "<p><h1>", "<", "<a \"x>", "</div>"])
+def test_parsing_takes_time_in_proportion(unit):
+    import time
+
+    from graphloom.llm.html import parse
+
+    seconds = []
+    for size in (100_000, 800_000):
+        began = time.process_time()
+        parse("<body>" + repeated(unit, size))
+        seconds.append(time.process_time() - began)
+    assert seconds[1] < 20 * max(seconds[0], 0.05), (unit, seconds)
+
+
+def test_unclosed_tags_and_quotes_keep_the_text():
+    from graphloom.llm.html import parse
+
+    texts = lambda html: "".join(p for *_, p in parse(html).pieces)
+    assert texts("<p title='x>one</p> two") == "one two"
+    assert texts("<p>a < b and 1<2</p>") == "a < b and 1<2"
+    assert texts("<p title='a>b'>one <b class=\"x'>y\">two</b>") == "one two"
+    assert texts("one <p two") == "one <p two"
+    assert texts("a<!-- b --> c<!d> e") == "a c e"
+
+
 def test_invented_layouts_that_were_not_trained_on():
     from graphloom.llm.html import _KEEP, features, kept_nodes, parse, trained, training_pages
 
