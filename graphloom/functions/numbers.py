@@ -72,6 +72,12 @@ def money(text: Column, default: str = "USD") -> Column:
     return F.struct(digits.try_cast("double").alias("amount"), currency.alias("currency"))
 
 
+def convert_money(amount: Column, source: Column, target: str, rates: dict[str, float]) -> Column:
+    """amount in another currency; rates: what one unit of each currency is worth in a common one. Null without a rate."""
+    worth = F.create_map(*(F.lit(x) for kv in rates.items() for x in kv))
+    return amount * worth[F.upper(source)] / F.lit(rates.get(target.upper()))
+
+
 def significant_digits(x: Column, digits: int) -> Column:
     """x rounded to so many significant digits; 0 stays."""
     power = F.pow(F.lit(10.0), F.lit(digits - 1) - F.floor(F.log10(F.abs(x))))

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.operators.frames import settled, superseded
+
 from graphloom.functions import similarity as S
 from graphloom.operators import graph
 
@@ -106,11 +108,24 @@ def resolved_entities(merged: DataFrame, entities: DataFrame, groups: DataFrame,
 
 
 def greedy_matches(pairs: DataFrame) -> DataFrame:
-    """One-to-one matches of (new_ord, old_ord, score): those that are the best of both sides."""
-    by_new = Window.partitionBy("new_ord").orderBy(F.desc("score"), "old_ord")
-    by_old = Window.partitionBy("old_ord").orderBy(F.desc("score"), "new_ord")
-    ranked = pairs.withColumns({"r": F.row_number().over(by_new), "s": F.row_number().over(by_old)})
-    return ranked.filter("r = 1 and s = 1").drop("r", "s")
+    """One-to-one matches of (new_ord, old_ord, score): the best pair of all, then the best of what is left, and so on.
+
+    A pair that is the best of both its rows is always among them, so each round takes all of these and
+    drops the other pairs of their rows. Ties go to the smaller new_ord, then old_ord. Each round is written to the shared folder.
+    """
+    left, found = settled(pairs.select("new_ord", "old_ord", "score")), None
+    while left.take(1):
+        order = F.struct(F.col("score"), -F.col("new_ord"), -F.col("old_ord"))
+        best_of = lambda c: left.groupBy(c).agg(F.max(order).alias(f"best_{c}"))
+        own = F.struct(F.col("score"), -F.col("new_ord"), -F.col("old_ord"))
+        both = left.join(best_of("new_ord"), "new_ord").join(best_of("old_ord"), "old_ord")
+        some = settled(both.filter((F.col("best_new_ord") == own) & (F.col("best_old_ord") == own)).select("new_ord", "old_ord", "score").distinct())
+        found = some if found is None else found.unionByName(some)
+        rest = left.join(some.select("new_ord"), "new_ord", "left_anti").join(some.select("old_ord"), "old_ord", "left_anti")
+        rest = settled(rest.select("new_ord", "old_ord", "score"))
+        superseded(left)
+        left = rest
+    return left if found is None else found
 
 
 def seed_first(seed: DataFrame, extracted: DataFrame, key: list[str]) -> DataFrame:

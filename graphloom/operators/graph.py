@@ -6,11 +6,13 @@ Undirected measures work on simple edges: each once, without loops. Iterations w
 from __future__ import annotations
 
 import heapq
+import itertools
 from collections import defaultdict, deque
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graphloom.operators.components import components
 from graphloom.operators.frames import settled
 
 
@@ -56,26 +58,14 @@ def structure_kind(metrics: DataFrame, n_components: Column) -> DataFrame:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component): component is the smallest node reachable.
-
-    Every round takes the smallest label of a node's neighbours and then that label's own label, so
-    chains halve; it ends when no label changed.
-    """
-    e = settled(both_ways(edges))
-    labels = settled(e.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("src")).alias("component")))
-    while True:
-        seen = e.join(labels, e.dst == labels.node).groupBy("src").agg(F.min("component").alias("m"))
-        near = labels.join(seen, labels.node == seen.src).select("node", F.col("component").alias("old"), F.least("component", "m").alias("c"))
-        of = near.select(F.col("node").alias("k"), F.col("c").alias("next"))
-        fresh = settled(near.join(of, near.c == of.k).select("node", "old", F.least("c", "next").alias("component")))
-        changed = fresh.filter("component <> old").limit(1).count()
-        labels = fresh.select("node", "component")
-        if not changed:
-            return labels
+    """(node, component) of all nodes with an edge: component is the smallest node reachable, by alternating stars."""
+    e = settled(simple_edges(edges))
+    found = settled(components(e, "src", "dst").select(F.col("id").alias("node"), "component"))
+    return found.unionByName(found.select(F.col("component").alias("node"), "component").distinct())
 
 
-def bfs(edges: DataFrame, sources: DataFrame, hops: int, directed: bool = False, keep: Column | None = None) -> DataFrame:
-    """(source, node, distance) of every node within `hops` of each of sources(node), sources included at 0.
+def bfs(edges: DataFrame, sources: DataFrame, hops: int | None, directed: bool = False, keep: Column | None = None) -> DataFrame:
+    """(source, node, distance) of every node within `hops` (None: any number) of each of sources(node), sources included at 0.
 
     keep: a condition on edges, such as their validity.
     """
@@ -83,7 +73,7 @@ def bfs(edges: DataFrame, sources: DataFrame, hops: int, directed: bool = False,
     e = settled(e.select("src", "dst").distinct() if directed else both_ways(e))
     seen = settled(sources.select(F.col("node").alias("source"), "node", F.lit(0).alias("distance")).distinct())
     front = seen
-    for d in range(1, hops + 1):
+    for d in itertools.count(1) if hops is None else range(1, hops + 1):
         step = front.join(e, front.node == e.src).select("source", F.col("dst").alias("node")).distinct()
         front = settled(step.join(seen, ["source", "node"], "left_anti").withColumn("distance", F.lit(d)))
         if not front.take(1):
@@ -131,7 +121,7 @@ def _few_nodes(edges: DataFrame, most: int) -> DataFrame:
     return nodes
 
 
-def closeness(edges: DataFrame, hops: int = 64, most: int = 50_000) -> DataFrame:
+def closeness(edges: DataFrame, hops: int | None = None, most: int = 50_000) -> DataFrame:
     """((r - 1) / sum of distances) * ((r - 1) / (n - 1)), r the nodes reached; all pairs, so the number of nodes is checked."""
     nodes = _few_nodes(edges, most)
     n = nodes.agg(F.count("*").alias("n"))
@@ -139,7 +129,7 @@ def closeness(edges: DataFrame, hops: int = 64, most: int = 50_000) -> DataFrame
     return d.crossJoin(F.broadcast(n)).select("node", (((F.col("r") - 1) / F.col("total")) * ((F.col("r") - 1) / (F.col("n") - 1))).alias("closeness"))
 
 
-def average_path_length(edges: DataFrame, hops: int = 64, most: int = 50_000) -> DataFrame:
+def average_path_length(edges: DataFrame, hops: int | None = None, most: int = 50_000) -> DataFrame:
     """One row: the mean distance over connected ordered pairs, and how many there are; the number of nodes is checked."""
     d = bfs(edges, _few_nodes(edges, most), hops).filter("distance > 0")
     return d.agg(F.avg("distance").alias("mean_distance"), F.count("*").alias("n_pairs"))

@@ -88,8 +88,12 @@ def is_url(c: Column) -> Column:
     return c.rlike(r"^https?://[^\s/$.?#].[^\s]*$")
 
 
+#: Fixed value: which texts count as an address.
+EMAIL = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+
+
 def is_email(c: Column) -> Column:
-    return c.rlike(r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$")
+    return c.rlike(EMAIL)
 
 
 def valid_entity() -> Column:

@@ -79,11 +79,11 @@ def _fired(rule: Rule, facts: DataFrame, delta: DataFrame | None) -> DataFrame:
     return out
 
 
-def forward_chain(facts: DataFrame, rules: list[Rule], rounds: int = 50) -> DataFrame:
+def forward_chain(facts: DataFrame, rules: list[Rule], rounds: int = 1000) -> DataFrame:
     """(pred, args, rule, premises, round) of all facts that follow and aren't given.
 
     Each round joins only what the last one found with what is known. A fact found by several rules gets the
-    first by priority, then name.
+    first by priority, then name. An error if facts still follow after so many rounds.
     """
     order = {r.name: i for i, r in enumerate(sorted(rules, key=lambda r: (-r.priority, r.name)))}
     known = settled(facts.select("pred", "args").distinct())
@@ -100,6 +100,8 @@ def forward_chain(facts: DataFrame, rules: list[Rule], rounds: int = 50) -> Data
         found = new if found is None else found.unionByName(new)
         delta = new.select("pred", "args")
         known = settled(known.unionByName(delta))
+    else:
+        raise ValueError(f"facts still follow after {rounds} rounds")
     empty = known.limit(0).select("pred", "args", F.lit("").alias("rule"), F.lit(0).alias("premises"), F.lit(0).alias("round"))
     return found if found is not None else empty
 

@@ -45,8 +45,9 @@ def rank_and_merge(results: DataFrame, alpha: float = 0.5) -> DataFrame:
     Scores are spread over 0..1 within a source, weighted (vector 1 - alpha, graph alpha plus 0.01 a related
     row up to 0.2, memory 0.3); an id that several sources found gets the largest times 1.2.
     """
-    own = Window.partitionBy("source")
-    lo, hi = F.min("score").over(own), F.max("score").over(own)
+    ends = results.groupBy("source").agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))  # three rows
+    results = results.join(F.broadcast(ends), "source")
+    lo, hi = F.col("_lo"), F.col("_hi")
     unit = F.when(hi == lo, 1.0).otherwise((F.col("score") - lo) / (hi - lo))
     weighted = F.when(F.col("source") == "vector", unit * (1 - alpha)).when(F.col("source") == "graph", unit * alpha + F.least(F.lit(0.2), F.coalesce("related", F.lit(0)) * 0.01)).otherwise(unit * 0.3)
     g = results.withColumn("w", weighted).groupBy("id").agg(F.max("w").alias("w"), F.countDistinct("source").alias("n_sources"))

@@ -130,9 +130,9 @@ def dangling_edges(spark, d):
     return dangling.unionByName(o.join(dangling, ["src", "dst"], "left_anti").join(known, "dst", "left_anti").select("src", "dst"))
 
 
-@query("""SELECT c_custkey AS node FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)""")
+@query("""SELECT c_custkey AS node FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""")
 def orphan_nodes(spark, d):
-    o = table(spark, d, "orders").select((-F.col("o_orderkey")).alias("src"), F.col("o_custkey").alias("dst"))
+    o = table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select((-F.col("o_orderkey")).alias("src"), F.col("o_custkey").alias("dst"))
     return G.orphan_nodes(o, table(spark, d, "customer").select(F.col("c_custkey").alias("node")))
 
 

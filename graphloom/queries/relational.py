@@ -20,9 +20,9 @@ def join_semi(spark, d):
     return table(spark, d, "customer").join(table(spark, d, "orders").filter("o_totalprice > 200000"), F.expr("o_custkey = c_custkey"), "left_semi").select("c_custkey", "c_name")
 
 
-@query("""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""")
+@query("""SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)""")
 def join_anti(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders"), F.expr("o_custkey = c_custkey"), "left_anti").select("c_custkey", "c_name")
+    return table(spark, d, "customer").join(table(spark, d, "orders").filter("o_totalprice > 400000"), F.expr("o_custkey = c_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 @query("""SELECT r_name, n_name, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
@@ -72,9 +72,9 @@ def set_intersect(spark, d):
     return table(spark, d, "nation").select(F.col("n_nationkey").alias("k")).intersect(table(spark, d, "supplier").select("s_nationkey"))
 
 
-@query("""SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders""")
+@query("""SELECT c_custkey AS k FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def set_except(spark, d):
-    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, d, "orders").select("o_custkey"))
+    return table(spark, d, "customer").select(F.col("c_custkey").alias("k")).subtract(table(spark, d, "orders").filter("o_orderpriority = '1-URGENT'").select("o_custkey"))
 
 
 @query("""SELECT c_nationkey AS k, 'customer' AS side FROM customer UNION SELECT s_nationkey, 'supplier' FROM supplier""")

@@ -129,6 +129,12 @@ def unit_convert(spark, d):
     return table(spark, d, "part").select("p_partkey", F.round(N.convert_units(s, F.lit("km"), F.lit("meter")), 6).alias("meters"), F.round(N.convert_units(s, F.lit("meters"), F.lit("inch")), 6).alias("inches"), N.convert_units(s, F.lit("kg"), F.lit("meter")).alias("wrong"))
 
 
+@query("""SELECT s_suppkey, round(s_acctbal * CASE s_nationkey % 4 WHEN 0 THEN 1.0 WHEN 1 THEN 1.25 WHEN 2 THEN 0.5 END / 1.25, 6) AS pounds FROM supplier""")
+def currency_convert(spark, d):
+    code = F.element_at(F.array(F.lit("USD"), F.lit("gbp"), F.lit("CHF"), F.lit("XXX")), (F.col("s_nationkey") % 4 + 1).cast("int"))
+    return table(spark, d, "supplier").select("s_suppkey", F.round(N.convert_money(F.col("s_acctbal"), code, "GBP", {"USD": 1.0, "GBP": 1.25, "CHF": 0.5}), 6).alias("pounds"))
+
+
 @query("""SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount, 'EUR' AS currency FROM orders""")
 def currency_parse(spark, d):
     m = table(spark, d, "orders").select("o_orderkey", N.money(F.concat(F.lit("€"), F.format_number("o_totalprice", 2))).alias("m"))

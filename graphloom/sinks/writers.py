@@ -102,9 +102,11 @@ def yaml_rows(df: DataFrame) -> DataFrame:
     return df.select(F.concat(F.lit("- "), F.regexp_replace(F.concat_ws("\n  ", *fields), r'\["?|"?\]', '"')).alias("value"))
 
 
-def report(counts: DataFrame, title: str, form: str = "markdown") -> str:
-    """A small table as text; for aggregates, as it is collected."""
-    rows, head = [[str(x) for x in r] for r in counts.limit(1000).collect()], counts.columns
+def report(counts: DataFrame, title: str, form: str = "markdown", most: int = 100_000) -> str:
+    """A small table as text; for aggregates, as it is collected, so one of over `most` rows is an error."""
+    rows, head = [[str(x) for x in r] for r in counts.limit(most + 1).collect()], counts.columns
+    if len(rows) > most:
+        raise ValueError(f"a report takes at most {most} rows")
     if form == "html":
         cells = "".join("<tr>" + "".join(f"<td>{x}</td>" for x in r) + "</tr>" for r in rows)
         return f"<h1>{title}</h1><table><tr>{''.join(f'<th>{h}</th>' for h in head)}</tr>{cells}</table>"

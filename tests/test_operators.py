@@ -286,3 +286,47 @@ def test_settled_tables_can_be_dropped(spark):
     assert df.count() == 3 and drop_settled(spark) >= 1 and drop_settled(spark) == 0
     with pytest.raises(Exception, match="FileNotFound|PATH_NOT_FOUND|FILE_NOT_EXIST|does not exist"):
         df.count()
+
+
+def test_greedy_matches_takes_the_best_pair_that_is_left(spark):
+    import random
+
+    from graphloom.operators.dedup import greedy_matches
+
+    rng = random.Random(3)
+    pairs = sorted({(rng.randrange(15), rng.randrange(15)): rng.randrange(5) / 4 for _ in range(120)}.items(), key=lambda p: (-p[1], *p[0]))
+    news, olds, want = set(), set(), set()
+    for (new, old), score in pairs:
+        if new not in news and old not in olds:
+            news.add(new)
+            olds.add(old)
+            want.add((new, old, score))
+    rows = [(a, b, x) for (a, b), x in pairs]
+    got = greedy_matches(spark.createDataFrame(rows, "new_ord long, old_ord long, score double"))
+    assert {tuple(r) for r in got.collect()} == want
+    assert greedy_matches(spark.createDataFrame([], "new_ord long, old_ord long, score double")).count() == 0
+
+
+def test_what_does_not_end_is_an_error(spark):
+    import pytest
+
+    from graphloom.operators.rules import forward_chain, parse_rule
+    from graphloom.sinks.writers import report
+
+    facts = spark.createDataFrame([("next", [str(i), str(i + 1)]) for i in range(8)], "pred string, args array<string>")
+    rule = parse_rule("IF next(?x, ?y) AND next(?y, ?z) THEN next(?x, ?z)")
+    assert forward_chain(facts, [rule]).count() == 28
+    with pytest.raises(ValueError, match="rounds"):
+        forward_chain(facts, [rule], 1)
+    with pytest.raises(ValueError, match="rows"):
+        report(spark.range(5), "t", most=4)
+
+
+def test_components_with_hot_nodes(spark, monkeypatch):
+    from graphloom.operators import frames, graph
+
+    edges = spark.createDataFrame([(f"n{i}", "hub") for i in range(60)] + [(f"m{i}", f"m{i + 1}") for i in range(30)], "src string, dst string")
+    want = {**{f"n{i}": "hub" for i in range(60)}, "hub": "hub", **{f"m{i}": "m0" for i in range(31)}}
+    for few in (10**6, 0):
+        monkeypatch.setattr(frames, "FEW_ROWS", few)
+        assert {r["node"]: r["component"] for r in graph.connected_components(edges).collect()} == want
