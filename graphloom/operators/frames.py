@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _PACKAGE = Path(__file__).resolve().parent.parent
@@ -103,14 +103,14 @@ def skew_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, t
     if total <= FEW_ROWS:
         return rows.join(table, keys)
     table, bar = settled(table), total // HEAVY_KEYS
-    heavy = F.broadcast(table.filter(F.col(weight) > bar))
-    light = rows.join(heavy.select(*keys), keys, "left_anti").join(table.filter(F.col(weight) <= bar), keys)
-    return rows.join(heavy, keys).unionByName(light)
+    of = F.xxhash64(*keys)
+    heavy = of.isin([r[0] for r in table.filter(F.col(weight) > bar).select(of).collect()])
+    light = rows.filter(~heavy).join(table.filter(~heavy), keys)
+    return rows.filter(heavy).join(F.broadcast(table.filter(heavy)), keys).unionByName(light)
 
 
-def common_keys(sample: DataFrame, keys: list[str], above: int = 8) -> DataFrame | None:
-    """The keys that more than `above` rows of a sample have, HEAVY_KEYS at most, those of the most rows first; None if there are none."""
-    counted = sample.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > above)
-    found = counted.orderBy(F.desc("_n"), *keys).limit(HEAVY_KEYS).select(*keys)
-    rows = found.collect()
-    return sample.sparkSession.createDataFrame(rows, found.schema) if rows else None
+def common_keys(sample: DataFrame, key: str, above: int = 8) -> Column | None:
+    """Whether `key` is one of those that more than `above` rows of a sample have, HEAVY_KEYS at most, those of the most rows first; None if there are none."""
+    counted = sample.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > above)
+    found = [r[0] for r in counted.orderBy(F.desc("_n"), key).limit(HEAVY_KEYS).select(key).collect()]
+    return F.col(key).isin(found) if found else None
