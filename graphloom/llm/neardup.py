@@ -195,12 +195,12 @@ def _bucket_members(classes: DataFrame) -> DataFrame:
     """
     keys = classes.select("node", "signature").mapInArrow(_table_keys, "key long, node long")
     seen = classes.filter(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select("node", "signature").mapInArrow(_table_keys, "key long, node long")
-    common = common_keys(seen, ["key"])
-    rare = keys if common is None else keys.join(F.broadcast(common), "key", "left_anti")
+    common = common_keys(seen, "key")
+    rare = keys if common is None else keys.filter(~common)
     members = rare.join(rare.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "key")
     if common is None:
         return members
-    often = keys.join(F.broadcast(common), "key")
+    often = keys.filter(common)
     return members.unionByName(often.join(F.broadcast(often.groupBy("key").agg(F.count("*").alias("size"))), "key"))
 
 
