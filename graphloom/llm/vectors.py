@@ -20,6 +20,9 @@ from graphloom.llm.words import constants
 #: Classes in a block, and queries that a block meets at once.
 BLOCK_ROWS = 4096
 BLOCK_QUERIES = 2048
+#: Classes of which a query learns a floor, and pairs that are scored at once.
+OPENING = 2048
+PAIRS = 1 << 16
 #: The share of classes, the longest, that every query meets where norms differ.
 HEAVY = 1 / 32
 
@@ -71,14 +74,15 @@ def _ranked(found: DataFrame, members: DataFrame, queries: DataFrame, k: int, sc
 
 
 def hadamard(a: np.ndarray) -> np.ndarray:
-    """The fast Walsh-Hadamard transform of each row, scaled to keep lengths."""
+    """The fast Walsh-Hadamard transform of each row, scaled to keep lengths; three levels of it a step."""
     n, d = a.shape
     h = 1
     while h < d:
-        a = a.reshape(n, -1, 2, h)
-        a = np.stack([a[:, :, 0] + a[:, :, 1], a[:, :, 0] - a[:, :, 1]], 2).reshape(n, d)
-        h *= 2
-    return a / np.sqrt(d)
+        r = np.arange(min(8, d // h))
+        step = 1.0 - 2 * (np.bitwise_count(r[:, None] & r) & 1)
+        a = a.reshape(-1, len(r)) @ step if h == 1 else np.matmul(step, a.reshape(-1, len(r), h))
+        h *= len(r)
+    return a.reshape(n, d) / np.sqrt(d)
 
 
 def rotated(unit: np.ndarray, table: int, seed: int) -> np.ndarray:
@@ -146,15 +150,34 @@ def _filed(tables: int, seed: int, heavy: float):
     return assign
 
 
-def _probed(tables: int, probes: int, seed: int):
-    """Rows (cell, codes, h, g, v): what a query looks at, by the first axis of its best cells of each table."""
+def _floors(scores: np.ndarray, met: np.ndarray, k: int, slack: np.ndarray) -> np.ndarray:
+    """The (k + 1)-th best score of each row among what it meets, less slack for rounding; without as many, -inf."""
+    if scores.shape[1] <= k:
+        return np.full(len(scores), -np.inf)
+    return -np.partition(-np.where(met, scores, -np.inf), k, axis=1)[:, k] - slack
+
+
+def _probed(tables: int, probes: int, seed: int, heavy: float, k: int, opening: np.ndarray):
+    """Rows (cell, codes, h, g, v, floor): what a query looks at, by the first axis of its best cells of each table.
+
+    The floor is the (k + 1)-th best score among those classes of the opening that the query's cells hold: whatever
+    of all cells scores less is not among its k + 1 best finds, so it needn't be handed on.
+    """
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        norms = np.linalg.norm(opening, axis=1)
+        light = np.flatnonzero(norms <= heavy)
+        homes = []  # of each table: the cells of the opening, and which of them each class is in
+        for table in range(tables if len(light) else 0):
+            first, second = (_axes(_padded(opening[light]), 2 * table + i, seed) for i in range(2))
+            homes.append(np.unique(first.argmax(axis=1) * first.shape[1] + second.argmax(axis=1), return_inverse=True))
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
-                unit = _padded(matrix(part["v"], np.float64))
+                vectors = matrix(part["v"], np.float64)
+                unit = _padded(vectors)
                 n, axes = len(part), 2 * unit.shape[1]
+                met = np.tile(norms > heavy, (n, 1))
                 groups = [(np.arange(n), np.full(n, tables * axes), np.ones(n, np.int64), np.zeros(n, np.int64))]
                 for table in range(tables):
                     a, b = best_cells(*(_axes(unit, 2 * table + i, seed) for i in range(2)), probes)
@@ -162,50 +185,60 @@ def _probed(tables: int, probes: int, seed: int):
                     order = np.argsort(keys, kind="stable")
                     keys, counts = np.unique(keys, return_counts=True)
                     groups.append((keys // axes, table * axes + keys % axes, counts, b.ravel()[order]))
+                    if homes:
+                        home, own = homes[table]
+                        cells = a * axes + b
+                        place = np.minimum(np.searchsorted(home, cells), len(home) - 1)
+                        asker, probe = np.nonzero(home[place] == cells)
+                        hit = np.zeros((n, len(home)), bool)
+                        hit[asker, place[asker, probe]] = True
+                        met[:, light] |= hit[:, own]
+                slack = 1e-9 * np.linalg.norm(vectors, axis=1) * norms.max(initial=0)
+                floor = pa.array(_floors(vectors @ opening.T, met, k, slack), pa.float64())
                 for who, cell, counts, codes in groups:
                     rows, lists = pa.array(who), ragged(counts, codes.astype(np.int32), pa.int32())
-                    yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), lists, *(part[c].take(rows) for c in ("h", "g", "v"))], ["cell", "codes", "h", "g", "v"])
+                    columns = [pa.array(cell.astype(np.int32)), lists, *(part[c].take(rows) for c in ("h", "g", "v")), floor.take(rows)]
+                    yield pa.RecordBatch.from_arrays(columns, ["cell", "codes", "h", "g", "v", "floor"])
 
     return assign
 
 
 def _score_cell(k: int):
-    """The k + 1 best classes of a block for each query, among those whose code it probes."""
+    """The k + 1 best classes of a block for each query, among those whose code it probes and that reach its floor."""
 
     def score(key, queries: pa.Table, data: pa.Table) -> pa.Table:
         out = {c: [] for c in ("qh", "qg", "h", "g", "first", "score")}
         if queries.num_rows and data.num_rows:
             q, x = matrix(queries["v"], np.float64), matrix(data["v"], np.float64)
             ids, h, g, code = (numbers(data[c]) for c in ("id", "h", "g", "code"))
-            order = np.lexsort((ids, code))
+            order = np.argsort(code, kind="stable")
             x, ids, h, g, code = x[order], ids[order], h[order], g[order], code[order]
             heads = np.append(np.flatnonzero(np.diff(code, prepend=-1)), len(code))
             place = np.full(int(code[-1]) + 2, -1)
             place[code[heads[:-1]]] = np.arange(len(heads) - 1)
-            qh, qg, lists = numbers(queries["h"]), numbers(queries["g"]), queries["codes"].combine_chunks()
+            qh, qg, floor, lists = numbers(queries["h"]), numbers(queries["g"]), numbers(queries["floor"]), queries["codes"].combine_chunks()
             asker = np.repeat(np.arange(len(q)), lists.value_lengths().to_numpy())
             asked = place[np.minimum(numbers(lists.flatten()), len(place) - 1)]
             asker, asked = asker[asked >= 0], asked[asked >= 0]
-            for at in range(0, len(q), 256):  # so many at once that their scores fit
-                lo, hi = np.searchsorted(asker, [at, at + 256])
-                order = np.argsort(asked[lo:hi], kind="stable")
-                who, run = asker[lo:hi][order], asked[lo:hi][order]
-                rows, cols, values = [], [], []
-                cuts = np.append(np.flatnonzero(np.diff(run, prepend=-1)), len(run))
-                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                    first, last = heads[run[a]], heads[run[a] + 1]
-                    scores = np.einsum("id,jd->ij", q[who[a:b]], x[first:last])
-                    rows.append(np.repeat(who[a:b], last - first))
-                    cols.append(np.tile(np.arange(first, last), b - a))
-                    values.append(scores.ravel())
-                if rows:
-                    rows, cols, values = np.concatenate(rows), np.concatenate(cols), np.concatenate(values)
-                    order = np.lexsort((ids[cols], -values, rows))
-                    rows, cols, values = rows[order], cols[order], values[order]
-                    keep = np.arange(len(rows)) - np.searchsorted(rows, rows) <= k
-                    rows, cols, values = rows[keep], cols[keep], values[keep]
-                    for name, part in zip(out, (qh[rows], qg[rows], h[cols], g[cols], ids[cols], values)):
-                        out[name].append(part)
+            start, many = heads[asked], heads[asked + 1] - heads[asked]
+            runs = np.searchsorted(asker, np.arange(len(q) + 1))
+            total = np.append(0, np.cumsum(many))[runs]  # pairs of all queries before each
+            at = 0
+            while at < len(q):  # so many queries at once that their pairs fit
+                end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, side="right")) - 1)
+                part = slice(runs[at], runs[end])
+                who = np.repeat(asker[part], many[part])
+                cols = np.arange(len(who)) + np.repeat(start[part] - np.cumsum(many[part]) + many[part], many[part])
+                values = np.einsum("id,id->i", q[who], x[cols])
+                reach = np.flatnonzero(~(values < floor[who]))
+                who, cols, values = who[reach], cols[reach], values[reach]
+                order = np.lexsort((ids[cols], -values, who))
+                who, cols, values = who[order], cols[order], values[order]
+                keep = np.arange(len(who)) - np.searchsorted(who, who) <= k
+                who, cols, values = who[keep], cols[keep], values[keep]
+                for name, column in zip(out, (qh[who], qg[who], h[cols], g[cols], ids[cols], values)):
+                    out[name].append(column)
+                at = end
         kinds = [pa.int64()] * 5 + [pa.float64()]
         return pa.table({c: pa.array(np.concatenate(v) if v else [], t) for (c, v), t in zip(out.items(), kinds)})
 
@@ -230,7 +263,9 @@ def cross_polytope_search(
     Tables, probes and cells don't depend on the number of rows. Where vectors differ in norm, the
     longest of them, a share of HEAVY, are scored against every query; the others are filed by direction. A
     query that finds fewer than k rows, of more in the table, meets all. What shares a first axis is
-    scored together, in blocks of BLOCK_ROWS classes by BLOCK_QUERIES queries.
+    scored together, in blocks of BLOCK_ROWS classes by BLOCK_QUERIES queries. The OPENING classes with the
+    smallest hashes are sent out; those that a query's own cells hold give it a floor, below which nothing
+    is handed on. That changes no result, and adds no candidate.
 
     query: a condition on df's rows. Out: query_id, rank from 1, vec_id, score. Ties go to the
     smaller id. Rows with a null id, or a vector that is null, empty, zero, of another length than
@@ -251,10 +286,11 @@ def cross_polytope_search(
     heavy = float(cut) if n and high - low > 1e-4 * high else float("inf")
     kind = dict(rows.dtypes)["v"]
     wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v"))
+    opening = np.array([r["v"] for r in data.orderBy("h", "g").limit(OPENING).select("v").collect()], np.float64).reshape(-1, max(d, 1))
 
     def found_by(wanted: DataFrame, tables: int, probes: int) -> DataFrame:
         filed = data.select("h", "g", "id", "v").mapInArrow(_filed(tables, seed, heavy), f"cell int, code int, h long, g long, id long, v {kind}")
-        wanted = saved(wanted.select("h", "g", "v").mapInArrow(_probed(tables, probes, seed), f"cell int, codes array<int>, h long, g long, v {kind}"))
+        wanted = saved(wanted.select("h", "g", "v").mapInArrow(_probed(tables, probes, seed, heavy, k, opening), f"cell int, codes array<int>, h long, g long, v {kind}, floor double"))
         # tables * axes + 1 rows at most, whatever the size of df
         sizes = filed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
         askers = wanted.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("sides"))

@@ -365,3 +365,22 @@ def test_pipeline(spark, tmp_path):
     assert text[5] == rows[5][1] and text[104].startswith("and so to another text: which then")
     out = P.run(spark, str(tmp_path))
     assert {r["doc_id"] for r in out.select("doc_id").collect()} == {*range(12), 104}
+
+
+def test_a_floor_changes_no_result(spark, monkeypatch):
+    from graphloom.llm import vectors as V
+
+    rng = np.random.default_rng(8)
+    rows = vectors(spark, [(i, [float(y) for y in rng.normal(size=32) * (3 if i % 50 == 0 else 1)]) for i in range(600)])
+    ask = lambda: sorted(map(tuple, V.cross_polytope_search(rows, F.col("vec_id") % 30 == 0, 5, tables=4, probes=40).collect()))
+    with_floor = ask()
+    monkeypatch.setattr(V, "_floors", lambda scores, met, k, slack: np.full(len(scores), -np.inf))
+    assert ask() == with_floor and len(with_floor) == 20 * 5
+
+
+def test_floors_are_the_next_best_of_what_is_met():
+    from graphloom.llm.vectors import _floors
+
+    scores, met = np.array([[5.0, 4, 3, 2], [5, 4, 3, 2]]), np.array([[True, False, True, True], [True, False, False, False]])
+    assert _floors(scores, met, 1, np.zeros(2)).tolist() == [3, -np.inf]
+    assert _floors(scores[:, :1], met[:, :1], 1, np.zeros(2)).tolist() == [-np.inf] * 2
