@@ -66,6 +66,31 @@ def settled(df: DataFrame) -> DataFrame:
     return table
 
 
+def settled_buckets(df: DataFrame, key: str, rows: int, buckets: int | None = None) -> tuple[DataFrame, int]:
+    """df like settled, but dealt into buckets by a unique key, about `rows` to a bucket, and how many there are.
+
+    Tables of as many buckets join on the key without a shuffle. With `buckets` given, df is written as its
+    tasks hold it, so each should hold few buckets, as after such a join. A table stands in the session's catalog
+    and in the shared folder.
+    """
+    spark = df.sparkSession
+    if buckets is None:
+        df = settled(df)
+        buckets = max(1, -(-df.count() // rows))
+        dealt, plain = df.repartition(buckets, key), df
+    else:
+        dealt, plain = df, None
+    name = f"graphloom_{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}"
+    dealt.write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
+    _paths(spark).append(path)
+    if plain is not None:
+        superseded(plain)
+    table = spark.table(name)
+    table._graphloom_path, table._graphloom_table = path, name
+    return table, buckets
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
@@ -75,6 +100,8 @@ def superseded(table: DataFrame) -> None:
     """Removes a table that settled returned and that no later result reads; other tables stay."""
     spark, path = table.sparkSession, getattr(table, "_graphloom_path", None)
     if path in _paths(spark):
+        if hasattr(table, "_graphloom_table"):
+            spark.sql(f"DROP TABLE IF EXISTS {table._graphloom_table}")
         _delete(spark, path)
         _paths(spark).remove(path)
 
@@ -83,6 +110,8 @@ def drop_settled(spark: SparkSession) -> int:
     """Removes the tables that settled wrote in this application, once no result needs them; how many there were."""
     paths = _paths(spark)
     for path in paths:
+        if (name := path.rsplit("/", 1)[-1]).startswith("graphloom_"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
         _delete(spark, path)
     spark.sparkContext._graphloom_settled = []
     return len(paths)
