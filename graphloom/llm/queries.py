@@ -99,6 +99,25 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages"), URL_RULES, listed_urls(spark))
 
 
+def op11_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_adaptive_bounds_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.centroids import cluster_vectors
+
+    return cluster_vectors(table(spark, sf_dir, "embeddings"), 8, 10, 64, "3:", 1024.0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from graphloom.llm.negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 5, 10, 30, 90, 256.0, label=label)
+
+
 SQL_OP3 = r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
@@ -183,6 +202,55 @@ LEFT JOIN hits ON hits.host = u.host AND hits.path = u.path
 """
 
 
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    """Each round as a pair of common table expressions: a{t} assigns all vectors, c{t} has the centroids before it."""
+    parts = ["""v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS n, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY sha256('3:' || vec_id), vec_id, v) - 1 AS INTEGER) AS c, v AS z FROM v
+  WHERE vec_id IS NOT NULL QUALIFY c < {k})"""]
+    for t in range(rounds + 1):
+        parts.append(f"""a{t} AS MATERIALIZED (
+  SELECT n, min(struct_pack(d := d, c := c)) AS s FROM (
+    SELECT n, c, CAST(list_sum(list_transform(list_zip(v, z), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d FROM v, c{t}) p GROUP BY n)""")
+        if t < rounds:
+            parts.append(f"""c{t + 1} AS MATERIALIZED (
+  SELECT c{t}.c, coalesce(m.z, c{t}.z) AS z FROM c{t} LEFT JOIN (
+    SELECT c, list(CAST((x - ((x % m) + m) % m) // m AS BIGINT) ORDER BY i) AS z FROM (
+      SELECT s.c AS c, i, sum(v[i]) AS x, count(*) AS m FROM a{t} JOIN v USING (n), generate_series(1, 64) g(i) GROUP BY ALL) u GROUP BY c) m ON m.c = c{t}.c)""")
+    return f"""WITH {", ".join(parts)},
+f AS (SELECT vec_id, s.c AS cluster, s.d AS distance FROM a{rounds} JOIN v USING (n))
+SELECT vec_id, cluster, distance, CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia, sha256(array_to_string(z, ',')) AS centroid_sha256
+FROM f JOIN c{rounds} ON c = cluster"""
+
+
+SQL_OP12 = _clustering_sql()
+
+SQL_OP13 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (
+  SELECT q.vec_id AS anchor_id, q.label AS own, c.vec_id AS vec_id, c.label AS label,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE label <> own AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_cross_polytope_ann": op1_cross_polytope_ann,
@@ -195,8 +263,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_gbt_html_extraction": op8_gbt_html_extraction,
         "op9_piece_merge_dropout": op9_piece_merge_dropout,
         "op10_url_filter": op10_url_filter,
+        "op11_cnn_toxicity": op11_cnn_toxicity,
+        "op12_adaptive_bounds_clustering": op12_adaptive_bounds_clustering,
+        "op13_hard_negatives": op13_hard_negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_minhash_near_dedup": SQL_OP3, "op6_substring_dedup": SQL_OP6, "op7_pivot_topk": SQL_OP7, "op10_url_filter": SQL_OP10}
+    return {"op3_minhash_near_dedup": SQL_OP3, "op6_substring_dedup": SQL_OP6, "op7_pivot_topk": SQL_OP7, "op10_url_filter": SQL_OP10, "op12_adaptive_bounds_clustering": SQL_OP12, "op13_hard_negatives": SQL_OP13}
