@@ -271,16 +271,16 @@ def _labelled(docs: DataFrame, k: int, percent: int, exact: bool) -> DataFrame:
 def one_of_each_group(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """The rows of docs, with all their columns, that near_duplicates keeps; of rows with one doc_id and one text, a single one.
 
-    Rows with a null doc_id, and texts without words, stay. An empty table gives no rows.
+    Rows with a null doc_id, and texts without words, stay. Columns may have any names. An empty table gives no rows.
     """
     found = saved(_labelled(docs, k, percent, False))
-    keys = [F.col("doc_id").cast("long").alias("_id"), F.xxhash64(F.col("text").cast("string")).alias("_x")]
-    gone = found.filter("not kept").select(*keys[:1], F.col("x").alias("_x")).distinct()
-    inner = docs.select("*", *keys)
-    left = inner.join(gone, ["_id", "_x"], "left_anti")
-    again = found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_id"), F.col("x").alias("_x")).count().filter("count > 1").drop("count")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    inner = docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("x"), row)
+    gone = found.filter("not kept").select(F.col("doc_id").alias("id"), "x").distinct()
+    left = inner.join(gone, ["id", "x"], "left_anti")
+    again = found.filter("kept and doc_id is not null").groupBy(F.col("doc_id").alias("id"), "x").count().filter("count > 1").drop("count")
     if not again.isEmpty():
         again = saved(again)
-        once = left.join(again, ["_id", "_x"], "left_semi").dropDuplicates(["_id", "_x"])
-        left = left.join(again, ["_id", "_x"], "left_anti").unionByName(once)
-    return left.select(*docs.columns)
+        once = left.join(again, ["id", "x"], "left_semi").dropDuplicates(["id", "x"])
+        left = left.join(again, ["id", "x"], "left_anti").unionByName(once)
+    return left.select("row.*")
