@@ -9,8 +9,8 @@ trained here, on pages that `training_pages` invents from common layouts with kn
 from __future__ import annotations
 
 import re
-from collections import Counter
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable, Iterator
 from html import unescape
 from typing import NamedTuple
 
@@ -42,6 +42,7 @@ ENDS_BEFORE = {
     "th": ({"td", "th"}, {"tr", "table"}),
 }
 _NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*)")
+_SHUT = re.compile(r"</([^\s/>]+)\s*>")
 _STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(?:class|id|role|itemprop|aria-label)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.I)
@@ -139,10 +140,10 @@ class Scanner:
             at = token.end
 
 
-def _after_raw(scan: Scanner, at: int, tag: str, above: set[str], unclosed: set[str]) -> int:
+def _after_raw(scan: Scanner, at: int, tag: str, above: Callable[[str], bool], unclosed: set[str]) -> int:
     """Where an element of RAW that begins at `at` ends: at its own end tag, or else where an element above it ends.
 
-    unclosed: tags of PLAIN that are known to have no end tag from here on.
+    above: whether a tag is open there; unclosed: tags of PLAIN that are known to have no end tag from here on.
     """
     html = scan.html
     if tag in PLAIN:
@@ -150,8 +151,7 @@ def _after_raw(scan: Scanner, at: int, tag: str, above: set[str], unclosed: set[
         if shut:
             return shut.end()
         unclosed.add(tag)
-        over = re.compile(rf"</(?:{'|'.join(map(re.escape, above))})\s*>", re.I).search(html, at) if above else None
-        return over.start() if over else len(html)
+        return next((over.start() for over in _SHUT.finditer(html, at) if above(over[1].lower())), len(html))
     inside: list[str] = []
     held: Counter[str] = Counter()
     for m in scan.tokens(at):
@@ -167,7 +167,7 @@ def _after_raw(scan: Scanner, at: int, tag: str, above: set[str], unclosed: set[
                         break
             elif name == tag:
                 return m.end
-            elif name in above:
+            elif above(name):
                 return m.start
         elif tag == "option" and name in ("option", "optgroup") or tag in UNBLOCKED and name in BLOCKS and not held["foreignobject"]:
             return m.start
@@ -182,12 +182,20 @@ def parse(html: str) -> Page:
     scan = Scanner(html)
     nodes, pieces = [Node("#root", -1, 0, "")], []
     stack, block, at, end = [0], 0, 0, len(html)
-    is_open: Counter[str] = Counter()  # tags on the stack
+    places: defaultdict[str, list[int]] = defaultdict(list)  # where a tag stands on the stack, and where blocks do
+    blocks: list[int] = []
     unclosed: set[str] = set()
 
+    def top(tags: Iterable[str]) -> int:
+        """The uppermost place of any of the tags; 0 without one."""
+        return max((places[t][-1] for t in tags if t in places and places[t]), default=0)
+
     def close(i: int) -> None:
-        is_open.subtract(nodes[n].tag for n in stack[i:])
+        for n in stack[i:]:
+            places[nodes[n].tag].pop()
         del stack[i:]
+        while blocks and blocks[-1] >= i:
+            blocks.pop()
 
     while at < end:
         m = scan.next(at)
@@ -202,26 +210,16 @@ def parse(html: str) -> Page:
         if m.shut:
             if tag in BLOCKS:
                 block += 1
-            if is_open[tag]:
-                for i in range(len(stack) - 1, 0, -1):
-                    name = nodes[stack[i]].tag
-                    if name == tag:
-                        close(i)
-                        break
-                    if name in BLOCKS and tag not in BLOCKS:
-                        break
+            i = top((tag,))  # other than a block's, an end tag doesn't reach beyond the last block
+            if i and (tag in BLOCKS or not blocks or blocks[-1] < i):
+                close(i)
             continue
         if tag in BLOCKS:
             block += 1
             closes, stops = ENDS_BEFORE.get(tag, ({"p"}, {"button", "td", "th", "table", "article", "section", "div", "body", "li"}))
-            if any(is_open[name] for name in closes):
-                for i in range(len(stack) - 1, 0, -1):
-                    name = nodes[stack[i]].tag
-                    if name in closes:
-                        close(i)
-                        break
-                    if name in stops:
-                        break
+            i = top(closes)
+            if i and i >= top(stops):
+                close(i)
         if tag in VOID:
             if tag == "br":
                 pieces.append((stack[-1], block, " "))
@@ -232,12 +230,14 @@ def parse(html: str) -> Page:
                 near = re.compile(rf"<(/?){tag}(?=[\s/>])", re.I).search(html, at)
                 closed = not near or not near[1]
             if not closed:
-                at = _after_raw(scan, at, tag, {name for name, n in is_open.items() if n}, unclosed)
+                at = _after_raw(scan, at, tag, lambda name: bool(top((name,))), unclosed)
             continue
         nodes.append(Node(tag, stack[-1], len(stack), m.attributes))
         if not closed:
+            places[tag].append(len(stack))
+            if tag in BLOCKS:
+                blocks.append(len(stack))
             stack.append(len(nodes) - 1)
-            is_open[tag] += 1
     return Page(nodes, pieces)
 
 

@@ -317,6 +317,21 @@ def test_parsing_takes_time_in_proportion(unit):
     assert seconds[1] < 20 * max(seconds[0], 0.05), (unit, seconds)
 
 
+@pytest.mark.parametrize("shape", ["<i><div>{0}</i>", "{0}<svg></svg>", "<button>{0}<p>", "<x0>{1}<script></b>"])
+def test_deep_pages_take_time_in_proportion(shape):
+    """A megabyte of tags that stay open, below which many end tags, raw elements or blocks find what they close."""
+    import time
+
+    from graphloom.llm.html import parse
+
+    head, tail = shape.replace("{0}", "{1}").split("{1}")
+    n = 1_000_000 // (7 + len(tail))
+    opened = "".join(f"<x{i}>" for i in range(n)) if "svg" in tail or "script" in tail else "<b>" * n
+    began = time.process_time()
+    parse(head + opened + tail * n)
+    assert time.process_time() - began < 10
+
+
 def test_unclosed_tags_and_quotes_keep_the_text():
     from graphloom.llm.html import parse
 
