@@ -33,6 +33,8 @@ WORD_BYTES = 48
 #: What isn't ASCII and neither a letter nor a mark on one stands between words as a space does.
 _BETWEEN = r"[^\p{L}\p{M}\x00-\x7F]+"
 SEGMENT = 64
+#: Words of the sample that a step of the fitting takes at once.
+FIT_WORDS = 1 << 16
 #: Bytes of text that are predicted at once.
 CHUNK = 1 << 20
 
@@ -187,26 +189,33 @@ def fit(texts: list[str], labels: list[str], rounds: int = 40, sequence: int = 2
     inner = np.ones(n, bool)
     inner[first[:-1]] = False
     inner = np.flatnonzero(inner)
-    truth = np.zeros((n, k))
-    truth[np.arange(n), label] = 1
     seen_pairs = np.zeros((k, k))
     np.add.at(seen_pairs, (label[inner - 1], label[inner]), 1)
     weights, trans = np.zeros((1 << BITS, k)), np.zeros((k, k))
     moments = [np.zeros_like(weights), np.zeros_like(weights), np.zeros_like(trans), np.zeros_like(trans)]
     scale = 1 / np.sqrt(count)
-    feature_word = np.repeat(np.arange(len(count)), count)
+    heads = np.cumsum(count) - count
+    cuts = np.append(np.arange(0, len(first) - 1, max(1, FIT_WORDS // sequence)), len(first) - 1)
+    batches = [(int(first[a]), int(first[b]), first[a : b + 1] - first[a]) for a, b in zip(cuts[:-1], cuts[1:])]
     for t in range(1, rounds + 1):
-        log_scores = emissions(weights, bag, count)[words]
-        p = marginals(log_scores, first, trans)
-        error = truth - p
-        by_word = np.stack([np.bincount(words, error[:, j], len(count)) for j in range(k)], 1) * scale[:, None]
-        slope = np.stack([np.bincount(bag, by_word[feature_word, j], 1 << BITS) for j in range(k)], 1) / n - 1e-6 * weights
-        # expected pairs from the marginals on both sides of each step
-        step = np.exp(trans)
-        right = p[inner] / np.maximum(p[inner - 1] @ step, 1e-12)
-        pairs = p[inner - 1][:, :, None] * step[None] * right[:, None, :]
-        pairs /= pairs.sum(axis=(1, 2), keepdims=True)
-        slopes = [slope, (seen_pairs - pairs.sum(0)) / n - 1e-4 * trans]
+        slopes = [-1e-6 * weights, seen_pairs / n - 1e-4 * trans]
+        for lo, hi, ends in batches:  # whole sequences, of which the driver holds few at a time
+            own, local = np.unique(words[lo:hi], return_inverse=True)
+            runs = np.repeat(heads[own] - np.cumsum(count[own]) + count[own], count[own]) + np.arange(count[own].sum())
+            p = marginals(emissions(weights, bag[runs], count[own])[local], ends, trans)
+            # expected pairs from the marginals on both sides of each step, summed up without a table for each word
+            after = np.ones(hi - lo, bool)
+            after[ends[:-1]] = False
+            after = np.flatnonzero(after)
+            step = np.exp(trans)
+            right = p[after] / np.maximum(p[after - 1] @ step, 1e-12)
+            total = np.einsum("ij,ij->i", p[after - 1] @ step, right)
+            slopes[1] -= step * ((p[after - 1] / total[:, None]).T @ right) / n
+            p[np.arange(hi - lo), label[lo:hi]] -= 1
+            by_word = np.stack([np.bincount(local, p[:, j], len(own)) for j in range(k)], 1) * scale[own, None]
+            owner = np.repeat(np.arange(len(own)), count[own])
+            for j in range(k):
+                slopes[0][:, j] -= np.bincount(bag[runs], by_word[owner, j], 1 << BITS) / n
         for i, (x, g) in enumerate(zip((weights, trans), slopes)):
             m, v = moments[2 * i], moments[2 * i + 1]
             m += 0.1 * (g - m)

@@ -6,9 +6,11 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 from helpers_llm import BASE, LONG, TEXTS, brute_components, brute_repeats, documents, shingles
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def mutated(rng, text, rate):
@@ -63,6 +65,20 @@ def test_near_duplicates_of_nothing(spark):
     assert {r["doc_id"] for r in left.collect()} == keep | {None}
 
 
+def test_one_of_each_group_keeps_columns_of_any_name(spark):
+    from graphloom.llm.neardup import one_of_each_group
+
+    rows = [(i, t, n, f"{i}", n, n, n, n) for n, (i, t) in enumerate(TEXTS)]
+    names = ["doc_id", "text", "_id", "_x", "a.b", "row", "id", "x"]
+    docs = spark.createDataFrame(rows, T.StructType([T.StructField(n, T.StringType() if n in ("text", "_x") else T.LongType()) for n in names]))
+    left = one_of_each_group(docs)
+    assert left.columns == names
+    got = sorted(r["a.b"] for r in left.collect())
+    plain = one_of_each_group(docs.select("doc_id", "text", F.col("`a.b`").alias("n")))
+    assert len(got) == plain.count() < len(rows)
+    assert one_of_each_group(docs.limit(0)).count() == 0
+
+
 def test_repair_finds_links_that_no_leader_has(spark):
     """Every link of alike documents is found from the shingle rows alone, whatever their components."""
     from graphloom.llm.neardup import _repair_pairs
@@ -599,6 +615,28 @@ def test_the_gradient_is_that_of_the_likelihood():
             assert abs(slope - ((truth[i] == j) - p[i, j])) < 1e-6
 
 
+def test_fitting_takes_the_sample_in_parts(monkeypatch):
+    """In parts of any size the weights are the same, and the memory doesn't grow with words times languages squared."""
+    import tracemalloc
+
+    from graphloom.llm import langid as L
+
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"{chr(97 + lang)}{chr(97 + int(x))}q" for x in rng.integers(0, 26, 60)) for lang in range(6) for _ in range(20)]
+    labels = [f"l{i // 20}" for i in range(120)]
+    whole = L.fit(texts, labels, rounds=5)
+    monkeypatch.setattr(L, "FIT_WORDS", 500)
+    parts = L.fit(texts, labels, rounds=5)
+    assert np.allclose(whole.weights, parts.weights, atol=1e-4) and np.allclose(whole.transitions, parts.transitions, atol=1e-6)
+    monkeypatch.setattr(L, "FIT_WORDS", 20_000)
+    many = [" ".join(f"{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + int(x))}" for x in rng.integers(0, 26, 400)) for i in range(100) for _ in range(8)]
+    tracemalloc.start()
+    L.fit(many, [f"l{i // 8}" for i in range(800)], rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 30
+
+
 def test_helpers_agree():
     assert len(shingles("A b C d e f")) == 2 and hashlib.sha256(b"").hexdigest() == brute_repeats([(1, None)])[1][2]
 
