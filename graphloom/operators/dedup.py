@@ -8,10 +8,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from graphloom.operators.frames import settled, superseded
-
 from graphloom.functions import similarity as S
 from graphloom.operators import graph
+from graphloom.operators.frames import settled, superseded
+from graphloom.operators.linkage import linkage_clusters
 
 
 def block_key(name: Column) -> Column:
@@ -168,35 +168,6 @@ def leader_clusters(df: DataFrame, block: str, text: str, order: str, threshold:
     return df.select(F.col(block).alias("b"), F.col(text).alias("t"), F.col(order).cast("long").alias("o")).groupBy("b").applyInPandas(run, "id long, leader long")
 
 
-def agglomerative(df: DataFrame, block: str, text: str, order: str, threshold: float, most: int = 400) -> DataFrame:
-    """Average-linkage clustering by word Jaccard within each block, until the best pair is below threshold: (id, cluster).
-
-    Cubic in a block; a block of over `most` rows is an error, as it must be blocked more finely.
-    """
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if len(pdf) > most:
-            raise ValueError(f"a block has {len(pdf)} rows; agglomerative clustering takes {most}")
-        pdf = pdf.sort_values("o")
-        sets = [set((t or "").lower().split()) for t in pdf["t"]]
-        sim = [[len(a & b) / len(a | b) if a | b else 0.0 for b in sets] for a in sets]
-        groups = [[i] for i in range(len(sets))]
-        while len(groups) > 1:
-            best, pair = threshold, None
-            for i in range(len(groups)):
-                for j in range(i + 1, len(groups)):
-                    s = sum(sim[a][b] for a in groups[i] for b in groups[j]) / (len(groups[i]) * len(groups[j]))
-                    if s >= best:
-                        best, pair = s, (i, j)
-            if pair is None:
-                break
-            groups[pair[0]] += groups.pop(pair[1])
-        ids = pdf["o"].tolist()
-        return pd.DataFrame([(ids[i], min(ids[k] for k in g)) for g in groups for i in g], columns=["id", "cluster"])
-
-    return df.select(F.col(block).alias("b"), F.col(text).alias("t"), F.col(order).cast("long").alias("o")).groupBy("b").applyInPandas(run, "id long, cluster long")
-
-
 def word_overlap_pairs(df: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     """(a, b, similarity) of rows whose word sets have a Jaccard of threshold or more, through an inverted index.
 
@@ -213,3 +184,17 @@ def word_overlap_pairs(df: DataFrame, key: str, text: str, threshold: float) ->
     texts = df.select(F.col(key).alias("k"), S.word_set(F.lower(F.col(text))).alias("s"))
     both = pairs.join(texts.select(F.col("k").alias("a"), F.col("s").alias("p")), "a").join(texts.select(F.col("k").alias("b"), F.col("s").alias("q")), "b")
     return both.withColumn("similarity", S._jaccard(F.col("p"), F.col("q"))).filter(F.col("similarity") >= threshold).select("a", "b", "similarity")
+
+
+def agglomerative(df: DataFrame, block: str | None, text: str, order: str, threshold: float, floor: float | None = None) -> DataFrame:
+    """(id, cluster) by average-linkage clustering by word Jaccard, within each block if there are any, until the best pair is below threshold.
+
+    Texts less alike than `floor` (half the threshold by default) count as 0 alike, so that only pairs above it are looked for.
+    """
+    rows = df.select(F.col(order).cast("long").alias("id"), F.col(text).alias("t"), *([F.col(block).alias("b")] if block else []))
+    pairs = word_overlap_pairs(rows, "id", "t", threshold / 2 if floor is None else floor)
+    if block:
+        for end in ("a", "b"):
+            pairs = pairs.join(rows.select(F.col("id").alias(end), F.col("b").alias(f"block_{end}")), end)
+        pairs = pairs.filter("block_a = block_b")
+    return linkage_clusters(pairs.select("a", "b", "similarity"), rows, threshold)

@@ -6,7 +6,7 @@ from collections import defaultdict
 from collections.abc import Callable
 
 from graphloom.functions import similarity
-from graphloom.operators import chunking, conflicts, dedup, graph
+from graphloom.operators import chunking, communities, conflicts, dedup, graph, linkage, measures
 
 _METHODS: dict[str, dict[str, Callable]] = defaultdict(dict)
 
@@ -14,9 +14,9 @@ BUILT_IN: dict[str, dict[str, Callable]] = {
     "split": chunking.METHODS,
     "conflicts": conflicts.RESOLVERS,
     "similarity": {"jaro_winkler": similarity.jaro_winkler, "levenshtein": similarity.levenshtein, "cosine": similarity.bigram_jaccard, "jaccard": similarity.word_jaccard},
-    "deduplication": {"pairs": dedup.candidate_pairs, "incremental": dedup.incremental_pairs, "leader": dedup.leader_clusters, "agglomerative": dedup.agglomerative},
-    "centrality": {"degree": graph.degree_centrality, "closeness": graph.closeness, "eigenvector": graph.eigenvector, "betweenness": graph.betweenness},
-    "community": {"label_propagation": graph.label_propagation, "greedy_modularity": graph.greedy_modularity, "k_clique": graph.clique_communities},
+    "deduplication": {"pairs": dedup.candidate_pairs, "incremental": dedup.incremental_pairs, "leader": dedup.leader_clusters, "agglomerative": dedup.agglomerative, "linkage": linkage.linkage_clusters},
+    "centrality": {"degree": graph.degree_centrality, "closeness": graph.closeness, "eigenvector": graph.eigenvector, "betweenness": measures.betweenness},
+    "community": {"louvain": communities.louvain, "label_propagation": graph.label_propagation, "greedy_modularity": graph.greedy_modularity, "k_clique": graph.clique_communities},
 }
 
 

@@ -241,9 +241,9 @@ def conflict_trends(spark, d):
     return C.trends(table(spark, d, "orders"), "o_orderdate")
 
 
-@query(f"""WITH {_OBS}, s AS (SELECT DISTINCT entity_id, property, value, source FROM obs) SELECT a.entity_id, a.property, CAST(count(*) / 2 AS BIGINT) AS n_pairs FROM s a JOIN s b ON a.entity_id = b.entity_id AND a.property = b.property AND a.value <> b.value WHERE a.property <> 'start_date' GROUP BY ALL""")
+@query(f"""WITH {_OBS}, s AS (SELECT DISTINCT entity_id, property, value, source FROM obs) SELECT a.entity_id, a.property, CAST(count(*) / 2 AS BIGINT) AS n_pairs FROM s a JOIN s b ON a.entity_id = b.entity_id AND a.property = b.property AND a.value <> b.value GROUP BY ALL""")
 def source_disagreements(spark, d):
-    return C.source_disagreements(_obs(spark, d).filter("property <> 'start_date'"))
+    return C.source_disagreements(_obs(spark, d))
 
 
 @query(f"""WITH {_OBS} SELECT entity_id, property, count(DISTINCT source) AS n_sources, min(ts) AS first_seen, max(ts) AS last_updated, arg_max(value, (ts, ord)) AS latest FROM obs GROUP BY ALL""")
@@ -346,8 +346,8 @@ def leader_clusters(spark, d):
 
 @query()
 def agglomerative(spark, d):
-    n = _part_names(spark, d).groupBy("name").agg(F.min("ord").alias("ord")).withColumn("f", F.substring("name", 1, 1))
-    return DD.agglomerative(n, "f", "name", "ord", 0.3)
+    n = _part_names(spark, d).groupBy("name").agg(F.min("ord").alias("ord"))
+    return DD.agglomerative(n, None, "name", "ord", 0.3, 0.2)
 
 
 @query("""WITH n AS (SELECT min(p_partkey) AS k, list_distinct(string_split(lower(p_name), ' ')) AS s FROM part GROUP BY p_name), j AS (SELECT a.k AS a, b.k AS b, len(list_intersect(a.s, b.s)) / len(list_distinct(list_concat(a.s, b.s))) AS x FROM n a JOIN n b ON a.k < b.k) SELECT a, b, round(x, 6) AS similarity FROM j WHERE x >= 0.3""")

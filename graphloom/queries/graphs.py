@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from graphloom.operators import communities as LC
 from graphloom.operators import graph as G
+from graphloom.operators import measures as M
 from graphloom.operators import rules as R
 from graphloom.operators import temporal as TT
 from graphloom.operators import triples as TR
 from graphloom.queries.registry import query, table
 
-#: Nations that trade: a customer's nation and a supplier's, over large line items.
-_EDGES = """e AS (SELECT DISTINCT least(c_nationkey, s_nationkey) AS src, greatest(c_nationkey, s_nationkey) AS dst FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_quantity >= 50 AND l_discount >= 0.1 AND c_nationkey <> s_nationkey), b AS (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e)"""
+#: Nations that trade more than two nations do on average, a customer's with a supplier's, over all line items.
+_EDGES = """e AS (SELECT src, dst FROM (SELECT least(c_nationkey, s_nationkey) AS src, greatest(c_nationkey, s_nationkey) AS dst, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey WHERE c_nationkey <> s_nationkey GROUP BY ALL) t QUALIFY n > avg(n) OVER ()), b AS (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e)"""
 
 
 def _edges(spark, d):
-    li = table(spark, d, "lineitem").filter("l_quantity >= 50 and l_discount >= 0.1")
-    e = li.join(table(spark, d, "orders"), F.expr("l_orderkey = o_orderkey")).join(table(spark, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(spark, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
-    return e.select(F.col("c_nationkey").alias("src"), F.col("s_nationkey").alias("dst"))
+    li = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.expr("l_orderkey = o_orderkey"))
+    li = li.join(table(spark, d, "customer"), F.expr("o_custkey = c_custkey")).join(table(spark, d, "supplier"), F.expr("l_suppkey = s_suppkey"))
+    e = li.select(F.least("c_nationkey", "s_nationkey").alias("src"), F.greatest("c_nationkey", "s_nationkey").alias("dst"))
+    e = e.filter("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))  # a row for two nations
+    return e.crossJoin(F.broadcast(e.agg(F.avg("n").alias("mean")))).filter("n > mean").select("src", "dst")
+
+
+def _repeat_business(spark, d):
+    """Customers and suppliers who have met in more than one line item."""
+    li = table(spark, d, "lineitem").join(table(spark, d, "orders"), F.expr("l_orderkey = o_orderkey"))
+    met = li.groupBy("o_custkey", "l_suppkey").agg(F.count("*").alias("n")).filter("n > 1")
+    return met.select(F.concat(F.lit("c"), "o_custkey").alias("src"), F.concat(F.lit("s"), "l_suppkey").alias("dst"))
 
 
 @query(f"""WITH {_EDGES}, d AS (SELECT src AS node, count(*) AS degree FROM b GROUP BY src) SELECT node, degree, round(degree / greatest((SELECT count(*) FROM d) - 1, 1), 6) AS centrality FROM d""")
@@ -30,13 +41,12 @@ def graph_metrics(spark, d):
     return G.graph_metrics(_edges(spark, d)).withColumns({c: F.round(c, 6) for c in ("mean_degree", "density")})
 
 
-#: Suppliers and parts that share a large line item: many components.
-_SPARSE = """e AS (SELECT DISTINCT 'p' || l_partkey AS src, 's' || l_suppkey || '-' || (l_orderkey % 97) AS dst FROM lineitem WHERE l_quantity >= 49), b AS (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e)"""
+#: Customers and their orders: many components.
+_SPARSE = """e AS (SELECT DISTINCT 'o' || o_orderkey AS src, 'c' || o_custkey AS dst FROM orders), b AS (SELECT src, dst FROM e UNION ALL SELECT dst, src FROM e)"""
 
 
 def _sparse(spark, d):
-    li = table(spark, d, "lineitem").filter("l_quantity >= 49")
-    return li.select(F.concat(F.lit("p"), "l_partkey").alias("src"), F.concat(F.lit("s"), F.col("l_suppkey"), F.lit("-"), F.col("l_orderkey") % 97).alias("dst"))
+    return table(spark, d, "orders").select(F.concat(F.lit("o"), "o_orderkey").alias("src"), F.concat(F.lit("c"), "o_custkey").alias("dst"))
 
 
 @query(f"""WITH RECURSIVE {_SPARSE}, r(node, c) AS (SELECT src, src FROM b UNION SELECT b.dst, r.c FROM r JOIN b ON r.node = b.src) SELECT node, min(c) AS component FROM r GROUP BY node""")
@@ -68,14 +78,30 @@ def shortest_path(spark, d):
     return p.select(F.array_join(F.col("path").cast("array<string>"), "-").alias("path"), "distance")
 
 
-@query()
+#: Power iteration from equal weights, a pair of tables for each round.
+_POWER = "x0 AS (SELECT DISTINCT src AS node, CAST(1 AS DOUBLE) AS x FROM b)" + "".join(
+    f", y{t} AS MATERIALIZED (SELECT x.node, x.x + coalesce(s.s, 0) AS y FROM x{t} x LEFT JOIN (SELECT src, sum(z.x) AS s FROM b JOIN x{t} z ON dst = z.node GROUP BY src) s ON s.src = x.node)"
+    f", x{t + 1} AS MATERIALIZED (SELECT node, y / sqrt(sum(y * y) OVER ()) AS x FROM y{t})"
+    for t in range(10)
+)
+
+
+@query(f"""WITH {_EDGES}, {_POWER} SELECT node, round(x, 6) AS centrality FROM x10""")
 def eigenvector(spark, d):
     return G.eigenvector(_edges(spark, d), 10).withColumn("centrality", F.round("centrality", 6))
 
 
-@query()
+#: How many walks of each length lead from s to v; the shortest ones are paths.
+_WALKS = "w0 AS (SELECT DISTINCT src AS s, src AS v, CAST(1 AS DOUBLE) AS p, 0 AS h FROM b)" + "".join(
+    f", w{h} AS MATERIALIZED (SELECT w.s, b.dst AS v, sum(w.p) AS p, {h} AS h FROM w{h - 1} w JOIN b ON b.src = w.v GROUP BY ALL)" for h in range(1, 7)
+)
+_SHORTEST = f"{_WALKS}, sp AS MATERIALIZED (SELECT s, v, min(h) AS d, arg_min(p, h) AS g FROM ({' UNION ALL '.join(f'SELECT * FROM w{h}' for h in range(7))}) w GROUP BY s, v)"
+
+
+@query(f"""WITH {_EDGES}, {_SHORTEST}, n AS (SELECT count(*) AS n FROM w0), t AS (SELECT x.v AS node, sum(x.g * y.g / z.g) AS t FROM sp x JOIN sp y ON x.v = y.s JOIN sp z ON z.s = x.s AND z.v = y.v AND z.d = x.d + y.d WHERE x.s < y.v AND x.v <> x.s AND x.v <> y.v GROUP BY ALL)
+SELECT w0.s AS node, round(coalesce(t, 0) / ((n - 1) * (n - 2) / 2), 6) AS betweenness FROM w0 LEFT JOIN t ON t.node = w0.s, n""")
 def betweenness(spark, d):
-    return G.betweenness(_edges(spark, d)).withColumn("betweenness", F.round("betweenness", 6))
+    return M.betweenness(_edges(spark, d)).withColumn("betweenness", F.round("betweenness", 6))
 
 
 @query()
@@ -110,15 +136,28 @@ def triangles(spark, d):
     return G.triangles(_edges(spark, d))
 
 
-@query()
+@query(f"""WITH RECURSIVE {_EDGES}, t AS (SELECT x.src AS a, x.dst AS b, y.dst AS c FROM e x JOIN e y ON x.dst = y.src JOIN e z ON z.src = x.src AND z.dst = y.dst),
+k AS MATERIALIZED (SELECT a, b, c, a || '-' || b AS e1, a || '-' || c AS e2, b || '-' || c AS e3 FROM t), l AS MATERIALIZED (SELECT e1 AS x, e2 AS y FROM k UNION SELECT e2, e1 FROM k UNION SELECT e1, e3 FROM k UNION SELECT e3, e1 FROM k),
+r(x, y) AS (SELECT x, x FROM l UNION SELECT r.x, l.y FROM r JOIN l ON l.x = r.y), m AS (SELECT x, min(y) AS c FROM r GROUP BY x)
+SELECT DISTINCT m.c AS community, unnest([k.a, k.b, k.c]) AS node FROM k JOIN m ON m.x = k.e1""")
 def clique3_communities(spark, d):
     return G.clique_communities(_edges(spark, d))
 
 
-@query(f"""WITH RECURSIVE e AS (SELECT DISTINCT least(n_nationkey, n_regionkey + 100) AS src, greatest(n_nationkey, n_regionkey + 100) AS dst FROM nation) SELECT src, dst FROM e""")
+@query()
 def bridges(spark, d):
-    n = table(spark, d, "nation")
-    return G.bridges(n.select(F.col("n_nationkey").alias("src"), (F.col("n_regionkey") + 100).alias("dst")))
+    return M.bridges(_repeat_business(spark, d))
+
+
+@query()
+def louvain(spark, d):
+    return LC.louvain(_repeat_business(spark, d))
+
+
+@query()
+def leiden(spark, d):
+    """Louvain, with communities cut into connected parts."""
+    return LC.louvain(_edges(spark, d), connected=True)
 
 
 @query("""SELECT o_orderkey AS src, o_custkey AS dst FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20)""")

@@ -9,6 +9,7 @@ from graphloom.operators import chunking as K
 from graphloom.operators import dedup as DD
 from graphloom.operators import linking as L
 from graphloom.operators import store as G
+from graphloom.operators.indexes import build_index
 from graphloom.queries.registry import query, table
 from graphloom.sources import parsers as P
 
@@ -109,6 +110,37 @@ def graph_update(spark, d):
     return G.find_nodes(changed, "nation", limit=None).filter("node < 10").select("node", F.col("properties")["name"].alias("name"))
 
 
+def _indexed(spark, d, kind, metric, probes=None, rerank=10):
+    e = table(spark, d, "embeddings")
+    found = build_index(e, "vec_id", "embedding", kind, metric).search(e.filter("vec_id % 50 = 0"), 10, "vec_id", "embedding", probes, rerank)
+    return found.withColumn("score", F.round("score", 6))
+
+
+_NEAREST = """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings), s AS (SELECT q.vec_id AS query_id, c.vec_id AS id, {} AS score FROM v q, v c WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score{}, id) AS INTEGER) AS rank FROM s) SELECT query_id, rank, id, round(score, 6) AS score FROM r WHERE rank <= 10"""
+
+
+@query(_NEAREST.format("sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2]))))", ""))
+def vector_index_flat(spark, d):
+    return _indexed(spark, d, "flat", "l2")
+
+
+@query(_NEAREST.format("list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))", " DESC"))
+def vector_index_all_cells(spark, d):
+    """Inverted lists of which a query looks at all, so nothing is missed."""
+    return _indexed(spark, d, "ivf", "inner_product")
+
+
+@query()
+def vector_index_ivf(spark, d):
+    return _indexed(spark, d, "ivf", "l2", 50)
+
+
+@query()
+def vector_index_ivfpq(spark, d):
+    return _indexed(spark, d, "ivfpq", "l2", 60, 40)
+
+
 @query()
 def vector_lsh(spark, d):
     e = table(spark, d, "embeddings")
