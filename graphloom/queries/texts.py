@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from graphloom.operators import chunking as K
 from graphloom.operators import extract as X
+from graphloom.operators import graph_chunking as GC
 from graphloom.operators import memory as M
 from graphloom.queries.registry import query, table
 
@@ -67,6 +68,47 @@ def chunk_semantic(spark, d):
     return K.semantic(_docs(spark, d), "doc_id", "text", 0.05)
 
 
+_PARTS = f"{_SENT}, p AS MATERIALIZED (SELECT doc_id, unnest(s) AS x, generate_subscripts(s, 1) - 1 AS pos FROM s)"
+_LINKS = f"{_PARTS}, l AS MATERIALIZED (SELECT DISTINCT doc_id, pos, lower(unnest(regexp_extract_all(x, '[A-Z][a-z]{{2,}}'))) AS entity FROM p)"
+_COMMONEST = "(SELECT doc_id, {0}, arg_max(label, (n, -label)) AS label FROM (SELECT doc_id, {0}, label, count(*) AS n FROM l JOIN {1} GROUP BY ALL) v GROUP BY doc_id, {0})"
+_PROPAGATED = "b0 AS (SELECT DISTINCT doc_id, pos, pos AS label FROM l)" + "".join(
+    f", e{t} AS MATERIALIZED {_COMMONEST.format('entity', f'b{t} USING (doc_id, pos)')}, b{t + 1} AS MATERIALIZED {_COMMONEST.format('pos', f'e{t} USING (doc_id, entity)')}" for t in range(3)
+)
+_CARRIED = "last_value({} IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+_GROUPED = f"""c AS (SELECT doc_id, pos, x, coalesce({_CARRIED.format('label')}, -1) AS label FROM p LEFT JOIN b3 USING (doc_id, pos)),
+g AS (SELECT doc_id, label, min(pos) AS first, count(*) AS n, string_agg(x, ' ' ORDER BY pos) AS text FROM c GROUP BY doc_id, label)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY first) - 1 AS INTEGER) AS chunk_index, CAST(n AS INTEGER) AS n_parts, text FROM g"""
+
+
+@query(f"WITH {_LINKS}, {_PROPAGATED}, {_GROUPED}")
+def chunk_by_community(spark, d):
+    return GC.by_graph(_docs(spark, d), "doc_id", "text", "community", rounds=3)
+
+
+@query(f"""WITH {_LINKS}, d AS (SELECT doc_id, entity, row_number() OVER (PARTITION BY doc_id ORDER BY count(*) DESC, entity) AS label FROM l GROUP BY doc_id, entity),
+b3 AS (SELECT doc_id, pos, min(label) AS label FROM l JOIN d USING (doc_id, entity) WHERE label <= 5 GROUP BY ALL), {_GROUPED}""")
+def chunk_by_centrality(spark, d):
+    return GC.by_graph(_docs(spark, d), "doc_id", "text", "centrality", hubs=5)
+
+
+#: Words of notices, the classes that they stand for, and what is above these.
+NOTICE_TERMS = {"apache": "Permissive", "cc": "Content", "general": "Copyleft", "gnu": "Copyleft", "license": "Licence", "licensed": "Licence", "public": "Copyleft", "reserved": "Claim", "rights": "Claim"}
+NOTICE_CLASSES = [("Permissive", "Licence"), ("Copyleft", "Licence"), ("Content", "Licence"), ("Licence", "Legal"), ("Claim", "Legal")]
+
+
+@query(f"""WITH RECURSIVE {_PARTS}, h(c, a) AS (VALUES {", ".join(map(str, NOTICE_CLASSES))}), t(w, c) AS (VALUES {", ".join(map(str, NOTICE_TERMS.items()))}),
+up(c, a, n) AS (SELECT DISTINCT c, c, 0 FROM (SELECT c FROM h UNION SELECT a FROM h UNION SELECT c FROM t) k UNION SELECT up.c, h.a, n + 1 FROM up JOIN h ON h.c = up.a),
+m AS (SELECT DISTINCT doc_id, pos, t.c FROM (SELECT doc_id, pos, unnest(regexp_split_to_array(lower(x), '[^\\p{{L}}\\p{{N}}]+')) AS w FROM p) e JOIN t USING (w)),
+need AS (SELECT doc_id, pos, count(*) AS need FROM m GROUP BY ALL), met AS (SELECT doc_id, pos, a, count(*) AS n, sum(n) AS far FROM m JOIN up USING (c) GROUP BY ALL),
+b AS (SELECT doc_id, pos, arg_min(a, (far, a)) AS label FROM met JOIN need USING (doc_id, pos) WHERE n = need GROUP BY ALL),
+c AS (SELECT doc_id, pos, x, {_CARRIED.format('label')} AS concept FROM p LEFT JOIN b USING (doc_id, pos)),
+k AS (SELECT *, pos > 0 AND concept IS DISTINCT FROM lag(concept) OVER (PARTITION BY doc_id ORDER BY pos) AS cut FROM c),
+g AS (SELECT *, sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY pos) AS i FROM k)
+SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, any_value(concept) AS concept, CAST(count(*) AS INTEGER) AS n_parts, string_agg(x, ' ' ORDER BY pos) AS text FROM g GROUP BY doc_id, i""")
+def chunk_by_ontology(spark, d):
+    return GC.by_ontology(_docs(spark, d), "doc_id", "text", NOTICE_TERMS, NOTICE_CLASSES)
+
+
 @query("""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents), e AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM l), k AS (SELECT *, CASE WHEN regexp_matches(trim(line), '^#{1,6}\\s') THEN 'heading' WHEN regexp_matches(trim(line), '^([-*+]|\\d+\\.)\\s') THEN 'list' WHEN starts_with(trim(line), '```') THEN 'code' WHEN trim(line) = '' THEN 'blank' ELSE 'paragraph' END AS kind FROM e), s AS (SELECT *, sum((kind = 'heading')::INT) OVER (PARTITION BY doc_id ORDER BY i) AS section FROM k) SELECT doc_id, CAST(section AS BIGINT) AS section, kind, count(*) AS n_lines, string_agg(line, chr(10) ORDER BY i) AS text FROM s WHERE kind <> 'blank' GROUP BY doc_id, section, kind""")
 def chunk_structural(spark, d):
     return K.structural(_docs(spark, d), "doc_id", "text")
