@@ -8,6 +8,7 @@ from graphloom.operators import chunking as K
 from graphloom.operators import extract as X
 from graphloom.operators import graph_chunking as GC
 from graphloom.operators import memory as M
+from graphloom.operators import relations as RL
 from graphloom.queries.registry import query, table
 
 
@@ -161,6 +162,30 @@ def cooccurrence(spark, d):
     return X.cooccurrences(spans, "doc_id").select("doc_id", "a", "a_start", "b", "b_start")
 
 
+#: Phrases that relate two names, by relation.
+RELATION_PHRASES = {"belongs_to": ["of the"], "joined_with": ["and"], "located_in": ["in the", "at the"]}
+_WEIGHTS = [(r, w, round(n, 15)) for r, ws in {"belongs_to": ["of", "the"], "joined_with": ["and"]}.items() for w in ws for n in [len(ws) ** -0.5]] + [("located_in", "in", 6**-0.5), ("located_in", "at", 6**-0.5), ("located_in", "the", 2 / 6**0.5)]
+
+
+@query(f"""WITH w AS (SELECT doc_id, text, string_split(text, ' ') AS w FROM documents), s AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM w),
+p AS (SELECT doc_id, regexp_extract(x, '^([A-Z][a-z]{{2,}})[.,;:!?]*$', 1) AS mention, sum(length(x) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(x) - 1 AS a FROM s),
+u AS (SELECT doc_id, mention, a, a + length(mention) AS e FROM p WHERE mention <> ''),
+c AS (SELECT x.doc_id, x.mention AS a, x.a AS a_start, y.mention AS b, y.a AS b_start, list_filter(regexp_split_to_array(lower(text[CAST(x.e + 1 AS BIGINT) : CAST(y.a AS BIGINT)]), '[^\\p{{L}}\\p{{N}}]+'), lambda z: z <> '') AS ws FROM u x JOIN u y ON x.doc_id = y.doc_id AND x.a < y.a AND abs(x.e - y.a) < 100 JOIN w ON w.doc_id = x.doc_id),
+t(relation, word, weight) AS (VALUES {", ".join(map(str, _WEIGHTS))}),
+h(relation, phrase) AS (VALUES {", ".join(str((r, p)) for r, ps in RELATION_PHRASES.items() for p in ps)}),
+n AS (SELECT *, row_number() OVER () AS id, ' ' || array_to_string(ws, ' ') || ' ' AS padded FROM c),
+k AS (SELECT id, z, count(*) AS n FROM (SELECT id, unnest(ws) AS z FROM n) e GROUP BY ALL), l AS (SELECT id, sqrt(sum(n * n)) AS norm FROM k GROUP BY id),
+v AS (SELECT id, relation, sum(k.n * weight) / any_value(norm) AS score FROM k JOIN t ON z = word JOIN l USING (id) GROUP BY ALL
+      UNION ALL SELECT id, relation, 1.0 FROM n JOIN h ON contains(padded, ' ' || phrase || ' ')),
+b AS (SELECT id, relation, max(round(score, 9)) AS score FROM v GROUP BY ALL HAVING max(score) >= 0.4),
+f AS (SELECT id, score, relation FROM b QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, relation) = 1)
+SELECT doc_id, a, CAST(a_start AS INTEGER) AS a_start, b, CAST(b_start AS INTEGER) AS b_start, relation, round(CAST(score AS DOUBLE), 6) AS confidence FROM f JOIN n USING (id)""")
+def relations_similarity(spark, d):
+    docs = _docs(spark, d)
+    found = RL.relations_by_similarity(docs, RL.capitalised_spans(docs, "doc_id", "text"), "doc_id", "text", RELATION_PHRASES)
+    return found.withColumn("confidence", F.round("confidence", 6))
+
+
 _EVENTS = " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, len(regexp_extract_all(lower(text), '{p}')) AS n FROM documents" for k, p in (("legal", "\\b(?:license|licensed|rights)\\b"), ("launch", "\\b(?:the|and)\\b")))
 
 
