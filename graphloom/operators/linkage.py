@@ -50,7 +50,7 @@ def linkage_clusters(pairs: DataFrame, nodes: DataFrame, threshold: float, linka
     # t: the sum over pairs of members, or the extreme; m: how many pairs of members the table has
     table = settled(p.select("a", "b", F.col("s").alias("t"), F.lit(1).cast("long").alias("m"), F.lit(1).cast("long").alias("x"), F.lit(1).cast("long").alias("y")))
     joined_at: list[DataFrame] = []
-    round_ = 0
+    round_, n_rows, n = 0, place.count(), table.count()  # the table only shrinks
     while True:
         round_ += 1
         if linkage == "average":
@@ -70,7 +70,6 @@ def linkage_clusters(pairs: DataFrame, nodes: DataFrame, threshold: float, linka
         if merges:
             joined_at.append(chosen.select(F.lit(round_).alias("round"), F.col("a").alias("cluster"), F.col("b").alias("merged"), F.col("s").alias("similarity")))
         into = chosen.select(F.col("b").alias("cluster"), F.col("a").alias("into"))
-        n_rows = place.count()
         if n_rows > frames.FEW_ROWS:
             rows = settled(place.join(into.select("cluster"), "cluster", "left_semi"))
             changed = _named(rows, into, "cluster", rows.count()).select("id", F.col("into").alias("cluster"))
@@ -82,7 +81,7 @@ def linkage_clusters(pairs: DataFrame, nodes: DataFrame, threshold: float, linka
         # new numbers and sizes of both ends; the pair that has become one cluster goes
         sizes = chosen.select("a", "b").join(_sizes(table), F.col("a") == F.col("c")).select("a", "b", F.col("n").alias("n_a")).join(_sizes(table), F.col("b") == F.col("c")).select("a", "b", (F.col("n_a") + F.col("n")).alias("n"))
         names = settled(sizes.select(F.explode(F.array(F.struct(F.col("a").alias("c"), F.col("a").alias("to"), "n"), F.struct(F.col("b").alias("c"), F.col("a").alias("to"), "n"))).alias("r")).select("r.*"))
-        rows, n = table, table.count()
+        rows = table
         for end, weight in (("a", "x"), ("b", "y")):
             hit = names.select(F.col("c").alias(end), F.col("to").alias("_to"), F.col("n").alias("_size"))
             if n <= frames.FEW_ROWS:
