@@ -52,9 +52,9 @@ def _joined(a: DataFrame, b: DataFrame, how: str) -> DataFrame:
     shared = [c for c in a.columns if c in b.columns]
     if shared:
         return a.join(b, shared, how)
-    if how == "inner":
+    if how in ("inner", "left"):
         raise ValueError("patterns without a shared variable would be a cross product")
-    return a.join(b, F.lit(True), how)
+    return a.join(F.broadcast(b.limit(1).select(F.lit(1).alias("_any"))), F.lit(True), how)  # it matters only whether there is a row
 
 
 def query(

@@ -76,3 +76,19 @@ def test_results_expire_and_broken_runs_leave_nothing(spark, tmp_path):
         (tmp_path / "c" / name / "version=v" / f"day={today}").rename(tmp_path / "c" / name / "version=v" / f"day={today - datetime.timedelta(10)}")
     assert sorted(tuple(r) for r in cache.results(docs, "doc_id", "text", upper).collect()) == [(1, "A"), (2, "B")] and calls == [2, 2]
     assert cache.sweep(7) == 2 and cache.stats().count() == 1
+
+
+def test_groups_without_a_shared_variable(spark):
+    import pytest
+
+    from graphloom.operators import triples as TR
+
+    t = spark.createDataFrame([("a", "knows", "b"), ("b", "knows", "c"), ("c", "is", "Robot")], "s string, p string, o string")
+    who = [("?x", "knows", "?y")]
+    assert TR.query(t, who, exists=[[("?z", "is", "Robot")]]).count() == 2
+    assert TR.query(t, who, not_exists=[[("?z", "is", "Robot")]]).count() == 0
+    assert TR.query(t, who, exists=[[("?z", "is", "Human")]]).count() == 0
+    assert TR.query(t, who, not_exists=[[("?z", "is", "Human")]]).count() == 2
+    for bad in ({"where": [*who, ("?z", "is", "?w")]}, {"where": who, "optional": [[("?z", "is", "?w")]]}):
+        with pytest.raises(ValueError, match="cross product"):
+            TR.query(t, **bad)
