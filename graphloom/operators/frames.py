@@ -51,6 +51,13 @@ def _paths(spark: SparkSession) -> list[str]:
     return context._graphloom_settled
 
 
+def settled_path(spark: SparkSession) -> str:
+    """A new folder below the shared one, which drop_settled removes like the tables of settled."""
+    path = f"{shared_folder(spark)}/graphloom-{uuid.uuid4().hex}"
+    _paths(spark).append(path)
+    return path
+
+
 def settled(df: DataFrame) -> DataFrame:
     """df, written once to the shared folder: it cuts the lineage of an iteration and outlives lost executors.
 

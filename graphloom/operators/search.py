@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import similarity as S
+from graphloom.operators.frames import FEW_ROWS, settled
 
 
 def top_k(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id", vector: str = "embedding", keep: Column | None = None, measure: str = "cosine") -> DataFrame:
@@ -26,11 +27,27 @@ def top_k_each(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_i
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def ranked_lists(lists: DataFrame) -> DataFrame:
+    """lists(list_id, id, score) with rank, from 1 by falling score, ties by smaller id; a null score comes last.
+
+    Over FEW_ROWS rows are range-sorted and written with their partition; a rank is the place in its partition and the count
+    of the list's rows in the partitions before, so that a list as large as the table isn't one task.
+    """
+    order = [F.desc_nulls_last("score"), F.asc("id")]
+    if lists.count() <= FEW_ROWS:
+        return lists.withColumn("rank", F.row_number().over(Window.partitionBy("list_id").orderBy(*order)))
+    dealt = settled(lists.repartitionByRange(F.col("list_id"), *order).withColumn("_p", F.spark_partition_id()))
+    before = Window.partitionBy("list_id").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    counts = dealt.groupBy("list_id", "_p").agg(F.count("*").alias("_n"))
+    counts = counts.select("list_id", "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    placed = dealt.withColumn("_at", F.row_number().over(Window.partitionBy("list_id", "_p").orderBy(*order)))
+    placed = placed.join(counts.withColumnsRenamed({"list_id": "_l", "_p": "_q"}), F.col("list_id").eqNullSafe(F.col("_l")) & (F.col("_p") == F.col("_q")))
+    return placed.select(*(F.col(f"`{c}`") for c in lists.columns), (F.col("_at") + F.col("_before")).alias("rank"))
+
+
 def reciprocal_rank_fusion(lists: DataFrame, k: int = 60) -> DataFrame:
     """(id, score) from ranked lists(list_id, id, score): the sum of 1 / (k + rank) over lists."""
-    w = Window.partitionBy("list_id").orderBy(F.desc("score"), "id")
-    ranked = lists.withColumn("rank", F.row_number().over(w))
-    return ranked.groupBy("id").agg(F.sum(1 / (k + F.col("rank"))).alias("score"))
+    return ranked_lists(lists).groupBy("id").agg(F.sum(1 / (k + F.col("rank"))).alias("score"))
 
 
 def weighted_fusion(lists: DataFrame, weights: dict[object, float]) -> DataFrame:

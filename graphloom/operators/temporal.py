@@ -80,11 +80,42 @@ def nearest_preceding(rows: DataFrame, entity: str, order: list[str], wanted: Co
     return rows.withColumn("preceding", F.last(F.when(wanted, F.col(value)), ignorenulls=True).over(w))
 
 
-def as_of_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, value: str) -> DataFrame:
-    """left with the value of the latest right row at or before its time: both sides in one window, so nothing is multiplied."""
-    a = left.select("*", F.struct(*left.columns).alias("_row"), F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(dict(right.dtypes)[value]).alias("_v"))
-    b = right.select(F.col(on), F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v"))
-    both = a.select(on, "_row", "_t", "_side", "_v").unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(on).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    out = both.withColumn("as_of", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1")
-    return out.select("_row.*", "as_of")
+def _carried(rows: DataFrame, key: str, cell: Column, value: Column, order: list[str]) -> DataFrame:
+    """(key, _cell, _carry): for each cell of a key the last non-null value of the cells before it; a row for each cell, not for each row of rows."""
+    ends = rows.groupBy(key, cell.alias("_cell")).agg(F.max_by(F.struct(value.alias("v")), F.when(value.isNotNull(), F.struct(*order))).alias("_e"))
+    w = Window.partitionBy(key).orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    return ends.select(key, "_cell", F.last("_e.v", ignorenulls=True).over(w).alias("_carry"))
+
+
+def previous_in_cells(rows: DataFrame, key: str, ts: str, value: str, name: str, cell: str = "day") -> DataFrame:
+    """rows with `name`: the value of the key's row before, by time, or null. A key's (key, ts) should be unique, and its values not null.
+
+    Time is cut into cells (a unit of date_trunc), and only each cell's last value goes on to the next, so that a key with
+    very many rows is as many tasks as it has cells.
+    """
+    rows = rows.withColumn("_cell", F.date_trunc(cell, ts))
+    carried = _carried(rows, key, F.col("_cell"), F.col(value), [ts])
+    inside = F.lag(value).over(Window.partitionBy(key, "_cell").orderBy(ts))
+    out = rows.withColumn("_in", inside).join(carried, [key, "_cell"], "left")
+    return out.withColumn(name, F.coalesce("_in", "_carry")).drop("_in", "_carry", "_cell")
+
+
+def as_of_join(left: DataFrame, right: DataFrame, on: str, left_ts: str, right_ts: str, value: str, cell: str = "day") -> DataFrame:
+    """left with the value of the latest right row at or before its time whose value isn't null.
+
+    Both sides stand in one window, so nothing is multiplied. Time is cut into cells (a unit of date_trunc), and a small table of
+    each cell's last right value carries over what came before it, so that a key with very many rows isn't one task. Rows without
+    a key or a time get null.
+    """
+    a = left.select(F.col(on).alias("_on"), F.struct(*(F.col(f"`{c}`") for c in left.columns)).alias("_row"), F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(right.schema[value].dataType).alias("_v"))
+    b = right.select(F.col(on).alias("_on"), F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), F.col(value).alias("_v")).filter("_on is not null and _t is not null and _v is not null")
+    at = F.date_trunc(cell, "_t")
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("_cell", at)
+    known = both.filter("_on is not null and _t is not null")
+    w = Window.partitionBy("_on", "_cell").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    inside = known.withColumn("_in", F.last("_v", ignorenulls=True).over(w)).filter("_side = 1").select("_on", "_cell", "_row", "_in")
+    spots = known.select("_on", "_cell", "_t", "_v")
+    out = inside.join(_carried(spots, "_on", F.col("_cell"), F.col("_v"), ["_t"]), ["_on", "_cell"], "left")
+    out = out.select("_row", F.coalesce("_in", "_carry").alias("as_of"))
+    rest = both.filter("_side = 1 and (_on is null or _t is null)").select("_row", F.col("_v").alias("as_of"))
+    return out.unionByName(rest).select("_row.*", "as_of")
