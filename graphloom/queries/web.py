@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from graphloom.operators import triples as TR
 from graphloom.operators.frames import settled_path
-from graphloom.queries.graphs import _TRIPLES, _triples
 from graphloom.queries.registry import query, table
 from graphloom.sinks import rdfxml as X
 from graphloom.sources import crawl as C
@@ -62,8 +62,14 @@ def feed_updates(spark, d):
     return FD.feed_updates(_polls(spark, d)).select("feed", F.col("at").cast("timestamp_ntz").alias("at"), "id", "title")
 
 
-@query(f"""WITH {_TRIPLES} SELECT DISTINCT s, p, o FROM t""")
+_CUSTOMERS = """SELECT 'urn:entity:customer_' || c_custkey AS s, 'rdf:type' AS p, 'urn:class:customer' AS o FROM customer UNION ALL SELECT 'urn:entity:customer_' || c_custkey, 'urn:property:c_name', c_name FROM customer UNION ALL SELECT 'urn:entity:customer_' || c_custkey, 'urn:property:c_mktsegment', c_mktsegment FROM customer"""
+_PLACED = """SELECT 'urn:entity:order_' || o_orderkey, 'urn:property:placed_by', 'urn:entity:customer_' || o_custkey FROM orders"""
+
+
+@query(f"""SELECT DISTINCT s, p, o FROM ({_CUSTOMERS} UNION ALL {_PLACED}) t WHERE o IS NOT NULL""")
 def rdfxml_round_trip(spark, d):
+    customers = TR.entity_triples(table(spark, d, "customer"), "c_custkey", "customer", ["c_name", "c_mktsegment"])
+    end = lambda kind, c: TR.mint("entity", F.concat(F.lit(f"{kind}_"), F.col(c).cast("string")))
     path = settled_path(spark)
-    X.write_rdfxml(_triples(spark, d), path, {"gl": "urn:property:"})
+    X.write_rdfxml(customers.unionByName(TR.edge_triples(table(spark, d, "orders"), end("order", "o_orderkey"), "placed_by", end("customer", "o_custkey"))), path, {"gl": "urn:property:"})
     return X.read_rdfxml(spark, path, {"gl": "urn:property:"})
