@@ -23,6 +23,8 @@ BLOCK_QUERIES = 2048
 #: Classes of which a query learns a floor, and pairs that are scored at once.
 OPENING = 2048
 PAIRS = 1 << 16
+#: Tables that are searched before the others, which take the floor that these give.
+FIRST_TABLES = 2
 #: The share of classes, the longest, that every query meets where norms differ.
 HEAVY = 1 / 32
 
@@ -124,10 +126,10 @@ def _axes(unit: np.ndarray, rotation: int, seed: int) -> np.ndarray:
     return np.concatenate([y, -y], axis=1)
 
 
-def _filed(tables: int, seed: int, heavy: float):
+def _filed(tables: range, seed: int, heavy: float):
     """Rows (cell, code, h, g, id, v): the nearest signed axis of both rotations of each table, the first as the cell.
 
-    What is longer than `heavy` stands in one further cell instead.
+    What is longer than `heavy` stands in cell -1 instead, which goes with table 0.
     """
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,8 +141,8 @@ def _filed(tables: int, seed: int, heavy: float):
             light = np.flatnonzero(~long)
             unit = _padded(vectors[light])
             axes = 2 * unit.shape[1]
-            groups = [(np.flatnonzero(long), np.full(long.sum(), tables * axes), np.zeros(long.sum(), np.int64))]
-            for table in range(tables):
+            groups = [(np.flatnonzero(long), np.full(long.sum(), -1), np.zeros(long.sum(), np.int64))] if 0 in tables else []
+            for table in tables:
                 cell, code = (_axes(unit, 2 * table + i, seed).argmax(axis=1) for i in range(2))
                 groups.append((light, table * axes + cell, code))
             for who, cell, code in groups:
@@ -157,20 +159,20 @@ def _floors(scores: np.ndarray, met: np.ndarray, k: int, slack: np.ndarray) -> n
     return -np.partition(-np.where(met, scores, -np.inf), k, axis=1)[:, k] - slack
 
 
-def _probed(tables: int, probes: int, seed: int, heavy: float, k: int, opening: np.ndarray):
-    """Rows (cell, codes, h, g, v, floor): what a query looks at, by the first axis of its best cells of each table.
+def _probed(tables: int, probes: int, seed: int, heavy: float, k: int, opening: np.ndarray, which: range):
+    """Rows (cell, codes, h, g, v, floor): what a query looks at, by the first axis of its best cells of those tables in `which`.
 
-    The floor is the (k + 1)-th best score among those classes of the opening that the query's cells hold: whatever
-    of all cells scores less is not among its k + 1 best finds, so it needn't be handed on.
+    The floor is the (k + 1)-th best score among those classes of the opening that the query's cells hold, or the given one
+    where that is higher: whatever of all cells scores less is not among its k + 1 best finds, so it needn't be handed on.
     """
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norms = np.linalg.norm(opening, axis=1)
         light = np.flatnonzero(norms <= heavy)
-        homes = []  # of each table: the cells of the opening, and which of them each class is in
-        for table in range(tables if len(light) else 0):
+        homes = {}  # of each table: the cells of the opening, and which of them each class is in
+        for table in which if len(light) else ():
             first, second = (_axes(_padded(opening[light]), 2 * table + i, seed) for i in range(2))
-            homes.append(np.unique(first.argmax(axis=1) * first.shape[1] + second.argmax(axis=1), return_inverse=True))
+            homes[table] = np.unique(first.argmax(axis=1) * first.shape[1] + second.argmax(axis=1), return_inverse=True)
         for batch in batches:
             for lo in range(0, len(batch), 256):
                 part = batch.slice(lo, 256)
@@ -178,8 +180,8 @@ def _probed(tables: int, probes: int, seed: int, heavy: float, k: int, opening:
                 unit = _padded(vectors)
                 n, axes = len(part), 2 * unit.shape[1]
                 met = np.tile(norms > heavy, (n, 1))
-                groups = [(np.arange(n), np.full(n, tables * axes), np.ones(n, np.int64), np.zeros(n, np.int64))]
-                for table in range(tables):
+                groups = [(np.arange(n), np.full(n, -1), np.ones(n, np.int64), np.zeros(n, np.int64))] if 0 in which else []
+                for table in which:
                     a, b = best_cells(*(_axes(unit, 2 * table + i, seed) for i in range(2)), probes)
                     keys = (np.arange(n)[:, None] * axes + a).ravel()
                     order = np.argsort(keys, kind="stable")
@@ -194,7 +196,7 @@ def _probed(tables: int, probes: int, seed: int, heavy: float, k: int, opening:
                         hit[asker, place[asker, probe]] = True
                         met[:, light] |= hit[:, own]
                 slack = 1e-9 * np.linalg.norm(vectors, axis=1) * norms.max(initial=0)
-                floor = pa.array(_floors(vectors @ opening.T, met, k, slack), pa.float64())
+                floor = pa.array(np.maximum(_floors(vectors @ opening.T, met, k, slack), numbers(part["floor"])), pa.float64())
                 for who, cell, counts, codes in groups:
                     rows, lists = pa.array(who), ragged(counts, codes.astype(np.int32), pa.int32())
                     columns = [pa.array(cell.astype(np.int32)), lists, *(part[c].take(rows) for c in ("h", "g", "v")), floor.take(rows)]
@@ -265,7 +267,7 @@ def cross_polytope_search(
     query that finds fewer than k rows, of more in the table, meets all. What shares a first axis is
     scored together, in blocks of BLOCK_ROWS classes by BLOCK_QUERIES queries. The OPENING classes with the
     smallest hashes are sent out; those that a query's own cells hold give it a floor, below which nothing
-    is handed on. That changes no result, and adds no candidate.
+    is handed on; what the first FIRST_TABLES tables give raises it for the others. That changes no result, and adds no candidate.
 
     query: a condition on df's rows. Out: query_id, rank from 1, vec_id, score. Ties go to the
     smaller id. Rows with a null id, or a vector that is null, empty, zero, of another length than
@@ -288,9 +290,9 @@ def cross_polytope_search(
     wanted = asked.groupBy("h", "g").agg(F.first("v").alias("v"))
     opening = np.array([r["v"] for r in data.orderBy("h", "g").limit(OPENING).select("v").collect()], np.float64).reshape(-1, max(d, 1))
 
-    def found_by(wanted: DataFrame, tables: int, probes: int) -> DataFrame:
-        filed = data.select("h", "g", "id", "v").mapInArrow(_filed(tables, seed, heavy), f"cell int, code int, h long, g long, id long, v {kind}")
-        wanted = saved(wanted.select("h", "g", "v").mapInArrow(_probed(tables, probes, seed, heavy, k, opening), f"cell int, codes array<int>, h long, g long, v {kind}, floor double"))
+    def found_by(wanted: DataFrame, tables: int, probes: int, which: range) -> DataFrame:
+        filed = data.select("h", "g", "id", "v").mapInArrow(_filed(which, seed, heavy), f"cell int, code int, h long, g long, id long, v {kind}")
+        wanted = saved(wanted.select("h", "g", "v", "floor").mapInArrow(_probed(tables, probes, seed, heavy, k, opening, which), f"cell int, codes array<int>, h long, g long, v {kind}, floor double"))
         # tables * axes + 1 rows at most, whatever the size of df
         sizes = filed.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("parts"))
         askers = wanted.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("sides"))
@@ -302,11 +304,19 @@ def cross_polytope_search(
         found = wanted.groupBy("cell", "part", "side").cogroup(filed.groupBy("cell", "part", "side"))
         return found.applyInArrow(_score_cell(k), "qh long, qg long, h long, g long, first long, score double")
 
-    found = saved(found_by(wanted, tables, probes))
+    # the first tables hold a share of all classes, so what they give raises the floor of the others as the table grows
+    wanted = wanted.withColumn("floor", F.lit(float("-inf")))
+    found = saved(found_by(wanted, tables, probes, range(min(tables, FIRST_TABLES))))
+    if tables > FIRST_TABLES:
+        distinct = found.groupBy("qh", "qg", "h", "g").agg(F.max("score").alias("score"))
+        place = F.row_number().over(Window.partitionBy("qh", "qg").orderBy(F.desc("score")))
+        floors = distinct.withColumn("n", place).filter(F.col("n") == k + 1).select(F.col("qh").alias("h"), F.col("qg").alias("g"), (F.col("score") - F.abs("score") * 1e-9).alias("least"))
+        raised = wanted.drop("floor").join(floors, ["h", "g"], "left").select("h", "g", "v", F.coalesce("least", F.lit(float("-inf"))).alias("floor"))
+        found = saved(found.unionByName(found_by(raised, tables, probes, range(FIRST_TABLES, tables))))
     enough = found.select("qh", "qg", "h", "g").distinct().groupBy("qh", "qg").count().filter(F.col("count") >= min(k + 1, n))
-    short = saved(wanted.join(enough.select(F.col("qh").alias("h"), F.col("qg").alias("g")), ["h", "g"], "left_anti").select("h", "g", "v"))
+    short = saved(wanted.join(enough.select(F.col("qh").alias("h"), F.col("qg").alias("g")), ["h", "g"], "left_anti").select("h", "g", "v", "floor"))
     if not short.isEmpty():
-        found = found.unionByName(found_by(short, 1, 1 << 62))
+        found = found.unionByName(found_by(short, 1, 1 << 62, range(1)))
     # the same class found through several tables has one score
     found = found.groupBy("qh", "qg", "h", "g", "first").agg(F.max("score").alias("score"))
     return _ranked(found, members, asked, k, "double")
