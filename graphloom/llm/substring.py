@@ -210,10 +210,11 @@ def _met(seeds: DataFrame) -> DataFrame:
     if common is None:
         return rare
     often = seeds.filter(common)
-    spans = saved(often.groupBy("a", "c").agg(F.min("doc_id").alias("owner"), F.count("*").alias("size")))
+    spans = saved(often.groupBy("a", "c").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"), F.count("*").alias("size")))
     # no more rows than common has
-    anchors = F.broadcast(spans.groupBy("a").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).filter("lo < hi"))
-    often = skew_join(often, spans.join(anchors.select("a"), "a"), ["a", "c"], "size", seeds.count())
+    anchors = F.broadcast(spans.groupBy("a").agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")))
+    spans = spans.join(anchors, "a").filter("last > owner or hi > lo").drop("last")
+    often = skew_join(often, spans, ["a", "c"], "size", seeds.count()).filter("doc_id > owner or hi > lo")
     return rare.unionByName(often.select(*columns))
 
 

@@ -33,3 +33,17 @@ def test_orphans_keep_order_keys_apart_from_customers(spark, tmp_path, missing):
     customers = spark.createDataFrame([(0,), (1,), (2,), (3,), (None,)], "c_custkey long")
     rows = against_sql(spark, tmp_path, "orphan_nodes", orders=orders, customer=customers)
     assert sorted(r["node"] for r in rows) == ([] if missing else [0, 1])
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_spans_of_a_common_anchor_with_one_owner_are_met(spark, monkeypatch, few):
+    """2,000 documents whose anchors have one span each: all but the first hold words that stood in it."""
+    from graphloom.llm import substring
+    from graphloom.operators import frames
+
+    if not few:
+        monkeypatch.setattr(frames, "FEW_ROWS", 100)
+    seeds = spark.range(1, 2001).select(F.lit(5).cast("long").alias("a"), F.lit(6).cast("long").alias("c"), F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("x"), F.lit(0).alias("start"), F.lit(3).alias("n"))
+    more = seeds.filter("doc_id <= 1500").withColumns({"a": F.lit(7).cast("long"), "c": (F.col("doc_id") % 2).cast("long")})
+    rows = substring._met(seeds.unionByName(more)).groupBy("open").count().collect()
+    assert {r["open"]: r["count"] for r in rows} == {False: 1999 + 1498, True: 2}
