@@ -47,3 +47,20 @@ def test_spans_of_a_common_anchor_with_one_owner_are_met(spark, monkeypatch, few
     more = seeds.filter("doc_id <= 1500").withColumns({"a": F.lit(7).cast("long"), "c": (F.col("doc_id") % 2).cast("long")})
     rows = substring._met(seeds.unionByName(more)).groupBy("open").count().collect()
     assert {r["open"]: r["count"] for r in rows} == {False: 1999 + 1498, True: 2}
+
+
+def test_pipeline_takes_a_passage_out_of_all_later_documents(spark):
+    """700 documents in as many batches that hold one passage alone, so that its anchors have one span each."""
+    import corpus_pipeline
+
+    stage = dict(corpus_pipeline.STAGES)["substring_dedup"]
+    passage = " ".join(f"word{i}" for i in range(20))
+    docs = spark.range(700).select(F.col("id").alias("doc_id"), F.lit(passage).alias("text"), F.lit("en").alias("lang"), F.lit("s").alias("source"), F.lit(len(passage)).cast("long").alias("n_chars"))
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1")
+    try:
+        rows = stage(spark, docs.repartition(4), "").select("doc_id", "text").collect()
+    finally:
+        spark.conf.set(size, before)
+    assert {r["doc_id"]: r["text"] for r in rows if r["text"]} == {0: passage}
