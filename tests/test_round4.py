@@ -64,3 +64,21 @@ def test_pipeline_takes_a_passage_out_of_all_later_documents(spark):
     finally:
         spark.conf.set(size, before)
     assert {r["doc_id"]: r["text"] for r in rows if r["text"]} == {0: passage}
+
+
+def test_updates_of_a_feed_with_very_many_items_take_no_comparison_of_all_pairs(spark):
+    """Three polls of 60,000 items each, of which 100 are new each time and some stand twice; comparing all pairs took minutes."""
+    import time
+
+    from graphloom.streaming import feeds
+
+    item = F.transform(F.sequence(F.col("n") * 100, F.col("n") * 100 + 60_000), lambda i: F.concat(F.lit("<item><guid>g"), F.least(i, F.col("n") * 100 + 59_999).cast("string"), F.lit("</guid><title>t"), i.cast("string"), F.lit("</title></item>")))
+    polls = spark.range(3).withColumnRenamed("id", "n").select(F.lit("f").alias("feed"), F.timestamp_seconds(F.col("n") * 3600).alias("at"), F.concat(F.lit("<rss><channel>"), F.array_join(item, ""), F.lit("</channel></rss>")).alias("xml"))
+    began = time.time()
+    rows = feeds.feed_updates(polls).collect()
+    assert time.time() - began < 60
+    n = {}
+    for r in rows:
+        n[r["at"]] = n.get(r["at"], 0) + 1
+        assert r["title"] == "t" + r["id"][1:]
+    assert sorted(n.values()) == [100, 100, 60_000] and len(rows) == len({r["id"] for r in rows})
