@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.functions import similarity as S
-from graphloom.operators.frames import FEW_ROWS, settled
+from graphloom.operators.frames import FEW_ROWS, settled, ship_package
 
 
 def top_k(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id", vector: str = "embedding", keep: Column | None = None, measure: str = "cosine") -> DataFrame:
@@ -18,13 +21,73 @@ def top_k(vectors: DataFrame, query: list[float], k: int, key: str = "vec_id", v
     return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), key)))
 
 
-def top_k_each(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", blocks: int = 64) -> DataFrame:
-    """The k most like rows for each of queries(query_id, query): the query set meets all rows in blocks, and k rows a task and query are shuffled on."""
-    rows = vectors.select(key, vector, F.pmod(F.xxhash64(key), F.lit(blocks)).alias("_b"))
-    asked = queries.select("query_id", "query", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("_b"))
-    scored = rows.join(asked, "_b").select("query_id", key, F.round(S.cosine(F.col(vector), F.col("query")), 6).alias("score"))
+#: Rows and queries of a block of top_k_each, and queries that are scored at once.
+BLOCK_ROWS, BLOCK_QUERIES, AT_ONCE = 8192, 4096, 256
+
+
+def _summed(products: np.ndarray) -> np.ndarray:
+    """Sums of rows from left to right, as the JVM adds them."""
+    return np.cumsum(products, axis=1)[:, -1] if products.shape[1] else np.zeros(len(products))
+
+
+def _block_top(k: int, key: str):
+    """Of a block of rows with whole vectors of one length the k best for each query, and those that rounding may put among them; of equal scores those with the k smallest keys."""
+
+    def values(column: pa.ChunkedArray) -> np.ndarray:
+        column = column.combine_chunks()
+        return column.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        if len(rows) and len(asked):
+            rows = rows.take(pc.sort_indices(rows, [(key, "ascending")], null_placement="at_start"))
+            x, q = values(rows["vector"]), values(asked["query"])
+            n, m = np.sqrt(_summed(x * x)), np.sqrt(_summed(q * q))
+            for lo in range(0, len(q), AT_ONCE):
+                part = q[lo : lo + AT_ONCE]
+                with np.errstate(all="ignore"):
+                    near = (x @ part.T).T / (m[lo : lo + AT_ONCE, None] * n)
+                near[m[lo : lo + AT_ONCE, None] * n == 0] = 0.0
+                for i, score in enumerate(near, lo):
+                    least = np.partition(score, len(score) - k)[len(score) - k] if len(score) > k else -np.inf
+                    some = np.flatnonzero(score >= least - 2e-6)
+                    length = n[some] * m[i]
+                    exact = np.where(length == 0, 0.0, _summed(x[some] * q[i]) / np.where(length == 0, 1.0, length))
+                    order = np.argsort(-exact, kind="stable")  # ties by key, as rows are sorted
+                    head = np.flatnonzero(np.diff(exact[order], prepend=np.inf) != 0)
+                    nth = np.arange(len(order)) - np.repeat(head, np.diff(np.append(head, len(order))))
+                    kept = order[nth < k]
+                    out.append((np.full(len(kept), i), some[kept], exact[kept]))
+        who, which, scores = (np.concatenate(a) for a in zip(*out))
+        return pa.table([asked["query_id"].take(pa.array(who)), rows[key].take(pa.array(which)), pa.array(scores)], ["query_id", key, "score"])
+
+    return run
+
+
+def top_k_each(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """The k most like rows for each of queries(query_id, query).
+
+    Blocks of rows meet blocks of queries of the same length as matrices, and each block hands on about k rows a query. Vectors
+    that are null or hold a null or a value that isn't finite, and pairs of unequal length, are scored one by one, as there are few.
+    """
+    ship_package(vectors.sparkSession)
+    dtype = dict(vectors.dtypes)
+    whole = lambda c: F.coalesce(F.size(c) > 0, F.lit(False)) & ~F.exists(c, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")) | (F.abs(x) > 1e150))
+    rows = vectors.select(key, F.col(vector).alias("vector"), F.coalesce(whole(F.col(vector)), F.lit(False)).alias("_ok"), F.size(vector).alias("_d"))
+    asked = queries.select("query_id", "query", F.coalesce(whole(F.col("query")), F.lit(False)).alias("_ok"), F.size("query").alias("_d"))
+    n_rows, n_asked = (df.groupBy("_ok", "_d").count().collect() for df in (rows, asked))
+    r, q = (max(1, -(-sum(c["count"] for c in n) // block)) for n, block in ((n_rows, BLOCK_ROWS), (n_asked, BLOCK_QUERIES)))
+    dealt = lambda df, own, n, other, m, *by: df.filter("_ok").drop("_ok").withColumn(own, F.pmod(F.xxhash64(*by), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1)))).repartition(max(1, min(r * q, 10_000)), "_d", "_r", "_q")
+    left, right = dealt(rows, "_r", r, "_q", q, key, "vector"), dealt(asked, "_q", q, "_r", r, "query_id", "query")
+    kinds = f"query_id {dict(queries.dtypes)['query_id']}, {key} {dtype[key]}, score double"
+    found = left.groupBy("_d", "_r", "_q").cogroup(right.groupBy("_d", "_r", "_q")).applyInArrow(_block_top(k, key), kinds)
+    kinds = [{(c["_ok"], c["_d"]) for c in n} for n in (n_rows, n_asked)]
+    if len(kinds[0] | kinds[1]) > 1 or not all(ok for ok, _ in kinds[0] | kinds[1]):
+        a, b = rows.withColumnsRenamed({"_ok": "_aok", "_d": "_ad"}), asked.withColumnsRenamed({"_ok": "_bok", "_d": "_bd"})
+        rest = a.join(b, ~(F.col("_aok") & F.col("_bok") & (F.col("_ad") == F.col("_bd"))))
+        found = found.unionByName(rest.select("query_id", key, S.cosine(F.col("vector"), F.col("query")).alias("score")))
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), key)
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return found.withColumn("score", F.round("score", 6)).withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def ranked_lists(lists: DataFrame) -> DataFrame:

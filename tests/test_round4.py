@@ -82,3 +82,24 @@ def test_updates_of_a_feed_with_very_many_items_take_no_comparison_of_all_pairs(
         n[r["at"]] = n.get(r["at"], 0) + 1
         assert r["title"] == "t" + r["id"][1:]
     assert sorted(n.values()) == [100, 100, 60_000] and len(rows) == len({r["id"] for r in rows})
+
+
+def test_nearest_rows_by_blocks_are_those_of_scoring_all_pairs(spark):
+    """Copies, ties, unequal lengths, zeros, nulls and values that aren't finite; the plan has no join of rows with queries by a lone key."""
+    from pyspark.sql import Window
+
+    from graphloom.functions import similarity as S
+    from graphloom.operators import search
+
+    inf, nan = float("inf"), float("nan")
+    odd = [(900, [0.0, 0.0, 0.0]), (901, None), (902, [1.0, None, 2.0]), (903, [nan, 1.0, 1.0]), (904, [inf, 1.0, 0.0]), (905, [1.0, 2.0]), (906, []), (907, [1.0, 2.0])]
+    rows = [(i, [float(i % 7), float(i % 5) - 2, float(i % 3)]) for i in range(400)] + odd
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    q = v.filter("vec_id % 50 = 0 or vec_id > 900").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+    for some in (v, v.filter("vec_id < 400")):
+        asked = q.join(some.select(F.col("vec_id").alias("query_id")), "query_id")
+        w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        want = some.crossJoin(asked).select("query_id", "vec_id", F.round(S.cosine(F.col("embedding"), F.col("query")), 6).alias("score")).withColumn("rank", F.row_number().over(w)).filter("rank <= 5")
+        found = search.top_k_each(some, asked, 5)
+        same_rows([r.asDict() for r in found.collect()], [r.asDict() for r in want.collect()])
+        assert "FlatMapCoGroupsInArrow" in found._jdf.queryExecution().toString()
