@@ -43,9 +43,10 @@ def sitemap_crawl(spark, d):
     pages = table(spark, d, "pages").select("url", C.url_host(F.col("url")).alias("host")).filter("url like '%://%'")
     entry = lambda c: F.concat(F.lit("<url><loc> "), F.replace(c, F.lit("&"), F.lit("&amp;")), F.lit("</loc></url>"))
     of = F.concat(F.lit("https://"), F.col("host"), F.lit("/sitemap.xml"))
-    maps = pages.groupBy(of.alias("url")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(entry(F.col("url"))), ""), F.lit("</urlset>")).alias("xml"))
+    # a host's sitemap comes in parts, so that it isn't one row however many pages the host has
+    maps = pages.groupBy(of.alias("url"), F.pmod(F.xxhash64("url"), F.lit(4096)).alias("part")).agg(F.concat(F.lit("<urlset>"), F.array_join(F.collect_list(entry(F.col("url"))), ""), F.lit("</urlset>")).alias("xml")).drop("part")
     index = lambda rows, key, link: rows.groupBy(key.alias("url")).agg(F.concat(F.lit('<sitemapindex xmlns="http://www.sitemaps.org/schemas/sitemap/0.9">'), F.array_join(F.collect_set(F.concat(F.lit("<sitemap><loc>"), link, F.lit("</loc></sitemap>"))), ""), F.lit("</sitemapindex>")).alias("xml"))
-    zones = index(pages, F.concat(F.lit("urn:zone:"), F.substring_index("host", ".", -1)), of)
+    zones = index(pages.select("host").distinct(), F.concat(F.lit("urn:zone:"), F.substring_index("host", ".", -1)), of)
     root = index(zones.withColumnRenamed("url", "zone"), F.lit("urn:root"), F.col("zone"))
     return C.crawl_sitemaps(maps.unionByName(zones).unionByName(root), root.select("url"), exclude="[.]html$", budget=3)
 

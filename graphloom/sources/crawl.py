@@ -88,7 +88,9 @@ def sitemap_entries(sitemaps: DataFrame) -> DataFrame:
     """
     locs = F.regexp_extract_all("xml", F.lit(r"(?is)<(?:\w+:)?loc(?:\s[^>]*)?>\s*(?:<!\[CDATA\[)?\s*(.*?)\s*(?:\]\]>)?\s*</(?:\w+:)?loc\s*>"), F.lit(1))
     kind = F.when(F.col("xml").rlike(r"(?i)<(?:\w+:)?sitemapindex[\s>]"), "index").otherwise("page")
-    rows = sitemaps.select(F.col("url").alias("sitemap"), kind.alias("kind"), F.posexplode(locs).alias("place", "loc"))
+    # the kind is found before a file is taken apart: beside the entries it would be looked for anew in the whole file for each
+    rows = sitemaps.select(F.col("url").alias("sitemap"), kind.alias("kind"), locs.alias("_locs"))
+    rows = rows.select("sitemap", "kind", F.posexplode_outer("_locs").alias("place", "loc"))
     loc = F.col("loc")
     for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         loc = F.replace(loc, F.lit(entity), F.lit(char))
