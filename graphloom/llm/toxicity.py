@@ -6,7 +6,10 @@ largest activations are kept (max pooling, of the POOL largest). A logistic laye
 calibrated for each language, which naive Bayes over the same features reads off the text; a score is shifted so
 that its language's threshold is 0.5.
 
-The model is fitted here with numpy, on the driver, to a bounded sample of labelled rows.
+The model learns from all labelled rows. Spark sums their features' counts, which give the log odds and naive Bayes;
+deals the rows into blocks, a task each, that train the network on their own rows, starting from the same one; averages
+what they make of it, for ROUNDS rounds; and counts the calibration rows by logit. The driver holds the model and these
+sums, whose size depends on the features alone.
 """
 
 from __future__ import annotations
@@ -17,12 +20,15 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.llm.langid import _BETWEEN, held_out, words_of
-from graphloom.llm.runtime import ship, worker
+from graphloom.llm.runtime import numbers, packed, saved, ship, worker
 from graphloom.llm.words import U, Words, chunks, span_hashes
+from graphloom.operators.frames import FEW_ROWS
 
 #: Beginnings of words that are features, in bytes.
 BEGINNINGS = (4, 5, 6, 7, 8)
@@ -36,6 +42,17 @@ CHUNK = 1 << 19
 WINDOW = 1 << 17
 #: Fewer calibration rows of either label than this, and a language has the threshold of all.
 FEW = 5
+#: Labelled rows that a task trains on, about, and those it holds at once; how often the tasks' networks are averaged.
+BLOCK = 32_768
+PIECE = 4096
+ROUNDS = 2
+#: Steps of Adam at least, over all rounds, and documents with a feature without which it isn't learned.
+STEPS = 160
+LEAST = 4
+SEED = 5
+#: Parts of one by which averaged numbers are summed, so that sums don't depend on their order, and by which logits are counted.
+FINE = 1 << 24
+NOTCHES = 1 << 10
 _SHIFTS = [(w, j) for w in WIDTHS for j in range(w)]
 
 
@@ -97,57 +114,48 @@ def pooled(values: np.ndarray) -> np.ndarray:
     return np.maximum(best, 0).T
 
 
-class _Sample:
-    """The words of the sample as numbers, the features of its distinct words, and the rows of both labels."""
+class _Texts:
+    """The words of some texts as numbers, and the features of the distinct words."""
 
-    def __init__(self, texts: list[str], least: int) -> None:
+    def __init__(self, texts: pa.Array) -> None:
         self.documents: list[np.ndarray] = []
         seen: dict[int, int] = {}
-        owner, bucket, held = [], [], []
-        for at, end, data, offsets in chunks(_lower(pa.array(texts, pa.large_string()))):
+        owner, bucket = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at, end, data, offsets in chunks(_lower(texts)):
             w = words_of(data, offsets)
             distinct, example, which = np.unique(w.hashes(43), return_index=True, return_inverse=True)
             known = len(seen)
-            numbers = np.array([seen.setdefault(h, len(seen)) for h in distinct.tolist()], np.int64)
-            fresh = example[numbers >= known]
+            ids = np.array([seen.setdefault(h, len(seen)) for h in distinct.tolist()], np.int64)
+            fresh = example[ids >= known]
             a, b = word_features(data, w.starts[fresh], w.ends[fresh])
-            owner.append(numbers[numbers >= known][a] if len(fresh) else a)
+            owner.append(ids[ids >= known][a] if len(fresh) else a)
             bucket.append(b)
-            ids = numbers[which] if len(w) else np.zeros(0, np.int64)
+            ids = ids[which] if len(w) else np.zeros(0, np.int64)
             self.documents += [ids[w.first[i] : w.first[i + 1]] for i in range(end - at)]
         self.n_words = len(seen)
-        owner, bucket = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (owner, bucket))
+        owner, bucket = np.concatenate(owner), np.concatenate(bucket)
         order = np.argsort(owner, kind="stable")
-        owner, bucket = owner[order], bucket[order]
-        # features of fewer than `least` documents would only be learned by heart
-        spread = np.zeros(1 << BITS, np.int64)
-        first = np.searchsorted(owner, np.arange(self.n_words + 1))
-        for ids in self.documents:
-            own = np.unique(ids)
-            runs = np.concatenate([np.arange(first[i], first[i + 1]) for i in own]) if len(own) else np.zeros(0, np.int64)
-            spread[np.unique(bucket[runs])] += 1
-        kept = np.flatnonzero(spread >= least)
-        self.place = np.zeros(1 << BITS, np.int32)
-        self.place[kept] = np.arange(1, len(kept) + 1)
-        self.owner, self.rows = owner, self.place[bucket].astype(np.int64)
-        self.size = len(kept) + 1
-        self.first = first
-
-    def features(self, document: int) -> np.ndarray:
-        """Rows of the features of a document's distinct words."""
-        own = np.unique(self.documents[document])
-        runs = [self.rows[self.first[i] : self.first[i + 1]] for i in own]
-        return np.concatenate(runs) if runs else np.zeros(0, np.int64)
-
-    def odds(self, documents: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-        """Log odds that a document with a feature is toxic against one without it, drawn to 0 for rare features."""
-        seen = np.full((2, self.size), 2.0)
-        for i in documents:
-            seen[int(toxic[i] > 0), np.unique(self.features(i))] += 1
-        share = seen / (np.bincount(toxic[documents] > 0, minlength=2) + 4)[:, None]
-        out = np.log(share[1] / share[0]).astype(np.float32)
-        out[0] = 0
-        return out
+        self.owner, self.bucket = owner[order], bucket[order]
+        self.first = np.searchsorted(self.owner, np.arange(self.n_words + 1))
+
+    def runs(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(which of the words, place in `bucket`) of every feature of these words."""
+        count = self.first[words + 1] - self.first[words]
+        return np.repeat(np.arange(len(words)), count), np.repeat(self.first[words] - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+    def counts(self, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(bucket, how many of the documents have it, how many of their words) of all features in some documents."""
+        ids = np.concatenate([np.zeros(0, np.int64), *(self.documents[i] for i in documents)])
+        of = np.repeat(np.arange(len(documents)), [len(self.documents[i]) for i in documents])
+        pairs, many = np.unique(of * max(1, self.n_words) + ids, return_counts=True)
+        each, at = self.runs(pairs % max(1, self.n_words))
+        buckets, which = np.unique(self.bucket[at], return_inverse=True)
+        held = np.unique(which * max(1, len(documents)) + pairs[each] // max(1, self.n_words)) // max(1, len(documents))
+        return buckets, np.bincount(held, minlength=len(buckets)), np.bincount(which, many[each], len(buckets)).astype(np.int64)
+
+    def placed(self, place: np.ndarray) -> None:
+        self.rows = place[self.bucket].astype(np.int64)
+        self.scale = _scale(self.owner, self.rows, self.n_words)
 
 
 def _scale(owner: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -155,65 +163,62 @@ def _scale(owner: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     return 1 / np.sqrt(np.maximum(np.bincount(owner, rows > 0, n), 1)).astype(np.float32)
 
 
-def fit(texts: list[str], toxic: np.ndarray, languages: list[str | None], weights: np.ndarray, steps: int = 160, least: int = 4, batch: int = 32, seed: int = 5) -> Model:
-    """`steps` steps of Adam, or the whole epoch that holds the last, on three quarters of the sample; thresholds from the rest, where `weights` says for how many rows each stands.
+def _start(buckets: np.ndarray, seen: np.ndarray, learned: np.ndarray, by_language: np.ndarray, others: bool, rng: np.random.Generator) -> Model:
+    """The untrained network, and naive Bayes.
 
-    The first dimension of the embeddings starts at the features' log odds, which the first filter reads; all else starts at random.
+    buckets: those that are features. seen: how many rows to learn from have them, clean ones and toxic ones, of `learned` rows in
+    all. by_language: how many words have them in each language, column 0: in others, which count only if there are such.
+    The first dimension of the embeddings starts at the features' log odds, drawn to 0 for rare ones, which the first filter reads; all
+    else starts at random.
     """
-    sample, rng, toxic = _Sample(texts, least), np.random.default_rng(seed), np.asarray(toxic, np.float32)
-    n, wide = len(texts), FILTERS * len(WIDTHS)
-    E = rng.normal(0, 0.3, (sample.size, DIMENSIONS)).astype(np.float32)
-    E[0] = 0
+    size, wide = len(buckets) + 1, FILTERS * len(WIDTHS)
+    place = np.zeros(1 << BITS, np.int32)
+    place[buckets] = np.arange(1, size)
+    E = rng.normal(0, 0.3, (size, DIMENSIONS)).astype(np.float32)
     W = rng.normal(0, 0.3, (DIMENSIONS, FILTERS * len(_SHIFTS))).astype(np.float32)
-    bias, top, rest = np.zeros(wide, np.float32), rng.normal(0, 0.2, (wide, POOL)).astype(np.float32), np.zeros(1, np.float32)
-    scale = _scale(sample.owner, sample.rows, sample.n_words)
-    first = sample.first
-    params = [E, W, bias, top, rest]
-    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
-    lately = np.zeros(sample.size, np.int64)  # the step at which each embedding was last pulled
-    held = np.zeros(n, bool)
-    for label in (0, 1):  # every fourth row of each label, in random order, is for calibration
-        rows = rng.permutation(np.flatnonzero(toxic == label))
-        held[rows[: len(rows) // 4]] = True
-    learned = np.flatnonzero(~held)
-    if len(learned):
-        E[:, 0] = sample.odds(learned, toxic)
+    top = rng.normal(0, 0.2, (wide, POOL)).astype(np.float32)
+    if learned.sum():
+        share = (seen + 2) / (learned + 4)[:, None]
+        E[1:, 0] = np.log(share[1] / share[0])
         W[0, 0], top[0] = 1.0, 0.3
-    balance = np.where(toxic > 0, 1, (toxic[learned] > 0).sum() / max(1, (toxic[learned] == 0).sum())).astype(np.float32)
-
-    def words_in(documents: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct words of some documents, their features, their embeddings, and the words' numbers among them."""
-        ids = np.concatenate([sample.documents[i] for i in documents]) if len(documents) else np.zeros(0, np.int64)
-        distinct, which = np.unique(ids, return_inverse=True)
-        count = first[distinct + 1] - first[distinct]
-        runs = np.repeat(first[distinct] - np.cumsum(count) + count, count) + np.arange(count.sum())
-        owner, rows = np.repeat(np.arange(len(distinct)), count), sample.rows[runs]
-        return distinct, which, owner, rows, _summed(rows, owner, E, len(distinct)) * scale[distinct][:, None]
-
-    def logits_of(documents: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(documents))
-        for lo in range(0, len(documents), 64):
-            part = documents[lo : lo + 64]
-            _, which, _, _, x = words_in(part)
-            projected, at = x @ W, 0
-            for row, i in enumerate(part):
-                m = len(sample.documents[i])
-                out[lo + row] = float((pooled(activations(projected[which[at : at + m]], bias)) * top).sum()) + rest[0]
-                at += m
-        return out
+    E[0] = 0
+    counts = np.concatenate([np.full((1, by_language.shape[1]), 0.5), by_language + 0.5])
+    likely = np.log(counts / counts.sum(0)).astype(np.float32)
+    if not others:
+        likely[:, 0] = -1e9
+    likely[0] = 0
+    return Model(place, E, W, np.zeros(wide, np.float32), top, 0.0, likely, np.zeros(by_language.shape[1]))
+
 
+def _learn(model: Model, texts: _Texts, toxic: np.ndarray, balance: float, steps: int, rng: np.random.Generator, batch: int = 32) -> tuple[np.ndarray, list[np.ndarray]]:
+    """`steps` steps of Adam, or the whole epoch that holds the last, on all of some texts: (rows of the embeddings that were pulled, [these
+    rows, filters, bias, top, rest]). Clean rows weigh `balance`.
+    """
+    texts.placed(model.place)
+    used, rows_of = np.unique(np.concatenate([[0], texts.rows]), return_inverse=True)
+    rows_of, first, scale = rows_of[1:], texts.first, texts.scale
+    E, wide = model.embeddings[used], len(model.bias)
+    params = [E, model.filters.copy(), model.bias.copy(), model.top.copy(), np.full(1, model.rest, np.float32)]
+    W, bias, top, rest = params[1:]
+    moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
+    lately = np.zeros(len(used), np.int64)  # the step at which each embedding was last pulled
+    toxic = np.asarray(toxic, np.float32)
+    weight = np.where(toxic > 0, 1, balance).astype(np.float32)
     t = 0
-    while t < steps and len(learned) and sample.n_words:
-        order = rng.permutation(learned)
+    while t < steps and len(toxic) and texts.n_words:
+        order = rng.permutation(len(toxic))
         for lo in range(0, len(order), batch):
             part, t = order[lo : lo + batch], t + 1
-            distinct, which, owner, rows, x = words_in(part)
+            distinct, which = np.unique(np.concatenate([texts.documents[i] for i in part]), return_inverse=True)
+            owner, runs = texts.runs(distinct)
+            rows = rows_of[runs]
+            x = _summed(rows, owner, E, len(distinct)) * scale[distinct][:, None]
             projected, at = x @ W, 0
             slopes = [np.zeros(0, np.float32), *(np.zeros_like(p) for p in params[1:])]
             best = np.zeros((len(part), POOL, wide), np.float32)  # activations, where in the batch, and where each text ends
             place, end = np.zeros((len(part), POOL, wide), np.int64), np.zeros(len(part), np.int64)
             for row, i in enumerate(part):
-                m = len(sample.documents[i])
+                m = len(texts.documents[i])
                 act, k = activations(projected[which[at : at + m]], bias), min(POOL, m)
                 if m:
                     who = np.argpartition(act, m - k, axis=0)[m - k :]
@@ -224,7 +229,7 @@ def fit(texts: list[str], toxic: np.ndarray, languages: list[str | None], weight
             place, best = np.take_along_axis(place, rank, 1), np.maximum(np.take_along_axis(best, rank, 1), 0)
             z = best.transpose(0, 2, 1)
             p = 1 / (1 + np.exp(-np.clip(np.einsum("nfk,fk->n", z, top) + rest[0], -30, 30)))
-            g = ((p - toxic[part]) * balance[part] / len(part)).astype(np.float32)
+            g = ((p - toxic[part]) * weight[part] / len(part)).astype(np.float32)
             slopes[3] += np.einsum("n,nfk->fk", g, z)
             slopes[4] += g.sum()
             back = g[:, None, None] * top.T * (best > 0)
@@ -254,25 +259,46 @@ def fit(texts: list[str], toxic: np.ndarray, languages: list[str | None], weight
                 m1[at] += 0.1 * (g - m1[at])
                 m2[at] += 0.01 * (g * g - m2[at])
                 params[i][at] -= 0.02 * (m1[at] / (1 - 0.9**n_steps)) / (np.sqrt(m2[at] / (1 - 0.99**n_steps)) + 1e-8)
-    # naive Bayes over the same features
+    pulled = np.flatnonzero(lately)
+    return used[pulled], [E[pulled], W, bias, top, rest]
+
+
+def fit(texts: list[str], toxic: np.ndarray, languages: list[str | None], weights: np.ndarray, steps: int = STEPS, least: int = LEAST, batch: int = 32, seed: int = SEED) -> Model:
+    """The model of some texts on one machine, as `train` makes it in a single block; weights: for how many rows each counts in the thresholds.
+
+    It learns on three quarters of the rows, and takes the thresholds from the rest.
+    """
+    read, rng, toxic = _Texts(pa.array(texts, pa.large_string())), np.random.default_rng(seed), np.asarray(toxic)
+    held = np.zeros(len(texts), bool)
+    for label in (0, 1):  # every fourth row of each label, in random order, is for calibration
+        rows = rng.permutation(np.flatnonzero(toxic == label))
+        held[rows[: len(rows) // 4]] = True
     names = sorted({x for x in languages if x is not None})
-    counts = np.full((sample.size, len(names) + 1), 0.5)
-    for ids, lang in zip(sample.documents, languages):
-        if lang is not None and len(ids):
-            some, many = np.unique(ids, return_counts=True)
-            runs = np.concatenate([np.arange(first[i], first[i + 1]) for i in some])
-            counts[:, names.index(lang) + 1] += np.bincount(sample.rows[runs], np.repeat(many, first[some + 1] - first[some]), sample.size)
-    nb = np.log(counts / counts.sum(0)).astype(np.float32)
-    nb[0] = 0
-    model = Model(sample.place, E, W, bias, top, float(rest[0]), nb, np.zeros(len(names) + 1))
-    rows = np.flatnonzero(held) if held.any() else np.arange(n)
-    guesses = np.array([_language(nb[sample.rows[np.concatenate([np.arange(first[j], first[j + 1]) for j in sample.documents[i]])]].sum(0)) if len(sample.documents[i]) else 0 for i in rows], np.int64)
-    return model._replace(thresholds=thresholds(logits_of(rows), toxic[rows] > 0, guesses, np.asarray(weights)[rows], len(names) + 1))
+    every, seen, by_language = np.zeros(1 << BITS, np.int64), np.zeros((2, 1 << BITS)), np.zeros((1 << BITS, len(names) + 1))
+    for label in (0, 1):
+        for on in (held, ~held):
+            for name in {*languages}:
+                some = np.flatnonzero((toxic == label) & on & np.array([x == name for x in languages]))
+                buckets, documents, words = read.counts(some)
+                every[buckets] += documents
+                seen[label, buckets] += documents * (on is not held)
+                if name is not None:
+                    by_language[buckets, names.index(name) + 1] += words
+    kept, learned = np.flatnonzero(every >= least), np.flatnonzero(~held)
+    of_label = np.bincount(toxic[learned], minlength=2)
+    model = _start(kept, seen[:, kept], of_label, by_language[kept], False, rng)
+    own = _Texts(pa.array([texts[i] for i in learned], pa.large_string()))
+    pulled, (E, W, bias, top, rest) = _learn(model, own, toxic[learned], of_label[1] / max(1, of_label[0]), steps, rng, batch)
+    model.embeddings[pulled] = E
+    model = model._replace(filters=W, bias=bias, top=top, rest=float(rest[0]))
+    rows = np.flatnonzero(held) if held.any() else np.arange(len(texts))
+    values, guesses = logits(model, pa.array([texts[i] for i in rows], pa.large_string()))
+    return model._replace(thresholds=thresholds(values, toxic[rows] > 0, guesses, np.asarray(weights)[rows], len(names) + 1))
 
 
 def _language(likelihood: np.ndarray) -> int:
-    """The likeliest language's column; 0 without any."""
-    return int(likelihood[1:].argmax()) + 1 if len(likelihood) > 1 else 0
+    """The likeliest language's column."""
+    return int(likelihood.argmax())
 
 
 def thresholds(logits: np.ndarray, toxic: np.ndarray, languages: np.ndarray, weights: np.ndarray, n: int) -> np.ndarray:
@@ -280,7 +306,7 @@ def thresholds(logits: np.ndarray, toxic: np.ndarray, languages: np.ndarray, wei
     out = np.zeros(n)
     for lang in range(n):
         own = np.ones(len(logits), bool) if lang == 0 else languages == lang
-        if min((toxic & own).sum(), (~toxic & own).sum()) < (1 if lang == 0 else FEW):
+        if min(weights[toxic & own].sum(), weights[~toxic & own].sum()) < (1 if lang == 0 else FEW):
             out[lang] = out[0]
             continue
         order = np.argsort(logits[own], kind="stable")
@@ -294,29 +320,155 @@ def thresholds(logits: np.ndarray, toxic: np.ndarray, languages: np.ndarray, wei
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, per_label: int = 1500, longest: int = 8_000) -> Model:
-    """Fits to at most per_label rows of each label, those with the smallest hashes of their ids, of rows that aren't held out.
+def _unpacked(column: pa.Array | pa.ChunkedArray) -> pa.Array:
+    unpress = zstandard.ZstdDecompressor()
+    return pa.array([unpress.decompress(z).decode() for z in column.to_pylist()], pa.large_string())
+
+
+@worker("toxicity")
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (bucket, lang, role, documents, words); role: 0 and 1 for rows to learn from by label, 2 for calibration rows."""
+    for batch in batches:
+        texts, langs = _Texts(_unpacked(batch["z"])), batch["lang"].to_pylist()
+        roles = np.where(numbers(batch["held"]).astype(bool), 2, numbers(batch["toxic"]))
+        groups: dict[tuple, list[int]] = {}
+        for i, key in enumerate(zip(langs, roles.tolist())):
+            groups.setdefault(key, []).append(i)
+        for (lang, role), own in groups.items():
+            buckets, documents, words = texts.counts(np.array(own))
+            n = len(buckets)
+            columns = [pa.array(buckets.astype(np.int32)), pa.array([lang] * n, pa.string()), pa.array(np.full(n, role, np.int32)), pa.array(documents), pa.array(words)]
+            yield pa.RecordBatch.from_arrays(columns, ["bucket", "lang", "role", "documents", "words"])
+
 
-    Rows without an id, a text or a label of 0 or 1 don't count; of an id with both labels, neither. Texts of over
-    `longest` characters are taken only where there are too few others, and of them as many characters, so the
-    driver holds 2 * per_label * longest characters at most. labels are narrowed down to 4 * per_label ids of each label first,
-    so that documents are joined with a table of bounded size.
+#: Names of the columns in which numbers of the network are averaged, DIMENSIONS of them a row.
+_VALUES = [f"v{i}" for i in range(DIMENSIONS)]
+
+
+def _taught(shared: Broadcast, balance: float, steps: int, turn: int):
+    """Of a task's rows, the network that they make of the model: (row, DIMENSIONS numbers) of the embeddings pulled, from row 1, and of all else in rows below 0.
+
+    They are learned in pieces, each for `steps` steps or the whole epoch that holds the last.
     """
+
+    @worker("toxicity")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, rng, pulled = shared.value, np.random.default_rng([SEED, turn, TaskContext.get().partitionId()]), []
+        embeddings = now.embeddings.copy()
+        now = now._replace(embeddings=embeddings)
+        for piece in _pieces(batches):
+            rows, (E, W, bias, top, rest) = _learn(now, _Texts(_unpacked(piece["z"])), numbers(piece["toxic"]), balance, steps, rng)
+            embeddings[rows] = E
+            pulled.append(rows)
+            now = now._replace(filters=W, bias=bias, top=top, rest=float(rest[0]))
+        if not pulled:
+            return
+        rows = np.unique(np.concatenate(pulled))
+        whole = np.concatenate([now.filters.ravel(), now.bias, now.top.ravel(), [now.rest]])
+        whole = np.concatenate([whole, np.zeros(-len(whole) % DIMENSIONS)]).reshape(-1, DIMENSIONS)
+        values = np.rint(np.concatenate([embeddings[rows], whole]).astype(np.float64) * FINE).astype(np.int64)
+        rows = np.concatenate([rows, -1 - np.arange(len(whole))]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(np.ascontiguousarray(v)) for v in values.T)], ["row", *_VALUES])
+
+    return run
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows in tables of PIECE rows or some more; the last may have fewer."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(map(len, held)) >= PIECE:
+            yield pa.Table.from_batches(held)
+            held = []
+    if sum(map(len, held)):
+        yield pa.Table.from_batches(held)
+
+
+def _averaged(model: Model, taught: pa.Table) -> Model:
+    """The model with the means of what blocks made of it; an embedding's is that of the blocks that pulled it."""
+    rows = numbers(taught["row"])
+    values = np.stack([numbers(taught[v]) for v in _VALUES], 1)
+    embeddings = model.embeddings.copy()
+    embeddings[rows[rows > 0]] = values[rows > 0]
+    order = np.argsort(-rows[rows < 0])
+    whole, at, parts = values[rows < 0][order].ravel(), 0, []
+    for part in (model.filters, model.bias, model.top):
+        parts.append(whole[at : at + part.size].reshape(part.shape))
+        at += part.size
+    return model._replace(embeddings=embeddings, filters=parts[0], bias=parts[1], top=parts[2], rest=float(whole[at]))
+
+
+def _notched(shared: Broadcast):
+    """Rows (language, notch, toxic): the language that each row's text is taken for, and its logit in NOTCHES parts of one."""
+
+    @worker("toxicity")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            value, lang = logits(shared.value, _unpacked(batch["z"]))
+            notch = np.rint(np.clip(value, -500, 500) * NOTCHES).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(notch), batch["toxic"]], ["language", "notch", "toxic"])
+
+    return run
+
+
+def train(docs: DataFrame, labels: DataFrame, per_label: int | None = None) -> Model:
+    """Fits to the whole texts of all labelled rows that aren't held out; with per_label, of as many ids of each label, those with the smallest hashes.
+
+    Rows without an id, a text or a label of 0 or 1 don't count; of an id with both labels, neither. About a quarter of each label's rows,
+    those with the smallest hashes of their ids, is for the thresholds, and the network doesn't learn from it. A language has
+    a column of its own in naive Bayes if it has FEW of these rows of each label; the others share one, with the threshold of all.
+    """
+    ship(docs.sparkSession)
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     ids = ids.filter("doc_id is not null and toxic in (0, 1)").filter(~held_out())
     ids = ids.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("other")).filter("toxic = other").drop("other")
-    totals = {r["toxic"]: r["n"] for r in ids.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= 4 * per_label).drop("n")
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.substring(F.col("text").cast("string"), 1, longest + 1).alias("text"), F.col("lang").cast("string").alias("lang") if "lang" in docs.columns else F.lit(None).cast("string").alias("lang"))
-    rows = rows.filter("doc_id is not null and text is not null").join(F.broadcast(ids), "doc_id")
-    order = Window.partitionBy("toxic").orderBy(F.length("text") > longest, F.xxhash64("doc_id"), "doc_id", "text", "lang")
-    rows = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label)
-    sample = sorted(((r["toxic"], r["n"], r["text"], r["lang"]) for r in rows.select("toxic", "n", "text", "lang").collect()), key=lambda r: r[:2])
-    toxic = np.array([r[0] for r in sample], np.int64)
-    found = np.bincount(toxic, minlength=2)
-    weights = np.array([totals[t] / found[t] for t in toxic.tolist()])
-    return fit([r[2] for r in sample], toxic, [r[3] for r in sample], weights)
+    if per_label is not None:
+        order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_label).drop("n")
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), lang.alias("lang"))
+    rows = rows.filter("doc_id is not null and text is not null").filter(~held_out())
+    ids = saved(ids)
+    # many ids are joined by shuffle, for which texts are packed first
+    rows = saved(packed(rows.join(F.broadcast(ids), "doc_id")) if ids.count() <= FEW_ROWS else packed(rows).join(ids.hint("merge"), "doc_id"))
+
+    salted = F.xxhash64("doc_id", F.lit("calibration"))
+    bars = {r[0]: r[1] for r in rows.groupBy("toxic").agg(F.percentile_approx(salted, 0.25)).collect()}
+    rows = rows.withColumn("held", salted < F.when(F.col("toxic") == 1, bars.get(1)).otherwise(bars.get(0)).cast("long"))
+    sizes = {(r[0], r[1]): r[2] for r in rows.groupBy("toxic", "held").count().collect()}
+    learned = np.array([sizes.get((label, False), 0) for label in (0, 1)])
+    by_lang = rows.filter("held and lang is not null").groupBy("lang").agg(F.sum("toxic").alias("n"), F.count("*").alias("total"))
+    names = sorted(r[0] for r in by_lang.filter((F.col("n") >= FEW) & (F.col("total") - F.col("n") >= FEW)).select("lang").collect())
+
+    counts = rows.select("toxic", "held", "lang", "z").mapInArrow(_counts, "bucket int, lang string, role int, documents long, words long")
+    own = [F.sum(F.when(F.col("lang") == name, F.col("words")).otherwise(0)).alias(f"l{i}") for i, name in enumerate(names, 1)]
+    other = F.sum(F.when(F.col("lang").isNotNull() & ~F.col("lang").isin(names), F.col("words")).otherwise(0)).alias("l0")
+    seen = [F.sum(F.when(F.col("role") == label, F.col("documents")).otherwise(0)).alias(f"s{label}") for label in (0, 1)]
+    counts = counts.groupBy("bucket").agg(F.sum("documents").alias("documents"), *seen, other, *own)
+    table = counts.filter(F.col("documents") >= LEAST).drop("documents").toArrow().sort_by("bucket")
+    by_language = np.stack([numbers(table[f"l{i}"]) for i in range(len(names) + 1)], 1)
+    model = _start(numbers(table["bucket"]), np.stack([numbers(table["s0"]), numbers(table["s1"])]), learned, by_language, bool(by_language[:, 0].any()), np.random.default_rng(SEED))
+
+    total, context = int(learned.sum()), docs.sparkSession.sparkContext
+    if not total:
+        return model
+    blocks = -(-total // BLOCK)
+    steps = -(-STEPS // (ROUNDS * -(-min(total, BLOCK) // PIECE)))
+    for turn in range(ROUNDS):
+        shared = context.broadcast(model._replace(languages=model.languages[:0]))
+        teach = _taught(shared, float(learned[1] / max(1, learned[0])), steps, turn)
+        taught = rows.filter("not held").select("toxic", "z").coalesce(blocks).mapInArrow(teach, "row int, " + ", ".join(f"{v} long" for v in _VALUES))
+        taught = taught.groupBy("row").agg(*((F.sum(v) / F.count("*") / FINE).cast("float").alias(v) for v in _VALUES))
+        model = _averaged(model, taught.toArrow())
+        shared.destroy()
+    # without a row of each label for the thresholds, they are those of all rows
+    known = rows.filter("held") if sizes.get((1, True)) and sizes.get((0, True)) else rows
+    shared = context.broadcast(model)
+    found = known.select("toxic", "z").mapInArrow(_notched(shared), "language int, notch int, toxic int").groupBy("language", "notch", "toxic").agg(F.count("*").alias("n")).toArrow()
+    shared.destroy()
+    found = found.sort_by([("language", "ascending"), ("notch", "ascending"), ("toxic", "ascending")])
+    return model._replace(thresholds=thresholds(numbers(found["notch"]) / NOTCHES, numbers(found["toxic"]) > 0, numbers(found["language"]), numbers(found["n"]), len(names) + 1))
 
 
 def logits(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -132,3 +132,26 @@ def test_entries_of_a_large_sitemap_take_time_in_proportion_to_it(spark):
     began = time.time()
     rows = crawl.sitemap_entries(maps).agg(F.count("*").alias("n"), F.countDistinct("loc").alias("d"), F.max("place").alias("last"), F.max("kind").alias("kind")).first()
     assert time.time() - began < 20 and tuple(rows) == (40_000, 40_000, 39_999, "page")
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """5,000 rows of each label, 500 toxic words in ten rows each and one behind 9,000 characters: all are known, in several blocks too."""
+    import numpy as np
+
+    from graphloom.llm import toxicity as X
+
+    monkeypatch.setattr(X, "BLOCK", 2048)
+    word = [f"{a}{b}{c}q" for a in "bcdfghjk" for b in "aeiouyxz" for c in "lmnprstv"][:500]
+    rng = np.random.default_rng(1)
+    plain = [" ".join(rng.choice(list("ABCDEFGHIJ"), 12)) for _ in range(10_000)]
+    rows = [(i, t + f" {word[i // 2 % 500]}" * (i % 2), "en") for i, t in enumerate(plain)]
+    rows += [(10_001 + 2 * i, "a b " * 2_250 + "lateword", "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 2).cast("int").alias("toxic"))
+    model = X.train(docs, labels)
+    raw = [np.frombuffer(w.encode(), np.uint8) for w in [*word, "lateword"]]
+    known = [bool(model.place[X.word_features(r, np.array([0]), np.array([len(r)]))[1][0]]) for r in raw]
+    assert all(known)
+    out = X.score_toxicity(docs, model=model).filter("held_out").groupBy((F.col("doc_id") % 2).alias("toxic")).agg(F.avg("predicted").alias("share"), F.count("*").alias("n")).collect()
+    share = {r["toxic"]: r["share"] for r in out}
+    assert sum(r["n"] for r in out) > 1500 and share[1] >= 0.98 and share[0] <= 0.02
