@@ -30,6 +30,8 @@ NONE = np.int64(1) << 62
 SPACE = "▁"
 #: Longer words go through a heap instead of the matrix, which takes a step for each merge.
 MATRIX = 48
+#: Words of up to so many characters share a matrix, as far as they are longer than the number before.
+WIDTHS = (2, 4, 6, 8, 10, 12, 14, 16, 20, 24, 32, MATRIX)
 #: Distinct words, and pairs of a word and what is skipped in it, that a worker remembers; beyond that it starts afresh.
 REMEMBERED = 500_000
 
@@ -73,27 +75,36 @@ class Table:
         return out
 
 
+def _special(model, i: int) -> bool:
+    return model.is_control(i) or model.is_unknown(i) or model.is_unused(i)
+
+
+def raw_pieces(path: str) -> list[bytes]:
+    """The bytes that each piece stands for."""
+    from sentencepiece import SentencePieceProcessor
+
+    model, out = SentencePieceProcessor(model_file=path), []
+    for i in range(model.get_piece_size()):
+        name = model.id_to_piece(i)
+        out.append(bytes([int(name[1:-1], 16)]) if model.is_byte(i) else b"" if _special(model, i) else name.replace(SPACE, " ").encode())
+    return out
+
+
 class Vocabulary:
-    """Pieces, their merges, and the bytes that each stands for."""
+    """Pieces and their merges."""
 
     def __init__(self, path: str) -> None:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
         size = model.get_piece_size()
-        special = [model.is_control(i) or model.is_unknown(i) or model.is_unused(i) for i in range(size)]
-        names = [model.id_to_piece(i) for i in range(size)]
         self.byte = np.full(256, model.unk_id(), np.int64)
-        self.raw: list[bytes] = []
         self.ids: dict[str, int] = {}
-        for i, name in enumerate(names):
+        for i in range(size):
             if model.is_byte(i):
-                self.byte[int(name[1:-1], 16)] = i
-                self.raw.append(bytes([int(name[1:-1], 16)]))
-            else:
-                self.raw.append(b"" if special[i] else name.replace(SPACE, " ").encode())
-                if not special[i]:
-                    self.ids[name] = i
+                self.byte[int(model.id_to_piece(i)[1:-1], 16)] = i
+            elif not _special(model, i):
+                self.ids[model.id_to_piece(i)] = i
         order = sorted(self.ids.values(), key=lambda i: (-model.get_score(i), i))
         self.rank = np.zeros(size, np.int64)
         self.rank[order] = np.arange(len(order))
@@ -115,12 +126,15 @@ class Vocabulary:
 
         longer = {name: i for name, i in self.ids.items() if len(name) > 1}
         self.longest = max(map(len, longer), default=1)
-        parts = {}
-        for name, i in longer.items():
-            h = np.zeros(1, U)
-            for c in name.replace(SPACE, " "):
-                h = mix(h * _SALTS[5] + U(ord(c)))
-            parts[int(h[0])] = i
+        parts, of_size = {}, {}
+        for name in longer:
+            of_size.setdefault(len(name), []).append(name)
+        for n, names in of_size.items():
+            chars = np.frombuffer("".join(names).replace(SPACE, " ").encode("utf-32-le"), np.uint32).reshape(-1, n).astype(U)
+            h = np.zeros(len(names), U)
+            for c in chars.T:
+                h = mix(h * _SALTS[5] + c)
+            parts.update(zip(h.tolist(), [longer[name] for name in names]))
         self.part_pieces = Table(parts)
 
     def parts(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,7 +207,7 @@ def _agenda(v: Vocabulary, symbols: list[int], word: np.uint64, rate: float) ->
 
 
 def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
-    """(symbols, whether a place begins a piece) of many words of one length, a merge of each at a time."""
+    """(symbols, whether a place begins a piece) of many words, a merge of each at a time; places after a shorter word's end hold -1."""
     n, size = symbols.shape
     symbols = np.concatenate([symbols, np.full((n, 1), -1)], 1)
     after = np.tile(np.arange(1, size + 2), (n, 1))
@@ -206,10 +220,8 @@ def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -
         able = (piece >= 0) & ~skipped(word[rows], p, piece, rate)
         cost[rows, p] = np.where(able, v.rank[np.maximum(piece, 0)], NONE)
 
-    every = np.arange(n)
-    for p in range(size - 1):
-        offer(every, np.full(n, p))
-    rows = every
+    rows = np.arange(n)
+    offer(*np.nonzero((symbols[:, :-1] >= 0) & (symbols[:, 1:] >= 0)))
     while len(rows):
         p = cost[rows].argmin(axis=1)
         best = cost[rows, p]
@@ -228,13 +240,17 @@ def _matrix(v: Vocabulary, symbols: np.ndarray, word: np.ndarray, rate: float) -
         before[rows[inner], r[inner]] = p[inner]
         end = r >= size
         after[rows[end], p[end]] = size
-        offer(rows, p)
         left = before[rows, p]
         some = left >= 0
-        offer(rows[some], left[some])
+        offer(np.concatenate([rows, rows[some]]), np.concatenate([p, left[some]]))
     return symbols[:, :size], begins
 
 
+def _widths(sizes: np.ndarray) -> np.ndarray:
+    """The width of the matrix for words of each size; a longer word's own size."""
+    return np.where(sizes > MATRIX, sizes, np.array(WIDTHS)[np.minimum(np.searchsorted(WIDTHS, sizes), len(WIDTHS) - 1)])
+
+
 def _spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The numbers start, start + 1, ... of each run, count of them, in a row."""
     return np.repeat(start - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
@@ -282,12 +298,15 @@ class PieceIds:
         """(where each word's ids begin, how many each has, all ids); words are runs of characters."""
         v = self.vocabulary
         count, start, parts, total = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), [], 0
-        for size in np.unique(sizes).tolist():
-            group = np.flatnonzero(sizes == size)
-            chars = codes[first[group][:, None] + np.arange(size)]
-            symbols = v.symbols(chars)
+        wide = _widths(sizes)
+        for size in np.unique(wide).tolist():
+            group = np.flatnonzero(wide == size)
+            inside = np.arange(size) < sizes[group][:, None]
+            chars = codes[np.minimum(first[group][:, None] + np.arange(size), len(codes) - 1)]
+            symbols = np.where(inside, v.symbols(chars), -1)
             if size <= MATRIX:
                 pieces, begins = _matrix(v, symbols, keys[group], rate)
+                begins &= inside
             else:
                 pieces, begins = symbols.copy(), np.zeros(symbols.shape, bool)
                 for row, i in enumerate(group.tolist()):
@@ -431,7 +450,7 @@ def _decode(path: str):
     @worker("pieces")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _RAW:
-            raw = Vocabulary(path).raw
+            raw = raw_pieces(path)
             size = np.array([len(r) for r in raw])
             _RAW[path] = np.frombuffer(b"".join(raw), np.uint8), np.cumsum(size) - size, size
         flat, first, size = _RAW[path]

@@ -155,3 +155,28 @@ def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
     out = X.score_toxicity(docs, model=model).filter("held_out").groupBy((F.col("doc_id") % 2).alias("toxic")).agg(F.avg("predicted").alias("share"), F.count("*").alias("n")).collect()
     share = {r["toxic"]: r["share"] for r in out}
     assert sum(r["n"] for r in out) > 1500 and share[1] >= 0.98 and share[0] <= 0.02
+
+
+def test_words_of_many_lengths_share_matrices(monkeypatch):
+    """Words of 1 to 60 characters, some of which are no pieces: as many matrices as widths, and the ids of the heap of candidates."""
+    import numpy as np
+
+    from graphloom.llm import pieces as P
+
+    made, matrix = [], P._matrix
+    monkeypatch.setattr(P, "_matrix", lambda v, symbols, word, rate: made.append(symbols.shape) or matrix(v, symbols, word, rate))
+    encoder = P.PieceIds(P.default_model())
+    v = encoder.vocabulary
+    words = [(" internationalisationsverwaltung-Ωλ😀ations" * 2)[i % 5 : i % 5 + n] for i, n in enumerate([*range(1, 61)] * 3)]
+    sizes = np.array([len(w) for w in words])
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+    keys = P.mix(np.arange(len(words)).astype(P.U))
+    for rate in (0.0, 0.1, 0.5):
+        made.clear()
+        start, count, ids = encoder._encoded(codes, np.cumsum(sizes) - sizes, sizes, keys, rate)
+        assert len(made) == len(P.WIDTHS)
+        for i, word in enumerate(words):
+            chars = np.frombuffer(word.encode("utf-32-le"), np.uint32)
+            found = P._agenda(v, v.symbols(chars).tolist(), keys[i], rate)
+            want = [y for x, p in found for y in ([x] if x >= 0 else v.byte[list(word[p].encode())].tolist())]
+            assert ids[0, start[i] : start[i] + count[i]].tolist() == want
