@@ -4,7 +4,7 @@ Each word has affix, character n-gram and lexicon features; learned transitions
 words, and forward-backward gives every word a distribution over languages, so that code-switched
 text is labelled in runs. A document's language is the one with the largest mean marginal.
 
-The field is fitted here, on the driver, to a bounded sample of labelled rows. Fragments of sampled
+The field is fitted here, by a task, to a bounded sample of labelled rows. Fragments of sampled
 documents are strung together into sequences that switch languages, from which the transitions are learned.
 """
 
@@ -199,7 +199,7 @@ def fit(texts: list[str], labels: list[str], rounds: int = 40, sequence: int = 2
     batches = [(int(first[a]), int(first[b]), first[a : b + 1] - first[a]) for a, b in zip(cuts[:-1], cuts[1:])]
     for t in range(1, rounds + 1):
         slopes = [-1e-6 * weights, seen_pairs / n - 1e-4 * trans]
-        for lo, hi, ends in batches:  # whole sequences, of which the driver holds few at a time
+        for lo, hi, ends in batches:  # whole sequences, of which few are held at a time
             own, local = np.unique(words[lo:hi], return_inverse=True)
             runs = np.repeat(heads[own] - np.cumsum(count[own]) + count[own], count[own]) + np.arange(count[own].sum())
             p = marginals(emissions(weights, bag[runs], count[own])[local], ends, trans)
@@ -278,12 +278,24 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+@worker("langid")
+def _fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The field of a sample (lang, n, text), in one row."""
+    sample = sorted(row for batch in batches for row in zip(*(batch[c].to_pylist() for c in ("lang", "n", "text"))))
+    if not sample:
+        return
+    model = fit([t for *_, t in sample], [lang for lang, *_ in sample])
+    weights, transitions = np.asarray(model.weights, np.float32), np.asarray(model.transitions, np.float64)
+    columns = [pa.array([model.labels], pa.list_(pa.string())), pa.array([weights.tobytes()], pa.binary()), pa.array([transitions.tobytes()], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, ["labels", "weights", "transitions"])
+
+
 def train(docs: DataFrame, per_language: int = 120, longest: int = 20_000, languages: int = 100) -> Model:
     """Fits to per_language texts of each of the `languages` langs that most rows have, those with the smallest hashes of their ids.
 
     Only rows with a text, a lang and an id that isn't held out count. Texts of over `longest` characters are
-    taken only for a language that has too few others, and of them as many characters. So the sample, which the
-    driver holds, has per_language * languages * longest characters at most.
+    taken only for a language that has too few others, and of them as many characters. So the sample, which one
+    task holds and fits to, has per_language * languages * longest characters at most; the driver gets the model alone.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("lang").cast("string").alias("lang"))
     rows = rows.filter("doc_id is not null and text is not null and lang is not null").filter(~held_out())
@@ -291,8 +303,13 @@ def train(docs: DataFrame, per_language: int = 120, longest: int = 20_000, langu
     rows = rows.join(F.broadcast(common.select("lang")), "lang").withColumn("text", F.substring("text", 1, longest + 1))
     order = Window.partitionBy("lang").orderBy(F.length("text") > longest, F.xxhash64("doc_id"), "doc_id", "text")
     rows = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= per_language)
-    sample = sorted((r["lang"], r["n"], r["text"]) for r in rows.select("lang", "n", "text").collect())
-    return fit([t for *_, t in sample], [lang for lang, *_ in sample])
+    ship(docs.sparkSession)
+    fitted = rows.select("lang", "n", "text").repartition(1).mapInArrow(_fitted, "labels array<string>, weights binary, transitions binary").collect()
+    if not fitted:
+        return fit([], [])
+    names, weights, transitions = fitted[0]
+    k = len(names)
+    return Model(names, np.frombuffer(weights, np.float32).reshape(-1, k), np.frombuffer(transitions, np.float64).reshape(k, k))
 
 
 def identify_languages(docs: DataFrame, model: Model | None = None, spans: bool = False) -> DataFrame:

@@ -261,3 +261,28 @@ def test_thresholds_by_language():
     toxic = np.where(lang == 1, x > 1.5, x > 10.5)
     cuts = thresholds(x, toxic, lang, np.ones(72), 5)
     assert 1 < cuts[1] < 2 and 10 < cuts[2] < 11 and cuts[3] == cuts[4] == cuts[0]  # too few rows in 3, none in 4
+
+
+def test_the_field_is_fitted_by_a_task(spark, sf_dir, monkeypatch):
+    """The driver gets the same model, without fitting it or holding the sample."""
+    from graphloom.llm import langid as L
+
+    real = L.fit
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
+
+    def here(texts, *rest):
+        assert not texts, "fitted on the driver"
+        return real(texts, *rest)
+
+    monkeypatch.setattr(L, "fit", here)
+    model = L.train(rows, per_language=5)
+    known = [r for r in rows.collect() if r["text"] is not None and r["lang"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5]
+    assert model.labels == sorted({r["lang"] for r in known}) and model.weights.any() and model.transitions.shape == (len(model.labels),) * 2
+    right = [lang == r["lang"] for r, lang in zip(known, _predicted(L, model, [r["text"] for r in known]))]
+    assert np.mean(right) > 0.9
+    assert L.train(rows.limit(0)).labels == []
+
+
+def _predicted(L, model, texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array([False] * len(texts)), pa.array(texts)], ["doc_id", "held_out", "text"])
+    return [x for out in L._predict(model, False)(iter([batch])) for x in out["lang_pred"].to_pylist()]
