@@ -34,6 +34,13 @@ def ship(spark: SparkSession) -> None:
 MEMORIES: dict[str, Callable[[], None]] = {}
 
 
+def trim() -> None:
+    """Gives this process's freed memory back."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def worker(name: str):
     """For functions over Arrow batches: a worker that another operator has used forgets what it remembered for that,
     and gives freed memory back at the end, as workers of all stages share an executor's memory."""
@@ -45,9 +52,7 @@ def worker(name: str):
                 if other != name:
                     forget()
             yield from run(batches)
-            pa.default_memory_pool().release_unused()
-            with contextlib.suppress(OSError, AttributeError):
-                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            trim()
 
         return tidy
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from graphloom.llm.langid import _BETWEEN, held_out, words_of
-from graphloom.llm.runtime import numbers, packed, saved, ship, worker
+from graphloom.llm.runtime import numbers, packed, saved, ship, trim, worker
 from graphloom.llm.words import U, Words, chunks, span_hashes
 from graphloom.operators.frames import FEW_ROWS
 
@@ -53,6 +53,8 @@ SEED = 5
 #: Parts of one by which averaged numbers are summed, so that sums don't depend on their order, and by which logits are counted.
 FINE = 1 << 24
 NOTCHES = 1 << 10
+#: Rows of the network that a task sends at once.
+SLICE = 1024
 _SHIFTS = [(w, j) for w in WIDTHS for j in range(w)]
 
 
@@ -345,10 +347,20 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 _VALUES = [f"v{i}" for i in range(DIMENSIONS)]
 
 
+def _fine(values: np.ndarray) -> np.ndarray:
+    return np.rint(values.astype(np.float64) * FINE).astype(np.int64)
+
+
+def _rest(model: Model) -> np.ndarray:
+    """All of the network but its embeddings, DIMENSIONS numbers a row; row -1 comes first."""
+    whole = np.concatenate([model.filters.ravel(), model.bias, model.top.ravel(), [model.rest]])
+    return np.concatenate([whole, np.zeros(-len(whole) % DIMENSIONS)]).reshape(-1, DIMENSIONS)
+
+
 def _taught(shared: Broadcast, balance: float, steps: int, turn: int):
-    """Of a task's rows, the network that they make of the model: (row, DIMENSIONS numbers) of the embeddings pulled, from row 1, and of all else in rows below 0.
+    """What a task's rows change in the model: DIMENSIONS numbers of each embedding pulled, from row 1, and of all else in rows below 0.
 
-    They are learned in pieces, each for `steps` steps or the whole epoch that holds the last.
+    A row that leaves the task holds SLICE of them at most, compressed (most embeddings are pulled once or twice, by steps of one size). Rows are learned in pieces, each for `steps` steps or the whole epoch that holds the last.
     """
 
     @worker("toxicity")
@@ -364,11 +376,14 @@ def _taught(shared: Broadcast, balance: float, steps: int, turn: int):
         if not pulled:
             return
         rows = np.unique(np.concatenate(pulled))
-        whole = np.concatenate([now.filters.ravel(), now.bias, now.top.ravel(), [now.rest]])
-        whole = np.concatenate([whole, np.zeros(-len(whole) % DIMENSIONS)]).reshape(-1, DIMENSIONS)
-        values = np.rint(np.concatenate([embeddings[rows], whole]).astype(np.float64) * FINE).astype(np.int64)
-        rows = np.concatenate([rows, -1 - np.arange(len(whole))]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(np.ascontiguousarray(v)) for v in values.T)], ["row", *_VALUES])
+        moved = np.concatenate([_fine(_rest(now))[::-1] - _fine(_rest(shared.value))[::-1], _fine(embeddings[rows]) - _fine(shared.value.embeddings[rows])])
+        rows = np.concatenate([np.arange(-len(_rest(now)), 0), rows])
+        press = zstandard.ZstdCompressor(3)
+        cuts = np.flatnonzero(np.diff(rows // SLICE, prepend=rows[0] // SLICE - 1, append=rows[-1] // SLICE + 1))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            # numbers that lie near each other stand together, byte by byte
+            z = press.compress(np.ascontiguousarray(moved[a:b].T).view(np.uint8).reshape(-1, 8).T.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([rows[a] // SLICE], pa.int32()), pa.array([press.compress(rows[a:b].tobytes())]), pa.array([z])], ["slice", "rows", "z"])
 
     return run
 
@@ -385,6 +400,27 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def _means(shared: Broadcast):
+    """Of what tasks changed in a slice of the model: (row, the means of what they made of it). A row's is that of the tasks that send it."""
+
+    def run(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lo, unpress = key[0].as_py() * SLICE, zstandard.ZstdDecompressor()
+        moved, many = np.zeros((SLICE, DIMENSIONS), np.int64), np.zeros(SLICE, np.int64)
+        for batch in batches:
+            for rows, z in zip(batch["rows"].to_pylist(), batch["z"].to_pylist()):
+                at = np.frombuffer(unpress.decompress(rows), np.int64) - lo
+                parts = np.frombuffer(unpress.decompress(z), np.uint8).reshape(8, -1).T
+                moved[at] += np.ascontiguousarray(parts).view(np.int64).reshape(DIMENSIONS, -1).T
+                many[at] += 1
+        rows = np.flatnonzero(many)
+        model = shared.value
+        before = _fine(model.embeddings[rows + lo] if lo >= 0 else _rest(model)[-1 - (rows + lo)])
+        means = ((before * many[rows, None] + moved[rows]) / many[rows, None] / FINE).astype(np.float32)
+        yield pa.RecordBatch.from_arrays([pa.array((rows + lo).astype(np.int32)), *(pa.array(np.ascontiguousarray(v)) for v in means.T)], ["row", *_VALUES])
+
+    return run
+
+
 def _averaged(model: Model, taught: pa.Table) -> Model:
     """The model with the means of what blocks made of it; an embedding's is that of the blocks that pulled it."""
     rows = numbers(taught["row"])
@@ -450,6 +486,8 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int | None = None) -> M
     by_language = np.stack([numbers(table[f"l{i}"]) for i in range(len(names) + 1)], 1)
     model = _start(numbers(table["bucket"]), np.stack([numbers(table["s0"]), numbers(table["s1"])]), learned, by_language, bool(by_language[:, 0].any()), np.random.default_rng(SEED))
 
+    del table, by_language
+    trim()
     total, context = int(learned.sum()), docs.sparkSession.sparkContext
     if not total:
         return model
@@ -458,10 +496,11 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int | None = None) -> M
     for turn in range(ROUNDS):
         shared = context.broadcast(model._replace(languages=model.languages[:0]))
         teach = _taught(shared, float(learned[1] / max(1, learned[0])), steps, turn)
-        taught = rows.filter("not held").select("toxic", "z").coalesce(blocks).mapInArrow(teach, "row int, " + ", ".join(f"{v} long" for v in _VALUES))
-        taught = taught.groupBy("row").agg(*((F.sum(v) / F.count("*") / FINE).cast("float").alias(v) for v in _VALUES))
+        taught = rows.filter("not held").select("toxic", "z").coalesce(blocks).mapInArrow(teach, "slice int, rows binary, z binary")
+        taught = taught.groupBy("slice").applyInArrow(_means(shared), "row int, " + ", ".join(f"{v} float" for v in _VALUES))
         model = _averaged(model, taught.toArrow())
         shared.destroy()
+        trim()
     # without a row of each label for the thresholds, they are those of all rows
     known = rows.filter("held") if sizes.get((1, True)) and sizes.get((0, True)) else rows
     shared = context.broadcast(model)

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from conftest import same_rows
 from pyspark.sql import functions as F
 
@@ -263,6 +264,39 @@ def test_thresholds_by_language():
     assert 1 < cuts[1] < 2 and 10 < cuts[2] < 11 and cuts[3] == cuts[4] == cuts[0]  # too few rows in 3, none in 4
 
 
+def test_blocks_send_their_changes_in_few_small_rows(spark):
+    """A row for each SLICE rows of the network, in less than half of the bytes that its numbers have as longs; their means are those of the blocks' networks."""
+    from graphloom.llm import toxicity as X
+
+    rng = np.random.default_rng(6)
+    texts = [" ".join("".join(rng.choice(list("abcdefgh"), 7)) for _ in range(40)) + " vile" * (i % 3 == 0) for i in range(120)]
+    toxic = np.array([int(i % 3 == 0) for i in range(120)])
+    read = X._Texts(pa.array(texts, pa.large_string()))
+    kept = np.unique(read.bucket)
+    model = X._start(kept, np.ones((2, len(kept))), np.array([80, 40]), np.ones((len(kept), 2)), False, rng)
+    shared = spark.sparkContext.broadcast(model)
+    press = zstandard.ZstdCompressor(1)
+    rows = spark.createDataFrame([(p, int(t), press.compress(x.encode())) for p in (0, 1) for t, x in zip(toxic, texts)], "p int, toxic int, z binary")
+    rows = rows.repartitionByRange(2, "p").sortWithinPartitions("p").select("toxic", "z")
+    sent = rows.mapInArrow(X._taught(shared, 0.5, 3, 0), "slice int, rows binary, z binary")
+    made = sent.collect()
+    plain = [X._learn(model, X._Texts(pa.array(texts, pa.large_string())), toxic, 0.5, 3, np.random.default_rng([X.SEED, 0, part])) for part in (0, 1)]
+    pulled = sum(len(own) for own, _ in plain)
+    assert pulled > 2 * X.SLICE and len(made) <= pulled / X.SLICE + 6
+    assert sum(len(r["rows"]) + len(r["z"]) for r in made) < 0.5 * pulled * X.DIMENSIONS * 8
+    means = sent.groupBy("slice").applyInArrow(X._means(shared), "row int, " + ", ".join(f"{v} float" for v in X._VALUES))
+    got = X._averaged(model, means.toArrow())
+    total, many = np.zeros(model.embeddings.shape), np.zeros(len(model.embeddings))
+    for own, (E, *_) in plain:
+        total[own] += E
+        many[own] += 1
+    want = np.where(many[:, None] > 0, total / np.maximum(many, 1)[:, None], model.embeddings)
+    assert np.abs(got.embeddings - want).max() < 1e-4  # the driver's matrix products may round otherwise
+    for i, part in enumerate((got.filters, got.bias, got.top, np.array([got.rest])), 1):
+        assert np.abs(part - np.mean([x[i] for _, x in plain], axis=0)).max() < 1e-4
+    shared.destroy()
+
+
 def test_the_field_is_fitted_by_a_task(spark, sf_dir, monkeypatch):
     """The driver gets the same model, without fitting it or holding the sample."""
     from graphloom.llm import langid as L
